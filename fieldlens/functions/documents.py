@@ -7,7 +7,7 @@ document out use it, because a small part does not drag the field names of the w
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +31,14 @@ def once(df: DataFrame, *columns: str | Column) -> DataFrame:
     return computed.select(F.explode(F.array(F.struct(*computed.columns))).alias("_row")).select("_row.*")
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once, also inside a higher-order function.
+
+    Generated code shares common subexpressions of a projection, but not those within a lambda.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _object_text(json: str) -> Column:
     return F.when(F.ltrim(json).startswith("{"), F.col(json))
 

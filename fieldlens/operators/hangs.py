@@ -9,6 +9,7 @@ from fieldlens.functions.documents import get, once, parse, size_of, top_level
 from fieldlens.functions.predicates import has_stacks
 from fieldlens.functions.scalars import day_from_key, uuid_from_key
 from fieldlens.operators.ranking import nearest_below
+from fieldlens.session import stage
 
 PARTS = {"hang": "chromeHangs", "late_write": "lateWrites"}
 
@@ -49,7 +50,10 @@ def _stacks(part: str) -> Column:
 
 
 def frames(df: DataFrame) -> DataFrame:
-    """One row per stack frame: key, kind, stack and frame number, module, debug id, offset."""
+    """One row per stack frame: key, kind, stack and frame number, module, debug id, offset.
+
+    Modules are looked up inside the document, so the memory map is not repeated per frame.
+    """
     kinds = F.array(*[
         F.struct(
             F.lit(kind).alias("kind"), _stacks(part).alias("stacks"),
@@ -58,14 +62,19 @@ def frames(df: DataFrame) -> DataFrame:
         for kind, part in PARTS.items()
     ])
     by_kind = once(df, "k", kinds.alias("_kinds")).select("k", F.inline("_kinds"))
-    by_stack = by_kind.select("k", "kind", "modules", F.posexplode("stacks").alias("stack_no", "stack"))
-    by_frame = by_stack.select("k", "kind", "stack_no", "modules", F.posexplode("stack").alias("frame_no", "frame"))
-    index, offset = F.get("frame", F.lit(0)), F.get("frame", F.lit(1))
-    owner = F.when(index >= 0, F.get("modules", index.cast("int")))
-    return by_frame.select(
-        "k", "kind", "stack_no", "frame_no",
-        owner["module"].alias("module"), owner["debug_id"].alias("debug_id"), offset.alias("offset"),
-    )
+
+    def placed(frame):
+        index = F.get(frame, F.lit(0)).cast("int")
+        owner = F.when(index >= 0, F.get("modules", index))
+        return F.struct(
+            owner["module"].alias("module"), owner["debug_id"].alias("debug_id"), F.get(frame, F.lit(1)).alias("offset")
+        )
+
+    stacks = F.transform("stacks", lambda stack: F.transform(stack, placed))
+    by_kind = once(by_kind, "k", "kind", stacks.alias("_stacks"))
+    by_stack = by_kind.select("k", "kind", F.posexplode("_stacks").alias("stack_no", "_stack"))
+    by_frame = by_stack.select("k", "kind", "stack_no", F.posexplode("_stack").alias("frame_no", "_frame"))
+    return by_frame.select("k", "kind", "stack_no", "frame_no", "_frame.*")
 
 
 def symbolicate(frame_rows: DataFrame, symbols: DataFrame, **options) -> DataFrame:
@@ -74,6 +83,7 @@ def symbolicate(frame_rows: DataFrame, symbols: DataFrame, **options) -> DataFra
     The same offsets recur in very many stacks, so the ordered lookup runs on distinct offsets only
     and the names are joined back. Frames without a module, or below the first symbol, stay unnamed.
     """
+    frame_rows = stage(frame_rows, "frames")
     distinct = frame_rows.where("module is not null and debug_id is not null and offset is not null")
     distinct = distinct.select("module", "debug_id", "offset").distinct()
     named = nearest_below(distinct, symbols, ["module", "debug_id"], "offset", "start", "name", **options)
@@ -93,7 +103,8 @@ def hang_report(df: DataFrame, symbols: DataFrame, **options) -> DataFrame:
     ``lookups`` counts parts that were looked up, ``errors`` those that gave no stack. Unnamed
     frames appear as hexadecimal offsets. What is collected per row are the frames of one document.
     """
-    hangs = select_hangs(df)
+    # Few submissions hold hangs: they are found once and kept, not looked for again in each branch.
+    hangs = parse(stage(select_hangs(df).select("k", "json"), "hangs"), *PARTS.values())
     named = symbolicate(frames(hangs), symbols, **options)
     label = F.coalesce("symbol", F.concat(F.lit("0x"), F.lower(F.hex("offset"))))
     per_stack = named.groupBy("k", "kind", "stack_no").agg(

@@ -14,6 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldlens.functions.documents import bind
 from fieldlens.session import stage
 
 # Up to this many distinct rows one window task can hold every group whole.
@@ -31,34 +32,45 @@ def _order(columns: Sequence[str]) -> Column:
     return F.struct(*columns) if len(columns) > 1 else F.col(columns[0])
 
 
-def cut_into_ranges(df: DataFrame, order: Sequence[str], one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def fits_one_task(df: DataFrame, one_task_rows: int = ONE_TASK_ROWS) -> bool:
+    """The staged table is so small that one task may hold all of it; reads only file footers."""
+    return df.count() <= one_task_rows
+
+
+def cut_into_ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
     """Add ``_range``, a number that never falls as the order columns rise.
 
-    ``df`` should be a staged table of rows that are distinct or nearly so: its size is read first,
-    and a small table keeps a single range. The sample is the fixed number of rows with the lowest
-    hash, so it is bounded whatever the size of the table and the same on every run.
+    ``df`` should be a staged table of rows that are distinct or nearly so. The sample is a fixed
+    number of rows, those with the lowest hash, so it is bounded whatever the size of the table and
+    the same on every run.
     """
-    if df.count() <= one_task_rows:
-        return df.withColumn("_range", F.lit(0))
     ranges = _ranges(df)
     sampled = (
         df.select(*order).orderBy(F.xxhash64(*df.columns)).limit(ranges * SAMPLES_PER_RANGE).sort(*order)
     )
     cuts = sampled.collect()[SAMPLES_PER_RANGE::SAMPLES_PER_RANGE]
-    spark = df.sparkSession
-    bounds = spark.createDataFrame([(list(cuts),)], schema=_bounds_schema(df, order)) if len(order) > 1 else (
-        spark.createDataFrame([([row[0] for row in cuts],)], schema=_bounds_schema(df, order))
-    )
-    passed = F.filter(bounds.scalar(), lambda cut: cut <= _order(order))
-    return df.withColumn("_range", F.size(passed))
+    types = {field.name: field.dataType for field in df.select(*order).schema.fields}
+
+    def constant(cut):
+        parts = [F.lit(cut[name]).cast(types[name]).alias(name) for name in order]
+        return F.struct(*parts) if len(order) > 1 else parts[0]
 
+    return df.withColumn("_range", _cuts_passed(_order(order), [constant(cut) for cut in cuts]))
 
-def _bounds_schema(df: DataFrame, order: Sequence[str]):
-    from pyspark.sql.types import ArrayType, StructField, StructType
 
-    fields = df.select(*order).schema.fields
-    item = StructType(fields) if len(order) > 1 else fields[0].dataType
-    return StructType([StructField("bounds", ArrayType(item))])
+def _cuts_passed(value: Column, cuts: list[Column]) -> Column:
+    """How many of the sorted cuts are at or below the value, looked up in two steps."""
+    if not cuts:
+        return F.lit(0)
+    width = max(1, int(len(cuts) ** 0.5))
+    every, coarse = F.array(*cuts), F.array(*cuts[::width])
+
+    def finer(blocks):
+        start = (blocks - 1) * width
+        inside = F.size(F.filter(F.slice(every, start + 1, F.lit(width)), lambda cut: cut <= value))
+        return F.when(blocks == 0, 0).otherwise(start + inside)
+
+    return bind(F.size(F.filter(coarse, lambda cut: cut <= value)), finer)
 
 
 def _grouped(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -77,13 +89,25 @@ def positions(counts: DataFrame, keys: Sequence[str], order: Sequence[str], weig
     group) and, with ``mean_of``, ``mean`` (weighted mean of that column). ``staged`` says that
     ``counts`` is a written table already.
     """
-    cut = cut_into_ranges(counts if staged else stage(counts, "counts"), order, one_task_rows)
-    cut, group = _grouped(cut, keys)
+    rows = counts if staged else stage(counts, "counts")
+    extra = ["mean"] if mean_of else []
     value = F.col(mean_of).cast("double") if mean_of else F.lit(0.0)
+    upto = (Window.unboundedPreceding, Window.currentRow)
+    if fits_one_task(rows, one_task_rows):
+        grouped, group = _grouped(rows, keys)
+        whole = Window.partitionBy(*group)
+        weights, moments = F.sum(weight).over(whole), F.sum(value * F.col(weight)).over(whole)
+        running = F.sum(weight).over(whole.orderBy(*order).rowsBetween(*upto))
+        ranked = grouped.withColumn("through", running).withColumn("total", weights).withColumn(
+            "mean", F.try_divide(moments, F.col("total"))
+        )
+        return ranked.select(*counts.columns, (F.col("through") - F.col(weight)).alias("before"), "through", "total", *extra)
+
+    cut, group = _grouped(cut_into_ranges(rows, order), keys)
     blocks = cut.groupBy(*group, "_range").agg(
         F.sum(weight).alias("_weight"), F.sum(value * F.col(weight)).alias("_moment")
     )
-    whole = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+    whole = Window.partitionBy(*group)
     earlier = whole.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select(
         *group, "_range",
@@ -91,16 +115,11 @@ def positions(counts: DataFrame, keys: Sequence[str], order: Sequence[str], weig
         F.sum("_weight").over(whole).alias("total"),
         F.try_divide(F.sum("_moment").over(whole), F.sum("_weight").over(whole)).alias("mean"),
     )
-    inside = Window.partitionBy(*group, "_range").orderBy(*order).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
+    inside = Window.partitionBy(*group, "_range").orderBy(*order).rowsBetween(*upto)
     ranked = cut.withColumn("_running", F.sum(weight).over(inside)).join(blocks, [*group, "_range"])
-    extra = ["mean"] if mean_of else []
+    through = F.col("_offset") + F.col("_running")
     return ranked.select(
-        *counts.columns,
-        (F.col("_offset") + F.col("_running") - F.col(weight)).alias("before"),
-        (F.col("_offset") + F.col("_running")).alias("through"),
-        "total", *extra,
+        *counts.columns, (through - F.col(weight)).alias("before"), through.alias("through"), "total", *extra
     )
 
 
@@ -203,20 +222,20 @@ def nearest_below(points: DataFrame, marks: DataFrame, keys: Sequence[str], posi
     ).unionByName(
         points.select(*keys, position, F.lit(1).alias("_is_point"), F.lit(None).cast("string").alias(payload))
     )
-    ranged = cut_into_ranges(stage(both, "lookup"), [*keys, position], one_task_rows)
-    ranged, group = _grouped(ranged, keys)
+    rows = stage(both, "lookup")
     is_mark = F.col("_is_point") == 0
-    blocks = ranged.groupBy(*group, "_range").agg(
+    order, upto = [position, "_is_point", payload], (Window.unboundedPreceding, Window.currentRow)
+    if fits_one_task(rows, one_task_rows):
+        inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto)
+        found = rows.withColumn("_here", F.last(payload, ignorenulls=True).over(inside)).where(~is_mark)
+        return found.select(*keys, position, F.col("_here").alias(payload))
+
+    cut, group = _grouped(cut_into_ranges(rows, [*keys, position]), keys)
+    blocks = cut.groupBy(*group, "_range").agg(
         F.max_by(payload, F.when(is_mark, F.struct(position, payload))).alias("_last")
     )
     earlier = Window.partitionBy(*group).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     blocks = blocks.select(*group, "_range", F.last("_last", ignorenulls=True).over(earlier).alias("_carry"))
-    inside = (
-        Window.partitionBy(*group, "_range").orderBy(position, "_is_point", payload)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    found = ranged.withColumn("_here", F.last(payload, ignorenulls=True).over(inside))
-    return (
-        found.where(~is_mark).join(blocks, [*group, "_range"])
-        .select(*keys, position, F.coalesce("_here", "_carry").alias(payload))
-    )
+    inside = Window.partitionBy(*group, "_range").orderBy(*order).rowsBetween(*upto)
+    found = cut.withColumn("_here", F.last(payload, ignorenulls=True).over(inside)).where(~is_mark)
+    return found.join(blocks, [*group, "_range"]).select(*keys, position, F.coalesce("_here", "_carry").alias(payload))

@@ -7,7 +7,7 @@ from json import dumps as json_text
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.functions.documents import as_map, info, once, parse, top_level
+from fieldlens.functions.documents import as_map, bind, info, is_object, once, parse, top_level
 from fieldlens.schema import HISTOGRAM_DDL, VARIANT_MAP_DDL
 
 DEFAULT_SPEC = "default"
@@ -56,9 +56,12 @@ def _as_text(value: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
-def checks(value: Column, spec: Column) -> Column:
-    """Struct of failed checks for one histogram value against its specification struct."""
-    hist = F.try_variant_get(value, F.lit("$"), HISTOGRAM_DDL)
+def typed(value: Column) -> Column:
+    return F.try_variant_get(value, F.lit("$"), HISTOGRAM_DDL)
+
+
+def checks(hist: Column, spec: Column) -> Column:
+    """Struct of failed checks for one typed histogram against its specification struct."""
     limits = F.try_variant_get(hist["range"], F.lit("$"), "array<variant>")
 
     def differs(expected, found):
@@ -102,7 +105,7 @@ def _judge(rows: DataFrame, spec: DataFrame) -> DataFrame:
     )
     known = F.broadcast(known) if is_small(spec) else known
     joined = match_versions(rows, spec).join(known, ["spec_key", "hist_name"], "left")
-    outcome = joined.withColumn("_checks", checks(F.col("value"), F.col("spec")))
+    outcome = joined.withColumn("_hist", typed(F.col("value"))).withColumn("_checks", checks(F.col("_hist"), F.col("spec")))
     is_known = F.col("spec").isNotNull()
     kept = [c for c in rows.columns if c not in ("value", "product_version")]
     return outcome.select(
@@ -189,7 +192,9 @@ def _verdicts_in_document(df: DataFrame, spec: DataFrame, kept: list[str]) -> Da
 
     def verdict(name, value):
         entry = F.get(F.filter(F.get(of_version, _slot(name)), lambda e: e["hist_name"] == name), F.lit(0))
-        return F.when(entry.isNotNull(), passed(checks(value, entry)))
+        return bind(entry, lambda spec: F.when(
+            spec.isNotNull(), bind(typed(value), lambda hist: passed(checks(hist, spec)))
+        ))
 
     return once(df, *kept, F.transform_values("histograms", verdict).alias("_verdicts"))
 
@@ -217,13 +222,13 @@ def with_validated(df: DataFrame, spec: DataFrame, small: bool | None = None, ou
     text_true, text_false = F.lit("true").cast("variant"), F.lit("false").cast("variant")
 
     def marked(name, value):
-        verdict = F.col("_verdicts")[name]
-        fields = as_map(value)
-        with_flag = F.map_concat(
-            F.map_filter(fields, lambda field, _: field != "valid"),
-            F.create_map(F.lit("valid"), F.when(verdict, text_true).otherwise(text_false)),
-        )
-        return F.when(verdict.isNotNull() & fields.isNotNull(), F.to_variant_object(with_flag)).otherwise(value)
+        def with_flag(verdict):
+            fields = F.map_concat(
+                as_map(value), F.create_map(F.lit("valid"), F.when(verdict, text_true).otherwise(text_false))
+            )
+            return F.when(verdict.isNotNull() & is_object(value), F.to_variant_object(fields)).otherwise(value)
+
+        return bind(F.col("_verdicts")[name], with_flag)
 
     evaluated = info("appVersion").isNotNull() & histograms.isNotNull()
     all_passed = ~F.coalesce(F.exists(F.map_values("_verdicts"), lambda v: ~v), F.lit(False))
@@ -243,10 +248,10 @@ def with_validated(df: DataFrame, spec: DataFrame, small: bool | None = None, ou
         new_histograms,
         F.create_map(F.lit("info"), F.to_variant_object(new_info)),
     )
-    is_object = F.col("_top").isNotNull()
+    has_top = F.col("_top").isNotNull()
     return once(
-        ready, *df.columns, F.when(is_object, F.col("_valid")).alias("is_valid"),
-        F.when(is_object, F.to_json(new_top)).alias(out),
+        ready, *df.columns, F.when(has_top, F.col("_valid")).alias("is_valid"),
+        F.when(has_top, F.to_json(new_top)).alias(out),
     )
 
 

@@ -17,11 +17,11 @@ from fieldlens.schema import PRERELEASE_CHANNELS, RELEASE_CHANNEL, SPEC_DDL, SUB
 def write_store(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Store submissions by day. Only the days present in ``df`` are replaced, so a day can be re-run.
 
-    Rows are spread over the tasks by key within a day, so one large day is written by many tasks.
+    Rows are rebalanced by day: small days share a task and a large day is split over many.
     """
     out = df.select("k", "json", F.coalesce("d", day_from_key(F.col("k"))).alias("d"))
     (
-        out.repartition("d", F.pmod(F.xxhash64("k"), F.lit(64)))
+        out.hint("rebalance", "d")
         .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("d").parquet(path)
     )
 
@@ -88,8 +88,8 @@ def export_union(prerelease: DataFrame, release: DataFrame) -> DataFrame:
 def overlay(base: DataFrame, updates: DataFrame) -> DataFrame:
     """New JSON replaces that of the same key, new keys are added, other rows stay.
 
-    Keys are unique in either input. The day belongs to the key, so it is part of the join and both
-    inputs stay partitioned alike.
+    Keys are unique in either input, so no key can be hot. Jobs that rewrite the rows they read
+    replace the document in place instead and need no join.
     """
     new = updates.select("k", F.col("json").alias("_new"), F.lit(True).alias("_updated"))
     joined = base.select("k", "json").join(new, "k", "full_outer")
@@ -131,7 +131,7 @@ def ping_payloads(files: DataFrame, key: str = "dummy") -> DataFrame:
 
 
 def read_ping_payloads(spark: SparkSession, path: str, key: str = "dummy") -> DataFrame:
-    return ping_payloads(spark.read.option("wholetext", True).text(path), key)
+    return ping_payloads(spark.read.text(path, wholetext=True), key)
 
 
 def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = "\t", header: bool = False,
@@ -178,7 +178,7 @@ def specs_from_documents(documents: DataFrame) -> DataFrame:
 def read_specs(spark: SparkSession, lookup: Mapping[str, str]) -> DataFrame:
     """Specifications named by version key; ``lookup`` maps each key to the path of its JSON file."""
     parts = [
-        spark.read.option("wholetext", True).text(path)
+        spark.read.text(path, wholetext=True)
         .select(F.lit(version).alias("version_key"), F.col("value").alias("json"))
         for version, path in lookup.items()
     ]
