@@ -16,9 +16,6 @@ from fieldlens.functions.scalars import day_from_key, null_default, os_version
 from fieldlens.schema import DIMENSIONS, INFO_FIELDS, MISSING, PART_TYPES, PRESENT_DDL, VARIANT_MAP_DDL
 
 
-NUMBER_TYPES = "^(BIGINT|DECIMAL|DOUBLE|FLOAT)"
-
-
 def once(df: DataFrame, *columns: str | Column) -> DataFrame:
     """Select columns so that each is computed exactly once per row.
 
@@ -119,8 +116,15 @@ def size_of(steps: str | Sequence[str], doc: str | Column = "doc") -> Column:
 
 def number(value: Column, as_type: str) -> Column:
     """Numeric leaf of the given type; text, booleans, null and nested values give NULL."""
-    is_number = F.schema_of_variant(value).rlike(NUMBER_TYPES)
-    return F.when(is_number, F.try_variant_get(value, F.lit("$"), as_type))
+    kind = F.schema_of_variant(value)
+    # Most numbers are whole, and those are read without a conversion inside the VARIANT.
+    whole = F.when(kind == "BIGINT", F.try_variant_get(value, F.lit("$"), "bigint"))
+    other = F.when(
+        kind.isin("DOUBLE", "FLOAT") | kind.startswith("DECIMAL"), F.try_variant_get(value, F.lit("$"), "double")
+    )
+    if as_type == "bigint":
+        return F.coalesce(whole, other.try_cast("bigint"))
+    return F.coalesce(whole.try_cast(as_type), other.try_cast(as_type))
 
 
 def info(field: str) -> Column:

@@ -91,17 +91,28 @@ def _measure_bucket(measure: Column, is_member: Column, value: Column) -> Column
     return out.otherwise(grid_bucket(value, low, high, OTHER_MEASURE_STEP))
 
 
-def _tagged(parts: Column, is_measure: bool) -> Column:
-    """Members of an object as an array of (is_measure, part, leaf)."""
-    return F.coalesce(
-        F.transform(
-            F.map_entries(parts),
-            lambda e: F.struct(F.lit(is_measure).alias("is_measure"), e["key"].alias("part"), e["value"].alias("leaf")),
-        ),
-        F.array().cast("array<struct<is_measure: boolean, part: string, leaf: variant>>"),
+PART_DDL = "struct<is_measure: boolean, part: string, member: string, leaf: variant>"
+
+
+def _part(is_measure: bool, part: Column, member: Column, leaf: Column) -> Column:
+    return F.struct(
+        F.lit(is_measure).alias("is_measure"), part.alias("part"), member.cast("string").alias("member"), leaf.alias("leaf")
     )
 
 
+def _histogram_parts() -> Column:
+    return F.transform(F.map_entries("histograms"), lambda e: _part(False, e["key"], F.lit(None), e["value"]))
+
+
+def _measure_parts() -> Column:
+    """One part per measure, or one per member of a measure that is an object."""
+    def parts(e):
+        members = F.transform(F.map_entries(as_map(e["value"])), lambda m: _part(True, e["key"], m["key"], m["value"]))
+        return F.coalesce(members, F.array(_part(True, e["key"], F.lit(None), e["value"])))
+
+    return F.flatten(F.transform(F.map_entries("simpleMeasurements"), parts))
+
+
 # Row generators
 
 def entries(df: DataFrame, carry: Sequence[str | Column], histograms: bool = True,
@@ -111,29 +122,20 @@ def entries(df: DataFrame, carry: Sequence[str | Column], histograms: bool = Tru
     ``carry`` holds the columns to keep; the parsed parts are dropped before the rows fan out. Both
     kinds come from one explode, so a document is read once.
     """
+    none = F.array().cast(f"array<{PART_DDL}>")
     arrays = []
     if histograms:
-        arrays.append(_tagged(F.col("histograms"), False))
-    if measures:
-        arrays.append(_tagged(F.col("simpleMeasurements"), True))
-    parts = F.concat(*arrays) if len(arrays) > 1 else arrays[0]
-    prepared = once(df, *carry, parts.alias("_parts"))
-    kept = [c for c in prepared.columns if c != "_parts"]
-    rows = prepared.select(*kept, F.inline("_parts"))
+        arrays.append(F.coalesce(_histogram_parts(), none))
     if measures:
-        alone = F.array(F.struct(F.lit(None).cast("string").alias("member"), F.col("leaf").alias("value")))
-        members = F.transform(
-            F.map_entries(F.when(F.col("is_measure"), as_map(F.col("leaf")))),
-            lambda e: F.struct(e["key"].alias("member"), e["value"].alias("value")),
-        )
-        rows = rows.select(*kept, "is_measure", "part", F.inline(F.coalesce(members, alone)))
-    else:
-        rows = rows.select(*kept, "is_measure", "part", F.lit(None).cast("string").alias("member"), F.col("leaf").alias("value"))
+        arrays.append(F.coalesce(_measure_parts(), none))
+    # The kept columns travel as one value through the fan-out: one copy per row, not one per column.
+    prepared = once(df, F.struct(*carry).alias("_kept"), F.concat(*arrays).alias("_parts"))
+    rows = prepared.select("_kept", F.inline("_parts"))
     is_measure, is_member = F.col("is_measure"), F.col("member").isNotNull()
     typed = rows.select(
-        *kept, "is_measure", "part", "member",
-        F.when(~is_measure, F.try_variant_get("value", F.lit("$"), HISTOGRAM_DDL)).alias("_hist"),
-        F.when(is_measure, number(F.col("value"), "bigint")).alias("_number"),
+        "_kept", "is_measure", "part", "member",
+        F.when(~is_measure, F.try_variant_get("leaf", F.lit("$"), HISTOGRAM_DDL)).alias("_hist"),
+        F.when(is_measure, number(F.col("leaf"), "bigint")).alias("_number"),
     )
     of_hist = _histogram_columns(F.col("_hist"))
     of_measure = _measure_columns(F.col("part"), is_member, F.col("_number"))
@@ -143,12 +145,13 @@ def entries(df: DataFrame, carry: Sequence[str | Column], histograms: bool = Tru
     point = F.array(F.struct(
         _measure_bucket(F.col("part"), is_member, F.col("_number")).alias("v"), F.lit(1.0).alias("count")
     ))
-    return once(
-        typed, *kept,
+    complete = once(
+        typed, "_kept",
         F.when(is_measure, measure_name).otherwise(F.col("part")).alias("hist_name"),
         *[F.when(is_measure, of_measure[c]).otherwise(of_hist[c]).alias(c) for c in NAME_ROW[1:]],
         F.when(is_measure, point).otherwise(_buckets(F.col("_hist")["values"])).alias("buckets"),
     ).where(COMPLETE)
+    return complete.select("_kept.*", *NAME_ROW, "buckets")
 
 
 def by_name(df: DataFrame, carry: Sequence[str | Column]) -> DataFrame:
