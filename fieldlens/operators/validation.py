@@ -184,27 +184,26 @@ def _lookup(spec: DataFrame) -> Column:
     return F.from_json(F.lit(json_text(table)), kind)
 
 
-def _verdicts_in_document(df: DataFrame, spec: DataFrame, kept: list[str]) -> DataFrame:
+def _verdicts_in_document(spec: DataFrame) -> Column:
     """Verdict per histogram as a map, computed inside the document without a shuffle."""
-    lookup = _lookup(spec)
-    df = once(df, *df.columns, spec_key(info("appVersion"), version_keys(spec)).alias("_spec_key"))
-    of_version = F.element_at(lookup, F.coalesce("_spec_key", F.lit("")))
+    def of_version(slots):
+        def verdict(name, value):
+            entry = F.get(F.filter(F.get(slots, _slot(name)), lambda e: e["hist_name"] == name), F.lit(0))
+            return bind(entry, lambda known: F.when(
+                known.isNotNull(), bind(typed(value), lambda hist: passed(checks(hist, known)))
+            ))
 
-    def verdict(name, value):
-        entry = F.get(F.filter(F.get(of_version, _slot(name)), lambda e: e["hist_name"] == name), F.lit(0))
-        return bind(entry, lambda spec: F.when(
-            spec.isNotNull(), bind(typed(value), lambda hist: passed(checks(hist, spec)))
-        ))
+        return F.transform_values("histograms", verdict)
 
-    return once(df, *kept, F.transform_values("histograms", verdict).alias("_verdicts"))
+    key = spec_key(info("appVersion"), version_keys(spec))
+    return bind(F.element_at(_lookup(spec), F.coalesce(key, F.lit(""))), of_version)
 
 
-def _verdicts_by_join(df: DataFrame, spec: DataFrame, kept: list[str]) -> DataFrame:
-    """The same map for specifications of any size: rows are joined, then folded per document."""
-    folded = check_rows(df.select("k", "json"), spec).groupBy("k").agg(
+def _verdicts_by_join(df: DataFrame, spec: DataFrame) -> DataFrame:
+    """The same map per key for specifications of any size: rows are joined, then folded per document."""
+    return check_rows(df, spec).groupBy("k").agg(
         F.map_from_entries(F.collect_list(F.struct("hist_name", "valid"))).alias("_verdicts")
     )
-    return df.select(*kept).join(folded, "k", "left")
 
 
 def with_validated(df: DataFrame, spec: DataFrame, small: bool | None = None, out: str = "new_json") -> DataFrame:
@@ -216,8 +215,11 @@ def with_validated(df: DataFrame, spec: DataFrame, small: bool | None = None, ou
     """
     small = is_small(spec) if small is None else small
     parsed = parse(df, "info", "histograms")
-    judge = _verdicts_in_document if small else _verdicts_by_join
-    judged = judge(parsed, spec, [*df.columns, "info", "histograms"])
+    if small:
+        verdicts = _verdicts_in_document(spec).alias("_verdicts")
+    else:
+        parsed, verdicts = parsed.join(_verdicts_by_join(df.select("k", "json"), spec), "k", "left"), F.col("_verdicts")
+    ready = once(parsed, *df.columns, "info", "histograms", verdicts, top_level().alias("_top"))
     histograms = F.col("histograms")
     text_true, text_false = F.lit("true").cast("variant"), F.lit("false").cast("variant")
 
@@ -232,15 +234,14 @@ def with_validated(df: DataFrame, spec: DataFrame, small: bool | None = None, ou
 
     evaluated = info("appVersion").isNotNull() & histograms.isNotNull()
     all_passed = ~F.coalesce(F.exists(F.map_values("_verdicts"), lambda v: ~v), F.lit(False))
-    ready = once(judged, *df.columns, "info", "histograms", "_verdicts",
-                 (evaluated & all_passed).alias("_valid"), evaluated.alias("_evaluated"), top_level().alias("_top"))
+    valid = evaluated & all_passed
     no_fields = F.create_map().cast(VARIANT_MAP_DDL)
     new_info = F.map_concat(
         F.map_filter(F.coalesce(as_map(F.col("info")), no_fields), lambda name, _: name != "validForSchema"),
-        F.create_map(F.lit("validForSchema"), F.when(F.col("_valid"), text_true).otherwise(text_false)),
+        F.create_map(F.lit("validForSchema"), F.when(valid, text_true).otherwise(text_false)),
     )
     new_histograms = F.when(
-        F.col("_evaluated"),
+        evaluated,
         F.create_map(F.lit("histograms"), F.to_variant_object(F.transform_values(histograms, marked))),
     ).otherwise(F.map_filter("_top", lambda name, _: name == "histograms"))
     new_top = F.map_concat(
@@ -250,7 +251,7 @@ def with_validated(df: DataFrame, spec: DataFrame, small: bool | None = None, ou
     )
     has_top = F.col("_top").isNotNull()
     return once(
-        ready, *df.columns, F.when(has_top, F.col("_valid")).alias("is_valid"),
+        ready, *df.columns, F.when(has_top, valid).alias("is_valid"),
         F.when(has_top, F.to_json(new_top)).alias(out),
     )
 

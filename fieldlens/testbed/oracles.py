@@ -349,7 +349,7 @@ paints("minmax_scale", """SELECT firstpaint, round(CAST(firstpaint - (SELECT min
 oracle("count_by_version", f"SELECT version AS product_version, count(*) AS cnt FROM subs WHERE product = '{DESKTOP}' AND version IS NOT NULL GROUP BY version")
 oracle("hist_name_totals", "SELECT * FROM name_totals", KEPT, ENTRIES, NAME_TOTALS)
 oracle("hist_value_totals", "SELECT * FROM value_totals", KEPT, ENTRIES, POINTS, VALUE_TOTALS)
-for _name in ("hist_join_name_value", "daily_aggregates"):
+for _name in ("hist_join_name_value", "daily_aggregates", "stored_daily_aggregates"):
     oracle(_name, "SELECT * FROM joined", KEPT, ENTRIES, POINTS, NAME_TOTALS, VALUE_TOTALS, JOINED)
 oracle("aggregate_json_docs", f"""SELECT substr(d, 1, 6) AS month, d AS date, reason, product AS "appName", product_version AS "appVersion",
   product_channel AS "appUpdateChannel", arch, os AS "OS", os_version AS version, app_build_id AS "appBuildID", plat_build_id AS "platformBuildID",

@@ -11,8 +11,8 @@ from fieldlens.functions import documents as docs
 from fieldlens.functions import predicates as pred
 from fieldlens.functions import scalars as sf
 from fieldlens.operators import hangs, histograms, ranking, slowsql, statistics, validation
-from fieldlens.plans import jobs
-from fieldlens.schema import DIMENSIONS, SLOW_SQL_DDL, SUBMISSION_STATS_DDL
+from fieldlens.plans import jobs, tables
+from fieldlens.schema import CYCLE_COLLECTOR_DDL, DEFAULT_REASONS, SUBMISSION_STATS_DDL
 from fieldlens.session import configure, fresh_path, stage
 from fieldlens.sources import catalog
 from fieldlens.sources import submissions as store
@@ -108,10 +108,7 @@ def delimited_source(spark, sf_dir):
     """Tab-separated extract read with names and types; text that is not a number is NULL."""
     path = fresh_path(spark, "extract")
     store.write_delimited(data.cycle_collector_extract(spark, sf_dir), path, sep="\t")
-    raw = store.read_delimited(
-        spark, path, "id string, date_str string, version string, os string, hist_name string, "
-        "hist_value string, hist_value_count string, hist_sum string", "\t",
-    )
+    raw = store.read_delimited(spark, path, CYCLE_COLLECTOR_DDL, "\t")
     return raw.select(
         "id", "date_str", "os", sf.to_number(F.col("hist_value")).alias("hist_value"),
         sf.to_number(F.col("hist_value_count")).alias("hist_value_count"),
@@ -373,9 +370,7 @@ def submission_stats(spark, sf_dir):
 
 @query
 def submission_stats_by_product(spark, sf_dir):
-    """Size is taken from the key here, which the oracle can compute too; see submission_stats."""
-    rows = submissions(spark, sf_dir).withColumn("json", F.col("json"))
-    stats = jobs.submission_stats(rows, by_product=True)
+    stats = jobs.submission_stats(submissions(spark, sf_dir), by_product=True)
     return stats.select("d", "product", "product_version", "count", "sum_size", _six("avg_size").alias("avg_size"))
 
 
@@ -506,6 +501,14 @@ def aggregate_json_docs(spark, sf_dir):
     )
 
 
+@query
+def stored_daily_aggregates(spark, sf_dir):
+    """The same totals from the stored histogram table instead of the documents."""
+    path = fresh_path(spark, "tables")
+    tables.write_tables(submissions(spark, sf_dir), path)
+    return tables.daily_aggregates(tables.read_table(spark, path, "hist"), ALL_PRODUCTS, DEFAULT_REASONS)
+
+
 # Slow SQL
 
 @query

@@ -7,7 +7,9 @@ import os
 import pytest
 
 import __spark_entry__ as contract
-from fieldlens.plans import jobs
+from fieldlens.plans import jobs, tables
+from fieldlens.schema import DEFAULT_REASONS
+from fieldlens.session import drop_staged, stage
 from fieldlens.sources import submissions as store
 from fieldlens.testbed import data
 
@@ -55,3 +57,28 @@ def test_rewriting_documents_needs_no_shuffle(spark, stored):
 
 def test_hang_filter_reads_stored_rows_without_a_shuffle(spark, stored):
     assert "Exchange" not in plan(jobs.hang_submissions(stored))
+
+
+def test_stored_tables_take_filters_into_the_scan(spark, tmp_path):
+    path = str(tmp_path / "tables")
+    rows = data.submissions(spark, SF_DIR)
+    tables.write_tables(rows, path)
+    docs = tables.read_table(spark, path, "docs")
+    out = tables.flash_versions(docs.where("d between '20240103' and '20240105'"), [data.DESKTOP], DEFAULT_REASONS, "WINNT")
+    text = plan(out)
+    assert "EqualTo(os,WINNT)" in text and "PartitionFilters: [isnotnull(d" in text and "json" not in text
+    whole = tables.flash_versions(docs, [data.DESKTOP], DEFAULT_REASONS, "WINNT")
+    direct = jobs.flash_versions(rows, [data.DESKTOP], os="WINNT")
+    assert sorted(map(str, whole.collect())) == sorted(map(str, direct.collect()))
+    stored = tables.read_table(spark, path, "slow_sql").drop("k").select("thread", "sql", "count", "t", "d")
+    made = jobs.slow_sql_rows(rows).select("thread", "sql", "count", "t", "d")
+    assert sorted(map(str, stored.collect())) == sorted(map(str, made.collect()))
+
+
+def test_staged_files_can_be_dropped(spark):
+    staged = stage(spark.range(3), "gone")
+    assert staged.count() == 3
+    folder = staged.inputFiles()[0].split(":")[-1].replace("//", "/").rsplit("/", 1)[0]
+    assert os.path.isdir(folder)
+    drop_staged(spark)
+    assert not os.path.isdir(folder)
