@@ -115,13 +115,9 @@ def _measure_parts() -> Column:
 
 # Row generators
 
-def entries(df: DataFrame, carry: Sequence[str | Column], histograms: bool = True,
-            measures: bool = True) -> DataFrame:
-    """One row per usable histogram or simple measure, with its usable buckets as an array.
-
-    ``carry`` holds the columns to keep; the parsed parts are dropped before the rows fan out. Both
-    kinds come from one explode, so a document is read once.
-    """
+def _all_entries(df: DataFrame, carry: Sequence[str | Column], histograms: bool = True,
+                 measures: bool = True) -> DataFrame:
+    """Every histogram and measure, usable or not, with the kept columns packed as ``_kept``."""
     none = F.array().cast(f"array<{PART_DDL}>")
     arrays = []
     if histograms:
@@ -145,13 +141,44 @@ def entries(df: DataFrame, carry: Sequence[str | Column], histograms: bool = Tru
     point = F.array(F.struct(
         _measure_bucket(F.col("part"), is_member, F.col("_number")).alias("v"), F.lit(1.0).alias("count")
     ))
-    complete = once(
-        typed, "_kept",
+    return once(
+        typed, "_kept", "is_measure", F.size(F.col("_hist")["values"]).alias("_n_values"),
         F.when(is_measure, measure_name).otherwise(F.col("part")).alias("hist_name"),
         *[F.when(is_measure, of_measure[c]).otherwise(of_hist[c]).alias(c) for c in NAME_ROW[1:]],
         F.when(is_measure, point).otherwise(_buckets(F.col("_hist")["values"])).alias("buckets"),
-    ).where(COMPLETE)
-    return complete.select("_kept.*", *NAME_ROW, "buckets")
+    )
+
+
+def entries(df: DataFrame, carry: Sequence[str | Column], histograms: bool = True,
+            measures: bool = True) -> DataFrame:
+    """One row per usable histogram or simple measure, with its usable buckets as an array.
+
+    ``carry`` holds the columns to keep; the parsed parts are dropped before the rows fan out. Both
+    kinds come from one explode, so a document is read once.
+    """
+    usable = _all_entries(df, carry, histograms, measures).where(COMPLETE)
+    return usable.select("_kept.*", *NAME_ROW, "buckets")
+
+
+def warnings(df: DataFrame, carry: Sequence[str | Column]) -> DataFrame:
+    """How much :func:`entries` and the daily totals leave out, in one row.
+
+    Histograms without a required part, measures and buckets that are no numbers, and usable entries
+    with a NULL among the kept columns, which the totals cannot match.
+    """
+    rows = _all_entries(df, carry)
+    complete = F.expr(COMPLETE)
+    any_null = F.exists(
+        F.array(*[F.col("_kept")[c].cast("string") for c in df.select(*carry).columns]), lambda v: v.isNull()
+    )
+    return rows.agg(
+        F.count_if(~F.col("is_measure") & ~complete).alias("bad_histograms"),
+        F.count_if(F.col("is_measure") & ~complete).alias("bad_measures"),
+        F.coalesce(
+            F.sum(F.when(complete & ~F.col("is_measure"), F.col("_n_values") - F.size("buckets"))), F.lit(0)
+        ).alias("bad_buckets"),
+        F.count_if(complete & any_null).alias("null_dimensions"),
+    )
 
 
 def by_name(df: DataFrame, carry: Sequence[str | Column]) -> DataFrame:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from fieldlens.functions import scalars as sf
 from fieldlens.functions.documents import dimension_columns, info, is_complete, parse
@@ -49,8 +50,10 @@ def write_tables(submissions: DataFrame, path: str) -> None:
 
 
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
-    rows = spark.read.parquet(f"{path}/{name}")
-    return rows.withColumn("d", F.col("d").cast("string")) if dict(rows.dtypes)["d"] != "string" else rows
+    """Read a table with the day as text; left to inference it would be a number and need a cast."""
+    where = f"{path}/{name}"
+    fields = [StructField("d", StringType()) if f.name == "d" else f for f in spark.read.parquet(where).schema.fields]
+    return spark.read.schema(StructType(fields)).parquet(where)
 
 
 def daily_aggregates(hist: DataFrame, products, reasons) -> DataFrame:

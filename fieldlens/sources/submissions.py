@@ -121,7 +121,9 @@ def read_key_json_lines(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_key_json_lines(df: DataFrame, path: str) -> None:
-    df.select(F.concat_ws("\t", "k", "json").alias("value")).write.text(path)
+    """One line per row; a line break in JSON can only be layout, so a blank stands for it."""
+    one_line = F.translate("json", "\r\n", "  ")
+    df.select(F.concat_ws("\t", "k", one_line).alias("value")).write.text(path)
 
 
 def ping_payloads(files: DataFrame, key: str = "dummy") -> DataFrame:

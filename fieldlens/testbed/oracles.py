@@ -347,6 +347,9 @@ paints("minmax_scale", """SELECT firstpaint, round(CAST(firstpaint - (SELECT min
 
 # Aggregates of histograms
 oracle("count_by_version", f"SELECT version AS product_version, count(*) AS cnt FROM subs WHERE product = '{DESKTOP}' AND version IS NOT NULL GROUP BY version")
+oracle("expansion_warnings", """SELECT (SELECT count(*) FROM kept WHERE e % 50 IN (1, 6, 7)) AS bad_histograms,
+  (SELECT count(*) FROM kept WHERE e % 53 = 5) AS bad_measures, (SELECT count(*) FROM kept WHERE e % 50 = 2) AS bad_buckets,
+  (SELECT count(*) FROM entries WHERE arch IS NULL OR version IS NULL) AS null_dimensions""", KEPT, ENTRIES)
 oracle("hist_name_totals", "SELECT * FROM name_totals", KEPT, ENTRIES, NAME_TOTALS)
 oracle("hist_value_totals", "SELECT * FROM value_totals", KEPT, ENTRIES, POINTS, VALUE_TOTALS)
 for _name in ("hist_join_name_value", "daily_aggregates", "stored_daily_aggregates"):

@@ -448,6 +448,11 @@ def count_by_version(spark, sf_dir):
     return jobs.count_by_version(submissions(spark, sf_dir), [DESKTOP])
 
 
+@query
+def expansion_warnings(spark, sf_dir):
+    return histograms.warnings(_dims_parsed(spark, sf_dir), docs.dimension_columns())
+
+
 @query
 def hist_name_totals(spark, sf_dir):
     return histograms.name_totals(jobs.histogram_rows(submissions(spark, sf_dir), ALL_PRODUCTS))
