@@ -8,7 +8,6 @@ then be computed straight from the columns, without going through JSON.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fieldlens.schema import SPEC_DDL, SYMBOL_DDL
 from fieldlens.session import configure

@@ -12,7 +12,7 @@ from fieldlens.functions import predicates as pred
 from fieldlens.functions import scalars as sf
 from fieldlens.operators import hangs, histograms, ranking, slowsql, statistics, validation
 from fieldlens.plans import jobs, tables
-from fieldlens.schema import CYCLE_COLLECTOR_DDL, DEFAULT_REASONS, SUBMISSION_STATS_DDL
+from fieldlens.schema import CYCLE_COLLECTOR_DDL, DEFAULT_REASONS, GC_UPTIME_DDL, SLOW_SQL_DDL, SUBMISSION_STATS_DDL
 from fieldlens.session import configure, fresh_path, stage
 from fieldlens.sources import catalog
 from fieldlens.sources import submissions as store
@@ -36,6 +36,13 @@ def query(function: Query) -> Query:
     return function
 
 
+def _from_file(extract: DataFrame, schema: str) -> DataFrame:
+    """The extract as analyses get it: a tab-separated file read with names and types."""
+    path = fresh_path(extract.sparkSession, "extract")
+    store.write_delimited(extract, path, sep="\t")
+    return store.read_delimited(extract.sparkSession, path, schema, "\t")
+
+
 def _six(value):
     return F.round(value, 6)
 
@@ -106,9 +113,7 @@ def delimited_sink(spark, sf_dir):
 @query
 def delimited_source(spark, sf_dir):
     """Tab-separated extract read with names and types; text that is not a number is NULL."""
-    path = fresh_path(spark, "extract")
-    store.write_delimited(data.cycle_collector_extract(spark, sf_dir), path, sep="\t")
-    raw = store.read_delimited(spark, path, CYCLE_COLLECTOR_DDL, "\t")
+    raw = _from_file(data.cycle_collector_extract(spark, sf_dir), CYCLE_COLLECTOR_DDL)
     return raw.select(
         "id", "date_str", "os", sf.to_number(F.col("hist_value")).alias("hist_value"),
         sf.to_number(F.col("hist_value_count")).alias("hist_value_count"),
@@ -640,13 +645,13 @@ def two_level_average(spark, sf_dir):
 
 @query
 def gc_ratio_stats(spark, sf_dir):
-    out = jobs.gc_ratio_stats(data.gc_extract(spark, sf_dir))
+    out = jobs.gc_ratio_stats(_from_file(data.gc_extract(spark, sf_dir), GC_UPTIME_DDL))
     return out.select("date", "version", *[_six(c).alias(c) for c in out.columns[2:]])
 
 
 @query
 def group_stats(spark, sf_dir):
-    out = jobs.slow_sql_stats(data.slow_sql_extract(spark, sf_dir))
+    out = jobs.slow_sql_stats(_from_file(data.slow_sql_extract(spark, sf_dir), SLOW_SQL_DDL))
     return out.select("sql", *[_six(c).alias(c) for c in out.columns[1:]]).orderBy(F.desc("median_avg_time"), "sql")
 
 
@@ -721,10 +726,9 @@ def kernel_density(spark, sf_dir):
 @query
 def submission_trend(spark, sf_dir):
     """Daily volume written as a tab-separated extract, read back and scaled."""
-    path = fresh_path(spark, "stats")
     stats = jobs.submission_stats(submissions(spark, sf_dir), by_product=True)
-    store.write_delimited(stats.select("d", "product", "product_version", "count", "sum_size", "avg_size"), path, sep="\t")
-    extract = store.read_delimited(spark, path, SUBMISSION_STATS_DDL, "\t")
+    stats = stats.select("d", "product", "product_version", "count", "sum_size", "avg_size")
+    extract = _from_file(stats, SUBMISSION_STATS_DDL)
     out = jobs.submission_trend(extract, DESKTOP, ["16.0", "18.0.1", "9.0"])
     return out.select("date", "version", "version_major", "count", _six("avg_size_kb").alias("avg_size_kb"),
                       F.round("sum_size_gb", 9).alias("sum_size_gb"))

@@ -6,7 +6,6 @@ import os
 
 import pytest
 
-import __spark_entry__ as contract
 from fieldlens.plans import jobs, tables
 from fieldlens.schema import DEFAULT_REASONS
 from fieldlens.session import drop_staged, stage
@@ -28,13 +27,6 @@ def stored(spark, tmp_path_factory):
     return store.in_date_range(store.read_store(spark, path), "20240103", "20240105")
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
-def test_no_query_pairs_all_rows(spark, name):
-    text = plan(contract.queries()[name](spark, SF_DIR))
-    assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
-    assert "BatchEvalPython" not in text and "ArrowEvalPython" not in text and "MapInPandas" not in text
-
-
 def test_daily_aggregates_parse_once_and_shuffle_totals_only(spark, stored):
     text = plan(jobs.daily_aggregates(stored, data.ALL_PRODUCTS))
     assert text.count("from_json") == 1 and text.count("FileScan") == 1

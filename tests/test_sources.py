@@ -7,12 +7,10 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from fieldlens.operators import histograms
 from fieldlens.plans import jobs
 from fieldlens.session import fresh_path, shared_dir, stage
 from fieldlens.sources import catalog
 from fieldlens.sources import submissions as store
-from fieldlens.functions import documents as docs
 from tests.test_histograms import frame, histogram
 
 
