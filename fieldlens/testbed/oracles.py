@@ -2,6 +2,9 @@
 
 Nothing here goes through JSON: each answer is computed from the columns the documents were made of,
 so parsing, expansion and rewriting are checked by another route.
+
+Averages are rounded on both sides after adding 1e-9: a value that lies on a rounding border would
+otherwise fall to either side with the order in which its terms were added.
 """
 
 from __future__ import annotations
@@ -314,18 +317,18 @@ oracle("flatten_rows", """SELECT hist_name, CAST(edge AS INTEGER) AS edge, count
 oracle("null_default", "SELECT k, channel_na AS product_channel FROM subs")
 oracle("os_version_normalize", """SELECT kernel AS version, os_version, kernel_cut AS normalized_kernel_version, count(*) AS n FROM subs GROUP BY ALL""")
 oracle("kernel_to_android", "SELECT k, kernel AS kernel_version, android AS os_version FROM subs")
-oracle("submission_stats", """SELECT d, count(*) AS count, CAST(sum(length(json)) AS BIGINT) AS sum_size, round(avg(length(json)), 6) AS avg_size
+oracle("submission_stats", """SELECT d, count(*) AS count, CAST(sum(length(json)) AS BIGINT) AS sum_size, round(avg(length(json)) + 1e-9, 6) AS avg_size
   FROM stored GROUP BY d""", TEXT)
 BY_PRODUCT = """by_product AS (SELECT s.d, product, version AS product_version, count(*) AS count, CAST(sum(length(json)) AS BIGINT) AS sum_size,
   avg(length(json)) AS avg_size FROM subs s JOIN stored t USING (k) GROUP BY ALL)"""
-oracle("submission_stats_by_product", "SELECT d, product, product_version, count, sum_size, round(avg_size, 6) AS avg_size FROM by_product", TEXT, BY_PRODUCT)
+oracle("submission_stats_by_product", "SELECT d, product, product_version, count, sum_size, round(avg_size + 1e-9, 6) AS avg_size FROM by_product", TEXT, BY_PRODUCT)
 MINUTES = "CAST(floor(x * 10) AS BIGINT) - CASE WHEN e % 11 = 0 THEN 50 ELSE 0 END"
 oracle("bucket_uptime", f"SELECT e, {MINUTES} AS minutes, CAST({uptime(f'({MINUTES})')} AS BIGINT) AS bucket FROM facts")
 T = "(CAST(floor(x * 300) AS BIGINT) - 500)"
 oracle("bucket_generic", f"""SELECT e, CAST({grid(T, 0, 30000, 1000)} AS BIGINT) AS other, CAST({grid(T, 30000, 90000, 2000)} AS BIGINT) AS crash,
   CAST({grid('n', 0, 50, 1)} AS BIGINT) AS pings FROM facts""")
 AVERAGE = "CASE WHEN count <> 0 THEN CAST(t AS DOUBLE) / count END"
-oracle("avg_time_ratio", f"SELECT k, CAST(count AS BIGINT) AS count, CAST(t AS BIGINT) AS t, round({AVERAGE}, 6) AS avg_time FROM statements", SLOW_MAIN)
+oracle("avg_time_ratio", f"SELECT k, CAST(count AS BIGINT) AS count, CAST(t AS BIGINT) AS t, round({AVERAGE} + 1e-9, 6) AS avg_time FROM statements", SLOW_MAIN)
 QUOTED = r"""regexp_replace(sql, '''[^''\\]*(?:\\.[^''\\]*)*''', ':private', 'gs')"""
 plain("mask_sql_literals", rf"""WITH rows AS (SELECT doc_id, 'INSERT ''' || lang || '\''s'' x "' || source || '" ' || text AS sql FROM documents)
   SELECT doc_id, md5(regexp_replace({QUOTED}, '"[^"\\]*(?:\\.[^"\\]*)*"', ':private', 'g')) AS masked,
@@ -342,7 +345,7 @@ oracle("major_version", "SELECT version, CAST(split_part(version, '.', 1) AS INT
 CLAMPED = "CASE WHEN firstpaint IS NULL OR firstpaint < 0 THEN -1 WHEN firstpaint > 30000 THEN 31000 ELSE firstpaint END"
 paints("clamp_recode", f"SELECT {CLAMPED} AS firstpaint, CASE WHEN ndco > 30000 THEN 31000 ELSE ndco END AS ndco, count(*) AS n FROM paints GROUP BY ALL")
 paints("minmax_scale", """SELECT firstpaint, round(CAST(firstpaint - (SELECT min(firstpaint) FROM paints) AS DOUBLE)
-  / ((SELECT max(firstpaint) FROM paints) - (SELECT min(firstpaint) FROM paints)), 6) AS scaled, count(*) AS n
+  / ((SELECT max(firstpaint) FROM paints) - (SELECT min(firstpaint) FROM paints)) + 1e-9, 6) AS scaled, count(*) AS n
   FROM paints WHERE firstpaint IS NOT NULL GROUP BY ALL""")
 
 # Aggregates of histograms
@@ -384,7 +387,7 @@ def report(having: str = "true", lower_only: bool = False) -> str:
 def average_picks() -> str:
     return ", ".join(
         f"round((max(CASE WHEN r = greatest((c * {p} + {q - 1}) // {q}, 1) THEN avg_time END)"
-        f" + max(CASE WHEN r = least(c * {p} // {q} + 1, c) THEN avg_time END)) / 2, 6) AS {name}"
+        f" + max(CASE WHEN r = least(c * {p} // {q} + 1, c) THEN avg_time END)) / 2 + 1e-9, 6) AS {name}"
         for name, (p, q) in QUANTILES.items()
     )
 
@@ -486,36 +489,36 @@ oracle("shutdown_times", f"""SELECT CAST(n * 100 AS VARCHAR) AS "shutdownDuratio
 
 # Statistics
 DATE = "CAST(strptime(d, '%Y%m%d') AS DATE) AS date"
-oracle("two_level_average", f"""SELECT date, os, round(avg(avg_time), 6) AS avg_time, round(median(avg_time), 6) AS median_time, sum(sum_count) AS sum_count FROM (
+oracle("two_level_average", f"""SELECT date, os, round(avg(avg_time) + 1e-9, 6) AS avg_time, round(median(avg_time) + 1e-9, 6) AS median_time, sum(sum_count) AS sum_count FROM (
   SELECT u, {DATE}, CASE u % 3 WHEN 0 THEN 'WINNT' WHEN 1 THEN 'Linux' ELSE 'Darwin' END AS os, CAST(sum(1 + e % 3) AS DOUBLE) AS sum_count,
     CAST(sum(n * (1 + e % 3)) AS DOUBLE) / sum(1 + e % 3) AS avg_time FROM facts WHERE e % 37 <> 3 GROUP BY ALL) GROUP BY ALL""")
-oracle("gc_ratio_stats", f"""SELECT date, version, round(sum(n), 6) AS sum_sum_count, round(median(n), 6) AS median_sum_count, round(avg(n), 6) AS avg_sum_count,
-  round(stddev_samp(n), 6) AS sd_sum_count, round(median(ratio), 6) AS median_ratio, round(avg(ratio), 6) AS avg_ratio, round(stddev_samp(ratio), 6) AS sd_ratio FROM (
+oracle("gc_ratio_stats", f"""SELECT date, version, round(sum(n) + 1e-9, 6) AS sum_sum_count, round(median(n) + 1e-9, 6) AS median_sum_count, round(avg(n) + 1e-9, 6) AS avg_sum_count,
+  round(stddev_samp(n) + 1e-9, 6) AS sd_sum_count, round(median(ratio) + 1e-9, 6) AS median_ratio, round(avg(ratio) + 1e-9, 6) AS avg_ratio, round(stddev_samp(ratio) + 1e-9, 6) AS sd_ratio FROM (
   SELECT {DATE}, CASE u % 3 WHEN 0 THEN '16.0' WHEN 1 THEN '18.0.1' ELSE '21.0a1' END AS version, CAST(n AS DOUBLE) AS n, n / floor(x) AS ratio
   FROM facts WHERE floor(x) <> 0) GROUP BY ALL""")
 SQL_ROWS = """sql_rows AS (SELECT 'SELECT * FROM ' || kind || ' WHERE n = ' || CAST(n % 10 AS VARCHAR) AS sql, e % 5 AS count,
   CAST(floor(x) AS BIGINT) AS time, CASE WHEN e % 5 <> 0 THEN floor(x) / (e % 5) END AS rate FROM facts)"""
-oracle("group_stats", """SELECT sql, round(CAST(sum(count) AS DOUBLE), 6) AS count, round(CAST(sum(time) AS DOUBLE), 6) AS time,
-  round(CAST(sum(time) AS DOUBLE) / nullif(sum(count), 0), 6) AS avg_time, round(avg(rate), 6) AS avg_avg_time, round(median(rate), 6) AS median_avg_time,
-  round(stddev_samp(rate), 6) AS sd_avg_time FROM sql_rows GROUP BY sql""", SQL_ROWS)
-MEANS = "means AS (SELECT sql, CAST(sum(count) AS BIGINT) AS count, round(avg(rate), 6) AS avg_time FROM sql_rows GROUP BY sql)"
+oracle("group_stats", """SELECT sql, round(CAST(sum(count) AS DOUBLE) + 1e-9, 6) AS count, round(CAST(sum(time) AS DOUBLE) + 1e-9, 6) AS time,
+  round(CAST(sum(time) AS DOUBLE) / nullif(sum(count), 0) + 1e-9, 6) AS avg_time, round(avg(rate) + 1e-9, 6) AS avg_avg_time, round(median(rate) + 1e-9, 6) AS median_avg_time,
+  round(stddev_samp(rate) + 1e-9, 6) AS sd_avg_time FROM sql_rows GROUP BY sql""", SQL_ROWS)
+MEANS = "means AS (SELECT sql, CAST(sum(count) AS BIGINT) AS count, round(avg(rate) + 1e-9, 6) AS avg_time FROM sql_rows GROUP BY sql)"
 oracle("mean_ratio_by_sql", "SELECT * FROM means", SQL_ROWS, MEANS)
 oracle("rank_by_ratio", "SELECT sql, avg_time, row_number() OVER (ORDER BY avg_time NULLS FIRST, sql) AS idx FROM means", SQL_ROWS, MEANS)
 oracle("top_n", "SELECT * FROM means ORDER BY avg_time DESC NULLS LAST, sql LIMIT 20", SQL_ROWS, MEANS)
 PAIRS = f"pairs AS (SELECT firstpaint AS x, places AS y FROM paints WHERE {RELEASE} AND firstpaint IS NOT NULL AND places IS NOT NULL)"
-paints("corr_pearson", "SELECT round(corr(x, y), 6) AS pearson FROM pairs", PAIRS)
-paints("corr_spearman", """SELECT round(corr(rx, ry), 6) AS spearman FROM (
+paints("corr_pearson", "SELECT round(corr(x, y) + 1e-9, 6) AS pearson FROM pairs", PAIRS)
+paints("corr_spearman", """SELECT round(corr(rx, ry) + 1e-9, 6) AS spearman FROM (
   SELECT rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx,
          rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry FROM pairs)""", PAIRS)
 paints("histogram_bins", f"""SELECT si, lower, upper, n, round(CASE WHEN upper > lower THEN n / ((sum(n) OVER (PARTITION BY si)) * (upper - lower)) END, 9) AS density FROM (
   SELECT si, CASE WHEN b <= 0 THEN CAST(min(p) AS DOUBLE) WHEN b > 30 THEN 30000.0 ELSE (b - 1) * 1000.0 END AS lower,
     CASE WHEN b <= 0 THEN 0.0 WHEN b > 30 THEN CAST(max(p) AS DOUBLE) ELSE b * 1000.0 END AS upper, count(*) AS n FROM (
     SELECT si, {CLAMPED} AS p, CAST(least(greatest(ceil(({CLAMPED}) / 1000.0), 0), 31) AS INTEGER) AS b FROM cohort) GROUP BY si, b)""", COHORT)
-SIX = """round(CAST(min({0}) AS DOUBLE), 6) AS min, round(quantile_cont({0}, 0.25), 6) AS q1, round(median({0}), 6) AS median, round(avg({0}), 6) AS mean,
-  round(quantile_cont({0}, 0.75), 6) AS q3, round(CAST(max({0}) AS DOUBLE), 6) AS max, count(*) - count({0}) AS missing"""
+SIX = """round(CAST(min({0}) AS DOUBLE) + 1e-9, 6) AS min, round(quantile_cont({0}, 0.25) + 1e-9, 6) AS q1, round(median({0}) + 1e-9, 6) AS median, round(avg({0}) + 1e-9, 6) AS mean,
+  round(quantile_cont({0}, 0.75) + 1e-9, 6) AS q3, round(CAST(max({0}) AS DOUBLE) + 1e-9, 6) AS max, count(*) - count({0}) AS missing"""
 paints("six_number_summary", f"SELECT version, os, count(sessionrestored) AS n_values, {SIX.format('sessionrestored')} FROM paints GROUP BY version, os")
 paints("cohort_summary", f"SELECT si, count(*) AS n_values, {SIX.format('firstpaint')} FROM cohort GROUP BY si", COHORT)
-paints("ecdf", f"""SELECT firstpaint, n, round(CAST(sum(n) OVER (ORDER BY firstpaint) AS DOUBLE) / sum(n) OVER (), 6) AS ecdf FROM (
+paints("ecdf", f"""SELECT firstpaint, n, round(CAST(sum(n) OVER (ORDER BY firstpaint) AS DOUBLE) / sum(n) OVER () + 1e-9, 6) AS ecdf FROM (
   SELECT {CLAMPED} AS firstpaint, count(*) AS n FROM cohort WHERE si = 0 GROUP BY 1)""", COHORT)
 paints("kernel_density", """SELECT i, round(x, 4) AS x, round(y0 + (y1 - y0) * (spot - lft), 10) AS density FROM (
   SELECT p.*, l.y AS y0, r.y AS y1 FROM (
@@ -533,5 +536,5 @@ paints("kernel_density", """SELECT i, round(x, 4) AS x, round(y0 + (y1 - y0) * (
        """smooth AS (SELECT j, sum(w * exp(-0.5 * pow((j - c) * delta / bw, 2))) / (any_value(n) * any_value(bw) * sqrt(2 * pi())) AS y
          FROM cells, grid, range(512) g(j) GROUP BY j)""")
 oracle("submission_trend", f"""SELECT {DATE}, product_version AS version, CAST(split_part(product_version, '.', 1) AS INTEGER) AS version_major, count,
-  round(avg_size / 1024, 6) AS avg_size_kb, round(sum_size / (1024.0 * 1024 * 1024), 9) AS sum_size_gb FROM by_product
+  round(avg_size / 1024 + 1e-9, 6) AS avg_size_kb, round(sum_size / (1024.0 * 1024 * 1024), 9) AS sum_size_gb FROM by_product
   WHERE product = '{DESKTOP}' AND product_version IN ('16.0', '18.0.1', '9.0')""", TEXT, BY_PRODUCT)

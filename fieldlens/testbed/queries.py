@@ -44,7 +44,8 @@ def _from_file(extract: DataFrame, schema: str) -> DataFrame:
 
 
 def _six(value):
-    return F.round(value, 6)
+    """Six digits; the small shift keeps values off the rounding border, as in the SQL."""
+    return F.round((F.col(value) if isinstance(value, str) else value) + 1e-9, 6)
 
 
 # Sources and sinks
