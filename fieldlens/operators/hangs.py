@@ -64,7 +64,7 @@ def frames(df: DataFrame) -> DataFrame:
     by_kind = once(df, "k", kinds.alias("_kinds")).select("k", F.inline("_kinds"))
 
     def placed(frame):
-        index = F.get(frame, F.lit(0)).cast("int")
+        index = F.get(frame, F.lit(0)).try_cast("int")
         owner = F.when(index >= 0, F.get("modules", index))
         return F.struct(
             owner["module"].alias("module"), owner["debug_id"].alias("debug_id"), F.get(frame, F.lit(1)).alias("offset")
@@ -81,14 +81,18 @@ def symbolicate(frame_rows: DataFrame, symbols: DataFrame, **options) -> DataFra
     """Name each frame after the nearest symbol at or below its offset.
 
     The same offsets recur in very many stacks, so the ordered lookup runs on distinct offsets only
-    and the names are joined back. Frames without a module, or below the first symbol, stay unnamed.
+    and the names are joined back. Frames without a module, or below the first symbol, stay unnamed;
+    the former, often a large share, keep out of the join.
     """
     frame_rows = stage(frame_rows, "frames")
-    distinct = frame_rows.where("module is not null and debug_id is not null and offset is not null")
-    distinct = distinct.select("module", "debug_id", "offset").distinct()
+    known = F.col("module").isNotNull() & F.col("debug_id").isNotNull() & F.col("offset").isNotNull()
+    placed = frame_rows.where(known)
+    distinct = placed.select("module", "debug_id", "offset").distinct()
     named = nearest_below(distinct, symbols, ["module", "debug_id"], "offset", "start", "name", **options)
-    return frame_rows.join(named, ["module", "debug_id", "offset"], "left").select(
-        "k", "kind", "stack_no", "frame_no", "module", "debug_id", "offset", F.col("name").alias("symbol")
+    columns = ["k", "kind", "stack_no", "frame_no", "module", "debug_id", "offset"]
+    joined = placed.join(named, ["module", "debug_id", "offset"], "left")
+    return joined.select(*columns, F.col("name").alias("symbol")).unionByName(
+        frame_rows.where(~known).select(*columns, F.lit(None).cast("string").alias("symbol"))
     )
 
 

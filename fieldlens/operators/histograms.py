@@ -217,7 +217,8 @@ def names(df: DataFrame, carry: Sequence[str]) -> DataFrame:
 # Totals
 
 def name_totals(rows: DataFrame, keys: Sequence[str] = DIMS_NAME) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.sum("sum").alias("sum_sum"), F.count("*").alias("doc_count"))
+    """Summed sums and document counts per name; a sum beyond 64 bits gives NULL, not a failed job."""
+    return rows.groupBy(*keys).agg(F.try_sum("sum").alias("sum_sum"), F.count("*").alias("doc_count"))
 
 
 def value_totals(rows: DataFrame, keys: Sequence[str] = DIMS_VALUE) -> DataFrame:
@@ -263,7 +264,7 @@ def daily_totals(rows: DataFrame) -> DataFrame:
         F.max("max_range").cast("bigint").alias("max_range"),
         F.max("hist_type").alias("hist_type"),
         F.sum("count").alias("sum_count"),
-        F.sum(F.when(marker, F.col("sum"))).alias("_sum"),
+        F.try_sum(F.when(marker, F.col("sum"))).alias("_sum"),
         F.count(F.when(marker, 1)).alias("_docs"),
     )
     of_name = Window.partitionBy(*DIMS_NAME)
@@ -284,7 +285,7 @@ def aggregate_documents(totals: DataFrame) -> DataFrame:
     collected are totals, one per name and bucket, never source rows.
     """
     per_name = totals.groupBy(*DIMS_NAME).agg(
-        F.sort_array(F.collect_list(F.struct("v", F.col("sum_count").cast("bigint").alias("n")))).alias("pairs"),
+        F.sort_array(F.collect_list(F.struct("v", F.col("sum_count").try_cast("bigint").alias("n")))).alias("pairs"),
         F.max("hist_name_doc_count").alias("count"),
         F.max("hist_name_sum").alias("sum"),
         F.max("bucket_count").alias("bucket_count"),

@@ -158,7 +158,7 @@ def counted_statistics(counts: DataFrame, keys: Sequence[str], value: str, weigh
     out = placed.groupBy(*keys).agg(
         F.sum(weight).alias("n"), F.max("mean").alias("mean"), F.max("total").alias("total"),
         F.sum(F.col(weight) * off * off).alias("_squares"),
-        *[F.sum(name).alias(name) for name in sums], *picks,
+        *[F.try_sum(name).alias(name) for name in sums], *picks,
     )
 
     def quantile(name):
@@ -180,7 +180,7 @@ def group_statistics(df: DataFrame, keys: Sequence[str], value: str,
     carry = dict(carry or {})
     counts = df.groupBy(*keys, value).agg(
         F.count("*").alias("doc_count"),
-        *[F.sum(expression).alias(name) for name, expression in carry.items()],
+        *[F.try_sum(expression).alias(name) for name, expression in carry.items()],
     )
     counts = counts.withColumn("n", F.when(F.col(value).isNull(), 0).otherwise(F.col("doc_count")))
     return counted_statistics(

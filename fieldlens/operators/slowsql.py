@@ -64,7 +64,7 @@ def approximate_report(rows: DataFrame, keys: Sequence[str] = REPORT_KEYS, accur
     names = list(SLOW_SQL_QUANTILES)
     shares = [num / den for num, den in SLOW_SQL_QUANTILES.values()]
     grouped = with_average(rows).groupBy(*keys).agg(
-        F.count("*").alias("doc_count"), F.sum("count").alias("sum_count"),
+        F.count("*").alias("doc_count"), F.try_sum("count").alias("sum_count"),
         F.percentile_approx("avg_time", shares, accuracy).alias("_q"),
     )
     return grouped.select(
@@ -76,7 +76,7 @@ def with_scrubbed(df: DataFrame, compat: bool = False, json: str = "json", out:
     """Add the document with masked literals in the statements of other threads, NULL when unchanged.
 
     Works inside each document, so nothing is shuffled. Statements that become equal are merged by
-    adding up counts and times.
+    adding up counts and times, at most to the largest 64-bit number.
     """
     def masked(text):
         return mask_literals(text, compat)
@@ -93,7 +93,7 @@ def with_scrubbed(df: DataFrame, compat: bool = False, json: str = "json", out:
 
     def total(group, place):
         parts = F.transform(group, lambda p: F.coalesce(F.get(_numbers(p["value"]), F.lit(place)), F.lit(0)))
-        return F.aggregate(parts, F.lit(0).cast("bigint"), lambda a, b: a + b)
+        return F.aggregate(parts, F.lit(0).cast("bigint"), lambda a, b: F.coalesce(F.try_add(a, b), F.lit(2**63 - 1)))
 
     def merged(text):
         group = F.filter("_pairs", lambda p: p["key"] == text)

@@ -172,3 +172,10 @@ def test_aggregate_document(spark):
 def test_names_list_everything(spark):
     rows = h.names(parsed(spark, {"histograms": {"A": 1, "B": None}, "simpleMeasurements": {"js": {"x": 1}}}), ["k"]).collect()
     assert sorted(r.hist_name for r in rows) == ["A", "B", "SIMPLE_MEASURES_JS"]
+
+
+def test_sums_beyond_64_bits_do_not_fail_the_job(spark):
+    documents = [{"info": dims(), "histograms": {"A": histogram(sum=2**63 - 1), "B": histogram(sum=2**70)},
+                  "simpleMeasurements": {"uptime": 2**62, "x": -(2**63)}} for _ in range(3)]
+    out = {r.hist_name: r.hist_name_sum for r in h.daily_totals(daily_rows(spark, *documents)).collect()}
+    assert out == {"A": None, "SIMPLE_MEASURES_UPTIME": None, "SIMPLE_MEASURES_X": None}

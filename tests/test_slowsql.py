@@ -50,6 +50,11 @@ def test_colliding_statements_are_added_up(spark):
     assert out == {"a = :private": [7, 5_000_000_017], "b": [1, 1]}
 
 
+def test_added_up_numbers_stop_at_64_bits(spark):
+    other = {"a = 'one'": [1, 2**63 - 5], "a = 'two'": [1, 100]}
+    assert scrubbed(spark, slow(other=other))["k0"]["slowSQL"]["otherThreads"] == {"a = :private": [2, 2**63 - 1]}
+
+
 def test_scrubbing_twice_changes_nothing(spark):
     first = scrubbed(spark, slow(other={"a = 'x'": [1, 2], 'b = "y"': [3, 4]}))
     assert scrubbed(spark, *first.values()) == {}
