@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldlens.llm import exact_dedup, mixing, sharding
+from fieldlens.llm import exact_dedup, mixing, packing, sharding, simhash, token_files
 from fieldlens.llm.common import documents
+from fieldlens.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -19,16 +20,33 @@ def query(function: Query) -> Query:
     return function
 
 
+@query
+def op3_packing(spark, sf_dir):
+    return packing.pack_documents(documents(spark, sf_dir))
+
+
 @query
 def op4_mixing(spark, sf_dir):
     return mixing.taken(documents(spark, sf_dir))
 
 
+@query
+def op7_token_files(spark, sf_dir):
+    path = fresh_path(spark, "token-files")
+    token_files.write_token_files(documents(spark, sf_dir), path)
+    return token_files.token_digests(spark, path)
+
+
 @query
 def op8_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(documents(spark, sf_dir))
 
 
+@query
+def op9_simhash(spark, sf_dir):
+    return simhash.near_duplicates(documents(spark, sf_dir))
+
+
 @query
 def op10_sharding(spark, sf_dir):
     return sharding.shard(documents(spark, sf_dir))
