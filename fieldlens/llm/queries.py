@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldlens.llm import exact_dedup, language, mixing, packing, sharding, simhash, token_files
+from fieldlens.llm import exact_dedup, fingerprints, language, mixing, packing, sharding, simhash, token_files
 from fieldlens.llm.common import documents
 from fieldlens.session import fresh_path
 
@@ -30,6 +30,11 @@ def op4_mixing(spark, sf_dir):
     return mixing.taken(documents(spark, sf_dir))
 
 
+@query
+def op5_fingerprints(spark, sf_dir):
+    return fingerprints.fingerprints(documents(spark, sf_dir))
+
+
 @query
 def op6_language(spark, sf_dir):
     docs = documents(spark, sf_dir)
