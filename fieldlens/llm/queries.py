@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldlens.llm import exact_dedup, fingerprints, language, mixing, packing, pii, sharding, simhash, token_files
+from fieldlens.llm import exact_dedup, fingerprints, language, mixing, packing, pii, quality, sharding, simhash, token_files
 from fieldlens.llm.common import documents
 from fieldlens.session import fresh_path
 
@@ -26,6 +26,12 @@ def op1_personal_data(spark, sf_dir):
     return pii.digest(pii.find(docs, pii.fit(docs)))
 
 
+@query
+def op2_quality(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return quality.rate(docs, quality.fit(docs))
+
+
 @query
 def op3_packing(spark, sf_dir):
     return packing.pack_documents(documents(spark, sf_dir))
