@@ -77,7 +77,8 @@ def _densified(values: Column) -> Column:
             asked = [F.get(v, ((p.cast("long") * a + b) % PRIME % _BINS).cast("int")) for a, b in probes]
             known = [F.when(~_is_empty(x), x) for x in asked]
             rest = F.array_min(F.transform(filled, lambda q: F.struct(F.xxhash64(p, q).alias("h"), F.get(v, q).alias("v")))).getField("v")
-            return F.coalesce(*known, rest)
+            # Hashed with the bin, so that bins which borrow one value do not all agree by one chance.
+            return F.xxhash64(F.coalesce(*known, rest), p)
 
         return F.transform(v, lambda x, p: F.when(_is_empty(x), at(p)).otherwise(x))
 

@@ -46,11 +46,12 @@ class _Totals:
     def add(self, gaps: set[tuple[int, int]], buckets: list[tuple[int, int, int]]) -> None:
         """``buckets`` (first, last, how many) hold all totals inside ``gaps``."""
         state = dict(zip(self.at, self.open, strict=True)) | {b: False for _, b in gaps}
-        for first, last, n in buckets:
-            state[first] = False
-            if last > first:
-                state[last] = n > 2
+        state.update({x: False for bucket in buckets for x in bucket[:2] if x not in state})
         self.at = sorted(state)
+        for first, last, n in buckets:
+            if n > 2:  # unseen ones may lie anywhere between the first and the last
+                for i in range(bisect_right(self.at, first), bisect_right(self.at, last)):
+                    state[self.at[i]] = True
         self.open = [state[x] for x in self.at]
 
 
@@ -92,11 +93,12 @@ def minimax_cuts(ends: DataFrame, total: int, largest: int, shards: int, points:
             else:
                 spans.append([a, b])
         width = max(1, sum(b - a for a, b in gaps) // points)
-        within = F.lit(False)
+        within, span = F.lit(False), F.lit(0)
         for a, b in spans:
             within = within | ((F.col("end") > a) & (F.col("end") < b))
-        found = ends.where(within).groupBy(F.floor(F.col("end") / width)).agg(F.min("end"), F.max("end"), F.count("*")).collect()
-        known.add(gaps, [tuple(r)[1:] for r in found])
+            span = span + (F.col("end") > a).cast("int")
+        found = ends.where(within).groupBy(span, F.floor(F.col("end") / width)).agg(F.min("end"), F.max("end"), F.count("*")).collect()
+        known.add(gaps, [tuple(r)[2:] for r in found])
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
