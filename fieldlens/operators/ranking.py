@@ -2,9 +2,9 @@
 
 All of them need "how much weight lies before this row" within a group. A plain ordered window
 sorts a group in one task, and one group may hold a third of the data. Here the distinct rows are
-written once, cut into ranges at boundaries taken from a sample, ranked inside each range, and
-shifted by the weight of the ranges before it. The boundaries only decide where the cuts are; the
-ranks are exact for any choice of them.
+written once, range-partitioned, ranked inside each range, and shifted by the weight of the ranges
+before it. The number of ranges follows the number of rows, so a small table is one range of the same
+plan. Where the cuts lie only decides the balance; the ranks are exact for any choice of them.
 """
 
 from __future__ import annotations
@@ -14,63 +14,21 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fieldlens.functions.documents import bind
 from fieldlens.session import stage
 
-# Up to this many distinct rows one window task can hold every group whole.
-ONE_TASK_ROWS = 200_000
-SAMPLES_PER_RANGE = 16
-MAX_RANGES = 512
+ROWS_PER_RANGE = 100_000
 
 
-def _ranges(df: DataFrame) -> int:
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(8, min(MAX_RANGES, partitions))
+def cut_into_ranges(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (),
+                    rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
+    """Write ``df``, a staged table, with ``_range``: within equal keys it never falls as the order columns rise.
 
-
-def _order(columns: Sequence[str]) -> Column:
-    return F.struct(*columns) if len(columns) > 1 else F.col(columns[0])
-
-
-def fits_one_task(df: DataFrame, one_task_rows: int = ONE_TASK_ROWS) -> bool:
-    """The staged table is so small that one task may hold all of it; reads only file footers."""
-    return df.count() <= one_task_rows
-
-
-def cut_into_ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    """Add ``_range``, a number that never falls as the order columns rise.
-
-    ``df`` should be a staged table of rows that are distinct or nearly so. The sample is a fixed
-    number of rows, those with the lowest hash, so it is bounded whatever the size of the table and
-    the same on every run.
+    Rows with equal order columns, NULL among them, are told apart by a hash of the keys, so a value
+    that many groups share is spread over ranges as well. Counting rows reads only file footers.
     """
-    ranges = _ranges(df)
-    sampled = (
-        df.select(*order).orderBy(F.xxhash64(*df.columns)).limit(ranges * SAMPLES_PER_RANGE).sort(*order)
-    )
-    cuts = sampled.collect()[SAMPLES_PER_RANGE::SAMPLES_PER_RANGE]
-    types = {field.name: field.dataType for field in df.select(*order).schema.fields}
-
-    def constant(cut):
-        parts = [F.lit(cut[name]).cast(types[name]).alias(name) for name in order]
-        return F.struct(*parts) if len(order) > 1 else parts[0]
-
-    return df.withColumn("_range", _cuts_passed(_order(order), [constant(cut) for cut in cuts]))
-
-
-def _cuts_passed(value: Column, cuts: list[Column]) -> Column:
-    """How many of the sorted cuts are at or below the value, looked up in two steps."""
-    if not cuts:
-        return F.lit(0)
-    width = max(1, int(len(cuts) ** 0.5))
-    every, coarse = F.array(*cuts), F.array(*cuts[::width])
-
-    def finer(blocks):
-        start = (blocks - 1) * width
-        inside = F.size(F.filter(F.slice(every, start + 1, F.lit(width)), lambda cut: cut <= value))
-        return F.when(blocks == 0, 0).otherwise(start + inside)
-
-    return bind(F.size(F.filter(coarse, lambda cut: cut <= value)), finer)
+    ranges = max(1, -(-df.count() // rows_per_range))
+    spread = [F.xxhash64(*keys)] if keys else []
+    return stage(df.repartitionByRange(ranges, *order, *spread).withColumn("_range", F.spark_partition_id()), "ranges")
 
 
 def _grouped(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
@@ -81,7 +39,7 @@ def _grouped(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
 
 
 def positions(counts: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str = "n",
-              one_task_rows: int = ONE_TASK_ROWS, mean_of: str | None = None,
+              rows_per_range: int = ROWS_PER_RANGE, mean_of: str | None = None,
               staged: bool = False) -> DataFrame:
     """Add to each row of ``counts`` (distinct by keys and order) its place within its group:
 
@@ -93,17 +51,7 @@ def positions(counts: DataFrame, keys: Sequence[str], order: Sequence[str], weig
     extra = ["mean"] if mean_of else []
     value = F.col(mean_of).cast("double") if mean_of else F.lit(0.0)
     upto = (Window.unboundedPreceding, Window.currentRow)
-    if fits_one_task(rows, one_task_rows):
-        grouped, group = _grouped(rows, keys)
-        whole = Window.partitionBy(*group)
-        weights, moments = F.sum(weight).over(whole), F.sum(value * F.col(weight)).over(whole)
-        running = F.sum(weight).over(whole.orderBy(*order).rowsBetween(*upto))
-        ranked = grouped.withColumn("through", running).withColumn("total", weights).withColumn(
-            "mean", F.try_divide(moments, F.col("total"))
-        )
-        return ranked.select(*counts.columns, (F.col("through") - F.col(weight)).alias("before"), "through", "total", *extra)
-
-    cut, group = _grouped(cut_into_ranges(rows, order), keys)
+    cut, group = _grouped(cut_into_ranges(rows, order, keys, rows_per_range), keys)
     blocks = cut.groupBy(*group, "_range").agg(
         F.sum(weight).alias("_weight"), F.sum(value * F.col(weight)).alias("_moment")
     )
@@ -141,13 +89,13 @@ def _places(kind: str, p: tuple[int, int], total: Column) -> tuple[Column, Colum
 def counted_statistics(counts: DataFrame, keys: Sequence[str], value: str, weight: str,
                        quantiles: Mapping[str, tuple[int, int]], kind: str = "linear",
                        sums: Sequence[str] = (), staged: bool = False,
-                       one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+                       rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Weight ``n``, mean, standard deviation and exact quantiles per group of a counted column.
 
     ``counts`` is distinct by keys and value; ``sums`` names further columns to add up per group.
     Probabilities are fractions ``(numerator, denominator)``.
     """
-    placed = positions(counts, keys, [value], weight, one_task_rows, mean_of=value, staged=staged)
+    placed = positions(counts, keys, [value], weight, rows_per_range, mean_of=value, staged=staged)
     picks, shares = [], {}
     for name, p in quantiles.items():
         low, high, shares[name] = _places(kind, p, F.col("total"))
@@ -188,31 +136,31 @@ def group_statistics(df: DataFrame, keys: Sequence[str], value: str,
     )
 
 
-def distribution(df: DataFrame, value: str, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def distribution(df: DataFrame, value: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Empirical distribution function: the share of rows at or below each distinct value."""
     counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
-    return positions(counts, [], [value], one_task_rows=one_task_rows).select(
+    return positions(counts, [], [value], rows_per_range=rows_per_range).select(
         value, "n", (F.col("through") / F.col("total")).alias("ecdf")
     )
 
 
-def average_ranks(counts: DataFrame, value: str, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+def average_ranks(counts: DataFrame, value: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Average rank of each distinct value, ties sharing the mean of their places."""
-    return positions(counts, [], [value], one_task_rows=one_task_rows).select(
+    return positions(counts, [], [value], rows_per_range=rows_per_range).select(
         value, (F.col("before") + (F.col("n") + 1) / F.lit(2.0)).alias("rank"), "total"
     )
 
 
 def row_numbers(df: DataFrame, order: Sequence[str], name: str = "idx",
-                one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+                rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Number the rows by a total order."""
     counted = df.withColumn("n", F.lit(1).cast("bigint"))
-    placed = positions(counted, [], order, one_task_rows=one_task_rows)
+    placed = positions(counted, [], order, rows_per_range=rows_per_range)
     return placed.select(*df.columns, F.col("through").alias(name))
 
 
 def nearest_below(points: DataFrame, marks: DataFrame, keys: Sequence[str], position: str,
-                  mark_position: str, payload: str, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
+                  mark_position: str, payload: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """For each distinct point the payload of the greatest mark at or below it with equal keys.
 
     ``points`` must be distinct by keys and position. Points without such a mark get NULL.
@@ -225,12 +173,7 @@ def nearest_below(points: DataFrame, marks: DataFrame, keys: Sequence[str], posi
     rows = stage(both, "lookup")
     is_mark = F.col("_is_point") == 0
     order, upto = [position, "_is_point", payload], (Window.unboundedPreceding, Window.currentRow)
-    if fits_one_task(rows, one_task_rows):
-        inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto)
-        found = rows.withColumn("_here", F.last(payload, ignorenulls=True).over(inside)).where(~is_mark)
-        return found.select(*keys, position, F.col("_here").alias(payload))
-
-    cut, group = _grouped(cut_into_ranges(rows, [*keys, position]), keys)
+    cut, group = _grouped(cut_into_ranges(rows, [*keys, position], rows_per_range=rows_per_range), keys)
     blocks = cut.groupBy(*group, "_range").agg(
         F.max_by(payload, F.when(is_mark, F.struct(position, payload))).alias("_last")
     )

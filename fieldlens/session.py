@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,16 +27,19 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` where the cluster names one.
 
-    Only where it names none (unit tests in local mode) a temporary folder is set up.
+    In local mode the one machine's temporary folder will do; a cluster without a named folder is an
+    error, as executors would each write to a disk of their own.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
-    if not current:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fieldlens-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return current.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("intermediate tables need a folder that all executors share: set spark.checkpoint.dir")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fieldlens-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+_scopes: list[str] = []
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -43,16 +48,31 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 
 
 def _own_dir(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/fieldlens/{spark.sparkContext.applicationId}"
+    return "/".join([shared_dir(spark), "fieldlens", spark.sparkContext.applicationId, *_scopes])
 
 
-def drop_staged(spark: SparkSession) -> None:
-    """Delete this application's intermediate tables; call it once their results are written."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(_own_dir(spark))
+def _delete(spark: SparkSession, where: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def drop_staged(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; call it once all results are written."""
+    _delete(spark, _own_dir(spark))
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are deleted at the end, others stay; write the results inside."""
+    _scopes.append(f"scope-{uuid.uuid4().hex}")
+    where = _own_dir(spark)
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        _delete(spark, where)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fieldlens.operators import ranking, statistics
 
-FORCED = {"one_task_rows": 0}
+FORCED = {"rows_per_range": 50}
 CASES = [{}, FORCED]
 
 
@@ -126,10 +126,16 @@ def test_nearest_below(spark, options):
         assert out[m, at] == (f"{m}@{max(below)}" if below else None)
 
 
-def test_ranges_split_a_hot_group(spark):
-    df = spark.range(20000).select(F.lit("hot").alias("g"), F.col("id").cast("double").alias("v"), F.lit(1).alias("n"))
-    sizes = [r["count"] for r in ranking.cut_into_ranges(df, ["v"]).groupBy("_range").count().collect()]
-    assert sum(sizes) == 20000 and len(sizes) >= 8 and max(sizes) < 20000 / 3
+@pytest.mark.parametrize("missing", [0, 2, 50])
+@pytest.mark.parametrize("groups", [1, 20000])
+def test_ranges_stay_even(spark, missing, groups):
+    """One hot group, or many groups with missing values: a group has one row without a value at most."""
+    value = F.when((F.col("id") % 100 < missing) & F.lit(groups > 1), None).otherwise(F.col("id").cast("double"))
+    df = spark.range(20000).select((F.col("id") % groups).alias("g"), value.alias("v"), F.lit(1).alias("n"))
+    cut = ranking.cut_into_ranges(df, ["v"], ["g"], 500)
+    sizes = [r["count"] for r in cut.groupBy("_range").count().collect()]
+    assert sum(sizes) == 20000 and len(sizes) >= 30 and max(sizes) < 3 * 20000 / len(sizes)
+    assert ranking.cut_into_ranges(df, ["v"]).select("_range").distinct().count() == 1
 
 
 def test_bins(spark):

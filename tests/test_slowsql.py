@@ -78,7 +78,7 @@ def test_report_threshold_order_and_zero_counts(spark):
     out = jobs.slow_sql_report(rows, 2).collect()
     assert [(r.thread, r.sql, r.doc_count, r.sum_count) for r in out] == [("mainThread", "often", 4, 8), ("mainThread", "zero", 4, 0)]
     assert (out[0].q0, out[0].q50, out[0].q100) == (2.0, 2.75, 3.5) and out[1].q50 is None
-    assert jobs.slow_sql_report(rows, 2, one_task_rows=0).collect() == out
+    assert jobs.slow_sql_report(rows, 2, rows_per_range=2).collect() == out
 
 
 def test_write_back_keeps_all_rows(spark):
