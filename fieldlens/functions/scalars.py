@@ -191,7 +191,7 @@ def right_closed_bin(value: Column, origin: float, width: float) -> Column:
     return F.lit(origin) + F.ceil((value - origin) / width) * width
 
 
-def in_sample(key: Column, rate: float) -> Column:
-    """Repeatable Bernoulli choice by a hash of the key, in steps of 1/10000."""
-    share = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint") % 10000
-    return share < int(round(rate * 10000))
+def in_sample(key: Column, rate: float, salt: str = "") -> Column:
+    """Repeatable Bernoulli choice by 60 bits of a hash of the key; samples of other salts are independent."""
+    share = F.conv(F.substring(F.md5(F.concat(F.lit(salt), key)), 1, 15), 16, 10).cast("bigint")
+    return share < int(rate * 2**60)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldlens.functions.documents import as_map, number, once
@@ -13,6 +13,7 @@ from fieldlens.schema import (
     DIMENSIONS, DIMS_NAME, DIMS_VALID, DIMS_VALUE, HISTOGRAM_DDL, MEASURE_LAYOUT,
     MEASURE_PREFIX, MEASURE_STEP, NESTED_MEASURE_LAYOUT, OTHER_MEASURE_LAYOUT, OTHER_MEASURE_STEP,
 )
+from fieldlens.session import stage
 
 NAME_ROW = ["hist_name", "sum", "bucket_count", "min_range", "max_range", "hist_type", "is_valid"]
 VALUE_ROW = ["hist_name", "v", "count", *NAME_ROW[1:]]
@@ -243,13 +244,11 @@ def join_name_value(names_df: DataFrame, values_df: DataFrame,
     return values_df.join(right, list(keys), "inner")
 
 
-def daily_totals(rows: DataFrame) -> DataFrame:
-    """Value totals with the totals of their name, from one pass over :func:`entries`.
+def combined_totals(rows: DataFrame) -> DataFrame:
+    """Totals per name and bucket from one pass over :func:`entries`; rows without a bucket hold those of the name.
 
-    Each entry contributes its buckets plus one marker row without a bucket that carries the sum of
-    the histogram. One aggregation then gives both kinds of totals, and the marker is spread over
-    the buckets of its name within the aggregated, much smaller rows. The rows are the same as those
-    of :func:`join_name_value`, without parsing the documents twice.
+    Each entry contributes its buckets plus one marker row without a bucket that carries the sum of the
+    histogram, so one aggregation gives both kinds of totals without parsing the documents twice.
     """
     no_bucket = F.array(F.struct(F.lit(None).cast("bigint").alias("v"), F.lit(None).cast("double").alias("count")))
     complete = rows.where(" and ".join(f"{c} is not null" for c in DIMS_NAME))
@@ -258,24 +257,28 @@ def daily_totals(rows: DataFrame) -> DataFrame:
         F.inline(F.concat(no_bucket, "buckets")),
     )
     marker = F.col("v").isNull()
-    totals = points.groupBy(*DIMS_VALUE).agg(
+    return points.groupBy(*DIMS_VALUE).agg(
         F.max("bucket_count").alias("bucket_count"),
         F.min("min_range").cast("bigint").alias("min_range"),
         F.max("max_range").cast("bigint").alias("max_range"),
         F.max("hist_type").alias("hist_type"),
         F.sum("count").alias("sum_count"),
-        F.try_sum(F.when(marker, F.col("sum"))).alias("_sum"),
-        F.count(F.when(marker, 1)).alias("_docs"),
-    )
-    of_name = Window.partitionBy(*DIMS_NAME)
-    return (
-        totals.withColumn("hist_name_sum", F.sum("_sum").over(of_name))
-        .withColumn("hist_name_doc_count", F.sum("_docs").over(of_name))
-        .where(F.col("v").isNotNull())
-        .drop("_sum", "_docs")
+        F.try_sum(F.when(marker, F.col("sum"))).alias("hist_name_sum"),
+        F.count(F.when(marker, 1)).alias("hist_name_doc_count"),
     )
 
 
+def daily_totals(rows: DataFrame) -> DataFrame:
+    """Value totals with the totals of their name; the rows are those of :func:`join_name_value`.
+
+    The combined totals are written once. A name may have any number of buckets, so its totals are joined
+    to them, which adaptive execution can split, and no task sorts a name's buckets.
+    """
+    totals = stage(combined_totals(rows), "totals")
+    names = totals.where(F.col("v").isNull()).select(*DIMS_NAME, "hist_name_sum", "hist_name_doc_count")
+    return totals.where(F.col("v").isNotNull()).drop("hist_name_sum", "hist_name_doc_count").join(names, DIMS_NAME)
+
+
 # Aggregate document
 
 def aggregate_documents(totals: DataFrame) -> DataFrame:

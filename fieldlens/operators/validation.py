@@ -2,51 +2,36 @@
 
 from __future__ import annotations
 
-from json import dumps as json_text
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldlens.functions.documents import as_map, bind, info, is_object, once, parse, top_level
 from fieldlens.schema import HISTOGRAM_DDL, VARIANT_MAP_DDL
+from fieldlens.session import stage
 
 DEFAULT_SPEC = "default"
 
-# A specification up to this size travels to every task with the plan; a larger one is joined.
-MAX_SPEC_ROWS = 20_000
-MAX_SPEC_EDGES = 500_000
-MAX_VERSION_KEYS = 1_000
-SLOTS = 256
+SLOTS = 256  # a version's histograms are looked up by a hash of the name
 
 CHECKS = ["bad_type", "bad_min", "bad_max", "bad_bucket_count", "no_buckets", "bad_bucket"]
 
 
-def is_small(spec: DataFrame) -> bool:
-    """One bounded look at the specification decides how it reaches the documents."""
-    edges = F.coalesce(F.size("buckets"), F.lit(0))
-    rows, total = spec.limit(MAX_SPEC_ROWS + 1).agg(F.count("*"), F.sum(edges)).first()
-    return rows <= MAX_SPEC_ROWS and (total or 0) <= MAX_SPEC_EDGES
-
-
-def version_keys(spec: DataFrame) -> list[str]:
-    """Version keys, the longest first; there is one per supported release, and that is checked."""
-    found = spec.select("version_key").distinct().limit(MAX_VERSION_KEYS + 1).collect()
-    if len(found) > MAX_VERSION_KEYS:
-        raise ValueError(f"more than {MAX_VERSION_KEYS} version keys in the specification")
-    return sorted((row[0] for row in found if row[0] is not None), key=lambda key: (-len(key), key))
+def version_keys(spec: DataFrame) -> Column:
+    """All version keys as one constant array, the longest first; there is one key per supported release."""
+    found = {row[0] for row in spec.select("version_key").distinct().collect()} - {None}
+    ordered = sorted(found, key=lambda key: (-len(key), key))
+    return F.array(*[F.lit(key) for key in ordered]).cast("array<string>")
 
 
-def spec_key(version: Column, keys: list[str]) -> Column:
+def spec_key(version: Column, keys: Column) -> Column:
     """Longest version key contained in the version, else the default where there is one."""
-    fallback = F.lit(DEFAULT_SPEC if DEFAULT_SPEC in keys else None).cast("string")
-    chosen = F.when(version.isNull(), F.lit(None).cast("string"))
-    for key in keys:
-        chosen = chosen.when(version.contains(key), key)
-    return chosen.otherwise(fallback)
+    fallback = F.when(F.array_contains(keys, DEFAULT_SPEC), DEFAULT_SPEC)
+    chosen = F.get(F.filter(keys, lambda key: version.contains(key)), F.lit(0))
+    return F.when(version.isNotNull(), F.coalesce(chosen, fallback))
 
 
 def match_versions(df: DataFrame, spec: DataFrame, version: str = "product_version") -> DataFrame:
-    """Add ``spec_key``. The few keys become one conditional, so no row is paired with each key."""
+    """Add ``spec_key``. The keys are one value, so no row is paired with each key."""
     return df.withColumn("spec_key", spec_key(F.col(version), version_keys(spec)))
 
 
@@ -97,22 +82,52 @@ def readable(json: str = "json") -> Column:
     return top_level(json).isNotNull()
 
 
-def _judge(rows: DataFrame, spec: DataFrame) -> DataFrame:
-    """Join histogram rows with their specification and add ``known``, the checks and ``valid``."""
-    known = spec.select(
-        F.col("version_key").alias("spec_key"), "hist_name",
-        F.struct("min", "max", "hist_type", "bucket_count", "buckets").alias("spec"),
-    )
-    known = F.broadcast(known) if is_small(spec) else known
-    joined = match_versions(rows, spec).join(known, ["spec_key", "hist_name"], "left")
-    outcome = joined.withColumn("_hist", typed(F.col("value"))).withColumn("_checks", checks(F.col("_hist"), F.col("spec")))
-    is_known = F.col("spec").isNotNull()
-    kept = [c for c in rows.columns if c not in ("value", "product_version")]
-    return outcome.select(
-        *kept, "spec_key", is_known.alias("known"),
-        *[F.when(is_known, F.col("_checks")[c]).alias(c) for c in CHECKS],
-        F.when(is_known, passed(F.col("_checks"))).alias("valid"),
-    )
+def _slot(name: Column) -> Column:
+    return F.pmod(F.xxhash64(name), F.lit(SLOTS)).cast("int")
+
+
+def folded(spec: DataFrame) -> DataFrame:
+    """The specification with one row per version: (spec_key, slots), entries in slots by a hash of their name.
+
+    It is written, so that its size is known: Spark sends it to all tasks where it is small, else it joins.
+    """
+    entry = F.struct("hist_name", "min", "max", "hist_type", "bucket_count", "buckets")
+    slots = spec.groupBy(F.col("version_key").alias("spec_key"), _slot(F.col("hist_name")).alias("slot")).agg(F.collect_list(entry).alias("entries"))
+    by_slot = slots.groupBy("spec_key").agg(F.map_from_entries(F.collect_list(F.struct("slot", "entries"))).alias("found"))
+    every = F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda i: F.element_at("found", i))
+    return stage(by_slot.select("spec_key", every.alias("_slots")), "spec")
+
+
+def _with_spec(df: DataFrame, spec: DataFrame) -> DataFrame:
+    """Add ``spec_key`` and the entries of that version to documents with a parsed ``info``.
+
+    A document meets one row at most, so it stays one row, whatever its key.
+    """
+    matched = once(df, *df.columns, spec_key(info("appVersion"), version_keys(spec)).alias("spec_key"))
+    return matched.join(folded(spec), "spec_key", "left")
+
+
+def _outcome(name: Column, value: Column) -> Column:
+    """Struct of ``known`` and the checks, judged inside the document; without entry the checks are NULL."""
+    entry = F.get(F.filter(F.get("_slots", _slot(name)), lambda e: e["hist_name"] == name), F.lit(0))
+    return bind(entry, lambda known: F.struct(
+        known.isNotNull().alias("known"),
+        F.when(known.isNotNull(), bind(typed(value), lambda hist: checks(hist, known))).alias("checks"),
+    ))
+
+
+def _outcomes() -> Column:
+    return F.transform(F.map_entries("histograms"), lambda e: F.struct(
+        e["key"].alias("hist_name"), _outcome(e["key"], e["value"]).alias("outcome")
+    ))
+
+
+def _columns() -> list[Column]:
+    found = F.col("_one.outcome.checks")
+    return [
+        F.col("_one.hist_name").alias("hist_name"), F.col("_one.outcome.known").alias("known"),
+        *[found[c].alias(c) for c in CHECKS], F.when(F.col("_one.outcome.known"), passed(found)).alias("valid"),
+    ]
 
 
 def check_rows(df: DataFrame, spec: DataFrame) -> DataFrame:
@@ -120,11 +135,11 @@ def check_rows(df: DataFrame, spec: DataFrame) -> DataFrame:
 
     ``valid`` is NULL for histograms that the specification does not know.
     """
-    version = info("appVersion")
-    rows = parse(df, "info", "histograms").where(version.isNotNull()).select(
-        "k", version.alias("product_version"), F.explode("histograms").alias("hist_name", "value")
-    )
-    return _judge(rows, spec)
+    parsed = _with_spec(parse(df, "info", "histograms").where(info("appVersion").isNotNull()), spec)
+    judged = once(parsed, "k", "spec_key", _outcomes().alias("_all"))
+    rows = judged.select("k", "spec_key", F.explode("_all").alias("_one"))
+    columns = _columns()
+    return rows.select("k", columns[0], "spec_key", *columns[1:])
 
 
 def report(df: DataFrame, spec: DataFrame, json: str = "json") -> DataFrame:
@@ -133,18 +148,15 @@ def report(df: DataFrame, spec: DataFrame, json: str = "json") -> DataFrame:
     Every document gives one row per histogram and at least one row; its first row counts it.
     """
     version = info("appVersion")
-    parsed = once(
-        parse(df, "info", "histograms", json=json),
-        F.col(json).isNull().alias("null_json"), readable(json).alias("is_object"),
-        version.isNotNull().alias("evaluated"), version.alias("product_version"),
-        F.when(version.isNotNull(), F.col("histograms")).alias("_histograms"),
-    )
-    rows = parsed.select(
-        "null_json", "is_object", "evaluated", "product_version",
-        F.posexplode_outer("_histograms").alias("place", "hist_name", "value"),
+    parsed = _with_spec(parse(df, "info", "histograms", json=json), spec)
+    judged = once(
+        parsed, F.col(json).isNull().alias("null_json"), readable(json).alias("is_object"),
+        version.isNotNull().alias("evaluated"), F.when(version.isNotNull(), _outcomes()).alias("_all"),
     )
+    rows = judged.select("null_json", "is_object", "evaluated", F.posexplode_outer("_all").alias("place", "_one"))
+    rows = rows.select("null_json", "is_object", "evaluated", "place", *_columns())
     first = F.coalesce(F.col("place"), F.lit(0)) == 0
-    return _judge(rows, spec).agg(
+    return rows.agg(
         F.count_if(first).alias("documents"),
         F.count_if(first & F.col("null_json")).alias("meta_data_invalid"),
         F.count_if(first & ~F.col("null_json") & ~F.col("is_object")).alias("invalid_json_structure"),
@@ -162,63 +174,19 @@ def report(df: DataFrame, spec: DataFrame, json: str = "json") -> DataFrame:
     )
 
 
-ENTRY_FIELDS = "hist_name string, min string, max string, hist_type string, bucket_count string, buckets array<int>"
-
-
-def _slot(name: Column) -> Column:
-    return F.pmod(F.xxhash64(name), F.lit(SLOTS)).cast("int")
-
-
-def _lookup(spec: DataFrame) -> Column:
-    """A small specification as one constant: version -> slot by name hash -> few named entries.
-
-    Only called after :func:`is_small`; the optimizer folds the text into a literal once.
-    """
-    rows = spec.select("version_key", _slot(F.col("hist_name")).alias("slot"), F.struct(
-        "hist_name", "min", "max", "hist_type", "bucket_count", "buckets").alias("entry")).collect()
-    table: dict[str, list[list]] = {}
-    for row in rows:
-        slots = table.setdefault(row["version_key"], [[] for _ in range(SLOTS)])
-        slots[row["slot"]].append(row["entry"].asDict())
-    kind = f"map<string, array<array<struct<{ENTRY_FIELDS.replace(' string', ': string').replace('buckets ', 'buckets: ')}>>>>"
-    return F.from_json(F.lit(json_text(table)), kind)
-
-
-def _verdicts_in_document(spec: DataFrame) -> Column:
-    """Verdict per histogram as a map, computed inside the document without a shuffle."""
-    def of_version(slots):
-        def verdict(name, value):
-            entry = F.get(F.filter(F.get(slots, _slot(name)), lambda e: e["hist_name"] == name), F.lit(0))
-            return bind(entry, lambda known: F.when(
-                known.isNotNull(), bind(typed(value), lambda hist: passed(checks(hist, known)))
-            ))
-
-        return F.transform_values("histograms", verdict)
-
-    key = spec_key(info("appVersion"), version_keys(spec))
-    return bind(F.element_at(_lookup(spec), F.coalesce(key, F.lit(""))), of_version)
-
-
-def _verdicts_by_join(df: DataFrame, spec: DataFrame) -> DataFrame:
-    """The same map per key for specifications of any size: rows are joined, then folded per document."""
-    return check_rows(df, spec).groupBy("k").agg(
-        F.map_from_entries(F.collect_list(F.struct("hist_name", "valid"))).alias("_verdicts")
-    )
-
-
-def with_validated(df: DataFrame, spec: DataFrame, small: bool | None = None, out: str = "new_json") -> DataFrame:
+def with_validated(df: DataFrame, spec: DataFrame, out: str = "new_json") -> DataFrame:
     """Add ``is_valid`` and the document with the verdicts written into it.
 
     Known histograms get ``valid``; ``info.validForSchema`` says whether all of them passed. A
     document without application version or histograms is not valid; text that is not a JSON object
     gives NULL. A missing ``info`` object is created.
     """
-    small = is_small(spec) if small is None else small
-    parsed = parse(df, "info", "histograms")
-    if small:
-        verdicts = _verdicts_in_document(spec).alias("_verdicts")
-    else:
-        parsed, verdicts = parsed.join(_verdicts_by_join(df.select("k", "json"), spec), "k", "left"), F.col("_verdicts")
+    parsed = _with_spec(parse(df, "info", "histograms"), spec)
+
+    def verdict(name, value):
+        return bind(_outcome(name, value), lambda o: F.when(o["known"], passed(o["checks"])))
+
+    verdicts = F.transform_values("histograms", verdict).alias("_verdicts")
     ready = once(parsed, *df.columns, "info", "histograms", verdicts, top_level().alias("_top"))
     histograms = F.col("histograms")
     text_true, text_false = F.lit("true").cast("variant"), F.lit("false").cast("variant")
@@ -256,7 +224,7 @@ def with_validated(df: DataFrame, spec: DataFrame, small: bool | None = None, ou
     )
 
 
-def validate(df: DataFrame, spec: DataFrame, small: bool | None = None) -> DataFrame:
+def validate(df: DataFrame, spec: DataFrame) -> DataFrame:
     """Key, verdict and new JSON of every submission that is a JSON object."""
-    judged = with_validated(df, spec, small).where(F.col("new_json").isNotNull())
+    judged = with_validated(df, spec).where(F.col("new_json").isNotNull())
     return judged.select("k", "is_valid", F.col("new_json").alias("json"))

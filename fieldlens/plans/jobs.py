@@ -18,6 +18,7 @@ from fieldlens.functions.predicates import drop_incomplete, from_products, where
 from fieldlens.operators import hangs, histograms, slowsql, statistics, validation
 from fieldlens.operators.ranking import distribution, group_statistics
 from fieldlens.schema import DEFAULT_REASONS, MISSING
+from fieldlens.session import stage
 from fieldlens.sources.submissions import in_date_range
 
 MEDIAN = {"median": (1, 2)}
@@ -196,11 +197,14 @@ def cycle_collector_averages(extract: DataFrame, **options) -> DataFrame:
 
 
 def gc_ratio_stats(extract: DataFrame, **options) -> DataFrame:
-    """Collections and collections per minute of uptime, by day and version."""
-    typed = drop_incomplete(extract.select(
-        "version", sf.day_to_date(F.col("date_str")).alias("date"), "sum_count",
-        sf.ratio(F.col("sum_count"), F.col("uptime")).alias("ratio"),
-    ))
+    """Collections and collections per minute of uptime, by day and version.
+
+    Only rows with a missing input, or with neither collections nor uptime, are left out; a row without
+    uptime counts among the collections and has no ratio.
+    """
+    typed = drop_incomplete(extract.select("version", sf.day_to_date(F.col("date_str")).alias("date"), "sum_count", "uptime"))
+    typed = typed.where((F.col("sum_count") != 0) | (F.col("uptime") != 0))
+    typed = stage(typed.withColumn("ratio", sf.ratio(F.col("sum_count"), F.col("uptime"))), "ratios")
     keys = ["date", "version"]
     counts = group_statistics(typed, keys, "sum_count", MEDIAN, carry={"_sum": F.col("sum_count")}, **options).select(
         *keys, F.col("_sum").alias("sum_sum_count"), F.col("median").alias("median_sum_count"),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fieldlens.functions.documents import info, parse
 from fieldlens.functions.scalars import day_from_key, in_sample, salt_from_key, salt_matches, uuid_from_key
 from fieldlens.schema import PRERELEASE_CHANNELS, RELEASE_CHANNEL, SPEC_DDL, SUBMISSION_DDL
+from fieldlens.session import stage
 
 
 # Submission store: Parquet, one directory per day
@@ -45,8 +46,8 @@ def decode_keys(df: DataFrame) -> DataFrame:
 
 # Archives of key and JSON
 
-def write_archive(df: DataFrame, path: str, compression: str = "zstd") -> None:
-    df.select("k", "json").write.option("compression", compression).parquet(path)
+def write_archive(df: DataFrame, path: str, compression: str = "zstd", mode: str = "error") -> None:
+    df.select("k", "json").write.mode(mode).option("compression", compression).parquet(path)
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
@@ -79,30 +80,48 @@ def export_buckets(df: DataFrame, rate: float = 0.1, prerelease: Sequence[str] =
     return marked.where(F.col("bucket").isNotNull())
 
 
-def export_union(prerelease: DataFrame, release: DataFrame) -> DataFrame:
-    return prerelease.unionByName(release)
+def export_union(marked: DataFrame, buckets: Sequence[str] = ("prerelease", "release")) -> DataFrame:
+    """The submissions of several buckets together, from the one read that marked them."""
+    return marked.where(F.col("bucket").isin(*buckets)).select("k", "json")
 
 
 # Write-back
 
+def touched_days(updates: DataFrame) -> list[str]:
+    """Days of the updates' keys; one row per day reaches the driver."""
+    return sorted(r[0] for r in updates.select(day_from_key(F.col("k"))).distinct().collect() if r[0] is not None)
+
+
 def overlay(base: DataFrame, updates: DataFrame) -> DataFrame:
-    """New JSON replaces that of the same key, new keys are added, other rows stay.
+    """The days that the updates touch: new JSON replaces that of the same key, new keys are added, other rows stay.
 
-    Keys are unique in either input, so no key can be hot. Jobs that rewrite the rows they read
-    replace the document in place instead and need no join.
+    The day is part of the key, so only those days of ``base`` are read. A key given twice among the updates
+    counts once, with the greater JSON text. Jobs that rewrite the rows they read replace the document in
+    place instead and need no join.
     """
-    new = updates.select("k", F.col("json").alias("_new"), F.lit(True).alias("_updated"))
-    joined = base.select("k", "json").join(new, "k", "full_outer")
-    return joined.select(
-        "k", day_from_key(F.col("k")).alias("d"),
-        F.when(F.col("_updated"), F.col("_new")).otherwise(F.col("json")).alias("json"),
+    new = updates.select("k", "json").groupBy(day_from_key(F.col("k")).alias("d"), "k").agg(
+        F.max("json").alias("_new"), F.lit(True).alias("_updated")
     )
+    old = base.where(F.col("d").isin(touched_days(updates))).select("d", "k", "json")
+    joined = old.join(new, ["d", "k"], "full_outer")
+    return joined.select("k", "d", F.when(F.col("_updated"), F.col("_new")).otherwise(F.col("json")).alias("json"))
+
+
+def upsert(spark: SparkSession, path: str, updates: DataFrame) -> None:
+    """Overlay updates on a store; the days they touch are made aside and then replaced, others are not read."""
+    fixed = stage(updates.select("k", "json"), "updates")
+    write_store(stage(overlay(read_store(spark, path), fixed), "overlay"), path)
 
 
-def write_ordered(df: DataFrame, path: str, partitions: int | None = None) -> None:
+def import_archive(spark: SparkSession, archive: str, path: str) -> None:
+    """Bring the submissions of an archive into a store, over those of the same keys."""
+    upsert(spark, path, read_archive(spark, archive))
+
+
+def write_ordered(df: DataFrame, path: str, partitions: int | None = None, mode: str = "error") -> None:
     """Write with rows in key order across and inside the files."""
     ranged = df.repartitionByRange(partitions, "k") if partitions else df.repartitionByRange("k")
-    ranged.sortWithinPartitions("k").write.parquet(path)
+    ranged.sortWithinPartitions("k").write.mode(mode).parquet(path)
 
 
 # Text forms
@@ -120,10 +139,10 @@ def read_key_json_lines(spark: SparkSession, path: str) -> DataFrame:
     return parse_key_json_lines(spark.read.text(path))
 
 
-def write_key_json_lines(df: DataFrame, path: str) -> None:
+def write_key_json_lines(df: DataFrame, path: str, mode: str = "error") -> None:
     """One line per row; a line break in JSON can only be layout, so a blank stands for it."""
     one_line = F.translate("json", "\r\n", "  ")
-    df.select(F.concat_ws("\t", "k", one_line).alias("value")).write.text(path)
+    df.select(F.concat_ws("\t", "k", one_line).alias("value")).write.mode(mode).text(path)
 
 
 def ping_payloads(files: DataFrame, key: str = "dummy") -> DataFrame:
@@ -142,22 +161,25 @@ def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = "\t",
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",", header: bool = False, compression: str = "none",
-                    single_file: bool = False, quote: str = '"') -> None:
+                    single_file: bool = False, quote: str = '"', mode: str = "error") -> None:
     """Delimited text. ``single_file`` is for small final reports only: one task writes it."""
     out = df.coalesce(1) if single_file else df
     (
-        out.write.option("sep", sep).option("header", header).option("compression", compression)
+        out.write.mode(mode).option("sep", sep).option("header", header).option("compression", compression)
         .option("quote", quote).csv(path)
     )
 
 
-def write_documents(df: DataFrame, path: str, json: str = "agg_json", month: str = "month") -> None:
-    """One JSON document per line, one directory per month; reading the parent gives all months."""
-    df.select(F.col(json).alias("value"), month).write.partitionBy(month).text(path)
+def write_documents(df: DataFrame, path: str, json: str = "agg_json", month: str = "month", day: str = "d") -> None:
+    """One JSON document per line, in a directory per month and day; a day written again replaces only itself."""
+    (
+        df.select(F.col(json).alias("value"), F.col(month).alias("month"), F.col(day).alias("d"))
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month", "d").text(path)
+    )
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("value string, month string").text(path)
+    return spark.read.schema("value string, month string, d string").text(path)
 
 
 # Specifications

@@ -148,7 +148,6 @@ def statements(*parts: str) -> str:
 
 
 SLOW = statements(MAIN_1, MAIN_2, VACUUM, OTHER_1, OTHER_2, OTHER_3)
-SLOW_MAIN = statements(MAIN_1, MAIN_2)
 SLOW_MASKED = statements(MAIN_1, MAIN_2, VACUUM, MASKED_1, MASKED_3)
 
 
@@ -223,7 +222,9 @@ oracle("row_key_decode", "SELECT k, substr(k, 1, 1) AS salt, d, substr(k, 10) AS
 oracle("archive_roundtrip", "SELECT k, d, json FROM stored", TEXT)
 oracle("store_roundtrip", """SELECT d, count(*) AS n, CAST(sum(length(json)) AS BIGINT) AS chars FROM stored
   WHERE d BETWEEN '20240105' AND '20240112' GROUP BY d""", TEXT)
-oracle("upsert_overlay", """SELECT k, d, (225 + e % 16) % 3 = 0 AS updated FROM base WHERE (225 + e % 16) % 5 <> 0 OR (225 + e % 16) % 3 = 0""")
+oracle("upsert_overlay", """SELECT b.k, b.d, md5(CASE WHEN (225 + b.e % 16) % 3 = 0 THEN 'new:' || substr(b.k, 2, 8) ELSE t.json END) AS digest
+  FROM base b JOIN stored t USING (k) WHERE (225 + b.e % 16) % 5 <> 0 OR (225 + b.e % 16) % 3 = 0""", TEXT)
+oracle("import_archive", "SELECT k, d, md5(json) AS digest FROM stored", TEXT)
 oracle("delimited_sink", """SELECT sink, d, CASE sink WHEN 'single' THEN 1 ELSE count(*) END AS n,
   CASE sink WHEN 'single' THEN d ELSE max(substr(k, 10)) END AS last_uuid
   FROM base CROSS JOIN (VALUES ('comma'), ('control-a'), ('tab'), ('single')) s(sink) GROUP BY sink, d""")
@@ -255,9 +256,9 @@ oracle("single_histogram", f"SELECT k, version AS appVersion, {ROW_FIELDS} FROM
        "kept AS (SELECT * FROM subs)", ENTRIES, POINTS)
 oracle("flag_projection", """SELECT k, CASE WHEN armv6 THEN 1 ELSE 0 END AS has_armv6, CASE WHEN armv7 THEN 1 ELSE 0 END AS has_armv7,
   CASE WHEN has_hist AND e % 7 = 0 THEN 1 ELSE 0 END AS has_oom_killed, coalesce(flash, 'NA') AS flash_version FROM subs""")
-SAMPLE = "CAST(('0x' || substr(md5(k), 1, 8)) AS BIGINT) % 10000"
-oracle("sample_hash", f"SELECT k FROM base WHERE {SAMPLE} < 2500")
-BUCKET = f"CASE WHEN channel IN ('nightly', 'aurora', 'beta') THEN 'prerelease' WHEN channel = 'release' AND {SAMPLE} < 1000 THEN 'release' END"
+SAMPLE = "CAST(('0x' || substr(md5(k), 1, 15)) AS BIGINT)"
+oracle("sample_hash", f"SELECT k FROM base WHERE {SAMPLE} < {int(0.25 * 2**60)}")
+BUCKET = f"CASE WHEN channel IN ('nightly', 'aurora', 'beta') THEN 'prerelease' WHEN channel = 'release' AND {SAMPLE} < {int(0.1 * 2**60)} THEN 'release' END"
 oracle("export_split", f"SELECT s.k, md5(t.json) AS digest, {BUCKET.replace('(k)', '(s.k)')} AS bucket FROM subs s JOIN stored t USING (k) WHERE {BUCKET.replace('(k)', '(s.k)')} IS NOT NULL", TEXT)
 oracle("export_union", f"SELECT d, count(*) AS n FROM subs WHERE {BUCKET} IS NOT NULL GROUP BY d")
 
@@ -267,7 +268,7 @@ oracle("filter_not_null", "SELECT k FROM subs WHERE version IS NOT NULL AND has_
 oracle("filter_is_map", """SELECT k, has_info AS info_is_map, has_hist AS histograms_is_map, has_measures AS "simpleMeasurements_is_map",
   ok AND e % 20 = 0 AS "chromeHangs_is_map" FROM subs""")
 oracle("hang_filter", "SELECT b.k, t.json FROM base b JOIN stored t USING (k) WHERE b.ok AND (b.e % 40 = 20 OR b.e % 30 = 0)", TEXT)
-oracle("having_threshold", "SELECT sql, count(*) AS doc_count FROM statements GROUP BY sql HAVING count(*) > 100", SLOW_MAIN)
+oracle("having_threshold", "SELECT thread, sql, count(*) AS doc_count FROM statements GROUP BY thread, sql HAVING count(*) > 100", SLOW)
 oracle("filter_in_list", "SELECT k, version AS product_version FROM subs WHERE version IN ('18.0.1', '9.0', '7.0')")
 
 PAINTS = """paints AS (SELECT CASE WHEN l_linenumber <= 4 THEN '10.0a1' ELSE '9.0' END AS version,
@@ -328,7 +329,7 @@ T = "(CAST(floor(x * 300) AS BIGINT) - 500)"
 oracle("bucket_generic", f"""SELECT e, CAST({grid(T, 0, 30000, 1000)} AS BIGINT) AS other, CAST({grid(T, 30000, 90000, 2000)} AS BIGINT) AS crash,
   CAST({grid('n', 0, 50, 1)} AS BIGINT) AS pings FROM facts""")
 AVERAGE = "CASE WHEN count <> 0 THEN CAST(t AS DOUBLE) / count END"
-oracle("avg_time_ratio", f"SELECT k, CAST(count AS BIGINT) AS count, CAST(t AS BIGINT) AS t, round({AVERAGE} + 1e-9, 6) AS avg_time FROM statements", SLOW_MAIN)
+oracle("avg_time_ratio", f"SELECT k, thread, CAST(count AS BIGINT) AS count, CAST(t AS BIGINT) AS t, round({AVERAGE} + 1e-9, 6) AS avg_time FROM statements", SLOW)
 QUOTED = r"""regexp_replace(sql, '''[^''\\]*(?:\\.[^''\\]*)*''', ':private', 'gs')"""
 plain("mask_sql_literals", rf"""WITH rows AS (SELECT doc_id, 'INSERT ''' || lang || '\''s'' x "' || source || '" ' || text AS sql FROM documents)
   SELECT doc_id, md5(regexp_replace({QUOTED}, '"[^"\\]*(?:\\.[^"\\]*)*"', ':private', 'g')) AS masked,
@@ -357,13 +358,14 @@ oracle("hist_name_totals", "SELECT * FROM name_totals", KEPT, ENTRIES, NAME_TOTA
 oracle("hist_value_totals", "SELECT * FROM value_totals", KEPT, ENTRIES, POINTS, VALUE_TOTALS)
 for _name in ("hist_join_name_value", "daily_aggregates", "stored_daily_aggregates"):
     oracle(_name, "SELECT * FROM joined", KEPT, ENTRIES, POINTS, NAME_TOTALS, VALUE_TOTALS, JOINED)
-oracle("aggregate_json_docs", f"""SELECT substr(d, 1, 6) AS month, d AS date, reason, product AS "appName", product_version AS "appVersion",
+SUMMARY = f"""SELECT substr(d, 1, 6) AS month, d AS date, reason, product AS "appName", product_version AS "appVersion",
   product_channel AS "appUpdateChannel", arch, os AS "OS", os_version AS version, app_build_id AS "appBuildID", plat_build_id AS "platformBuildID",
   is_valid = 1 AS valid, names, hist_name, CAST(count(*) AS INTEGER) AS n_values, CAST(sum(v * CAST(sum_count AS BIGINT)) AS BIGINT) AS weighted,
   max(hist_name_doc_count) AS count, max(hist_name_sum) AS sum, max(bucket_count) AS bucket_count, min(min_range) AS low, max(max_range) AS high,
   max(hist_type) AS histogram_type
   FROM joined JOIN (SELECT {DIM_NAMES}, is_valid, string_agg(DISTINCT hist_name, ',' ORDER BY hist_name) AS names FROM joined GROUP BY ALL) g
-    USING ({DIM_NAMES}, is_valid) GROUP BY {NAME_KEYS}, names""", KEPT, ENTRIES, POINTS, NAME_TOTALS, VALUE_TOTALS, JOINED)
+    USING ({DIM_NAMES}, is_valid) GROUP BY {NAME_KEYS}, names"""
+oracle("aggregate_json_docs", SUMMARY, KEPT, ENTRIES, POINTS, NAME_TOTALS, VALUE_TOTALS, JOINED)
 
 # Slow SQL: place of a quantile in exact integer arithmetic, by numbered rows
 QUANTILES = {"q0": (0, 1), "q25": (1, 4), "q50": (1, 2), "q75": (3, 4), "q95": (19, 20), "q100": (1, 1)}
@@ -413,6 +415,9 @@ results AS (
   UNION ALL SELECT k, e, spec_key, 'EXTRA_' || CAST(u % 3 AS VARCHAR), false, false, false, false, false, false, false FROM checked WHERE e % 5 = 0),
 verdicts AS (
   SELECT *, CASE WHEN known THEN NOT (bad_type OR bad_min OR bad_max OR bad_bucket_count OR no_buckets OR bad_bucket) END AS valid FROM results)"""
+JUDGED = """entries AS (SELECT p.* REPLACE (CASE WHEN v.valid IS NULL THEN p.is_valid WHEN v.valid THEN 1 ELSE 0 END AS is_valid)
+  FROM planted p LEFT JOIN verdicts v ON p.k = v.k AND p.hist_name = v.hist_name)"""
+oracle("validated_aggregates", SUMMARY, KEPT, ENTRIES.replace("entries AS", "planted AS", 1), CHECKED, JUDGED, POINTS, NAME_TOTALS, VALUE_TOTALS, JOINED)
 CHECK_NAMES = ["bad_type", "bad_min", "bad_max", "bad_bucket_count", "no_buckets", "bad_bucket"]
 oracle("validate_histograms", "SELECT k, spec_key, hist_name, valid, " + ", ".join(f"CASE WHEN known THEN {c} END AS {c}" for c in CHECK_NAMES)
        + " FROM verdicts", CHECKED)
@@ -485,7 +490,7 @@ oracle("adhoc_query", f"""SELECT k, product AS "appName", CAST({PAINT} AS VARCHA
   WHERE hist_name = 'CYCLE_MS' AND count <> 0 AND d BETWEEN '20240105' AND '20240112' AND has_measures AND {PAINT} > 1000
     AND version IS NOT NULL AND {SAMPLE} < 5000""", "kept AS (SELECT * FROM subs)", ENTRIES, POINTS)
 oracle("shutdown_times", f"""SELECT CAST(n * 100 AS VARCHAR) AS "shutdownDuration", os AS "OS", version AS "appVersion", build AS "appBuildID" FROM subs
-  WHERE has_measures AND e % 3 = 0 AND d BETWEEN '20240105' AND '20240112' AND {SAMPLE} < 2500""")
+  WHERE has_measures AND e % 3 = 0 AND d BETWEEN '20240105' AND '20240112' AND {SAMPLE} < {int(0.25 * 2**60)}""")
 
 # Statistics
 DATE = "CAST(strptime(d, '%Y%m%d') AS DATE) AS date"
@@ -494,8 +499,8 @@ oracle("two_level_average", f"""SELECT date, os, round(avg(avg_time) + 1e-9, 6)
     CAST(sum(n * (1 + e % 3)) AS DOUBLE) / sum(1 + e % 3) AS avg_time FROM facts WHERE e % 37 <> 3 GROUP BY ALL) GROUP BY ALL""")
 oracle("gc_ratio_stats", f"""SELECT date, version, round(sum(n) + 1e-9, 6) AS sum_sum_count, round(median(n) + 1e-9, 6) AS median_sum_count, round(avg(n) + 1e-9, 6) AS avg_sum_count,
   round(stddev_samp(n) + 1e-9, 6) AS sd_sum_count, round(median(ratio) + 1e-9, 6) AS median_ratio, round(avg(ratio) + 1e-9, 6) AS avg_ratio, round(stddev_samp(ratio) + 1e-9, 6) AS sd_ratio FROM (
-  SELECT {DATE}, CASE u % 3 WHEN 0 THEN '16.0' WHEN 1 THEN '18.0.1' ELSE '21.0a1' END AS version, CAST(n AS DOUBLE) AS n, n / floor(x) AS ratio
-  FROM facts WHERE floor(x) <> 0) GROUP BY ALL""")
+  SELECT {DATE}, CASE u % 3 WHEN 0 THEN '16.0' WHEN 1 THEN '18.0.1' ELSE '21.0a1' END AS version, CAST(n AS DOUBLE) AS n,
+    CASE WHEN floor(x) <> 0 THEN n / floor(x) END AS ratio FROM facts WHERE n <> 0 OR floor(x) <> 0) GROUP BY ALL""")
 SQL_ROWS = """sql_rows AS (SELECT 'SELECT * FROM ' || kind || ' WHERE n = ' || CAST(n % 10 AS VARCHAR) AS sql, e % 5 AS count,
   CAST(floor(x) AS BIGINT) AS time, CASE WHEN e % 5 <> 0 THEN floor(x) / (e % 5) END AS rate FROM facts)"""
 oracle("group_stats", """SELECT sql, round(CAST(sum(count) AS DOUBLE) + 1e-9, 6) AS count, round(CAST(sum(time) AS DOUBLE) + 1e-9, 6) AS time,

@@ -80,14 +80,25 @@ def store_roundtrip(spark, sf_dir):
 
 @query
 def upsert_overlay(spark, sf_dir):
-    """Updates replace a third of the stored rows and add new ones."""
-    rows = submissions(spark, sf_dir)
+    """Updates replace a third of the stored rows and add new ones, in place in the store."""
+    rows, path = submissions(spark, sf_dir), fresh_path(spark, "store")
     marker = F.conv(F.substring("k", 10, 2), 16, 10).cast("int")
     base = rows.where(marker % 5 != 0)
     updates = rows.where(marker % 3 == 0).select("k", F.concat(F.lit("new:"), F.substring("k", 2, 8)).alias("json"))
-    return store.overlay(base, updates).select(
-        "k", "d", F.coalesce(F.col("json").startswith("new:"), F.lit(False)).alias("updated")
-    )
+    store.write_store(base, path)
+    store.upsert(spark, path, updates)
+    return store.read_store(spark, path).select("k", "d", F.md5("json").alias("digest"))
+
+
+@query
+def import_archive(spark, sf_dir):
+    """A store that holds half of the keys with other documents takes in the whole archive."""
+    rows, archive, path = submissions(spark, sf_dir), fresh_path(spark, "archive"), fresh_path(spark, "store")
+    store.write_archive(rows, archive)
+    older = rows.where(F.conv(F.substring("k", 10, 2), 16, 10).cast("int") % 2 == 0)
+    store.write_store(older.withColumn("json", F.lit("old")), path)
+    store.import_archive(spark, archive, path)
+    return store.read_store(spark, path).select("k", "d", F.md5("json").alias("digest"))
 
 
 @query
@@ -221,9 +232,7 @@ def export_split(spark, sf_dir):
 
 @query
 def export_union(spark, sf_dir):
-    marked = store.export_buckets(submissions(spark, sf_dir), 0.1)
-    parts = [marked.where(F.col("bucket") == b).select("k", "json") for b in ("prerelease", "release")]
-    return store.export_union(*parts).groupBy(sf.day_from_key(F.col("k")).alias("d")).agg(F.count("*").alias("n"))
+    return store.export_union(store.export_buckets(submissions(spark, sf_dir), 0.1)).groupBy(sf.day_from_key(F.col("k")).alias("d")).agg(F.count("*").alias("n"))
 
 
 # Filters
@@ -259,8 +268,8 @@ def count_valid_invalid(spark, sf_dir):
 
 @query
 def having_threshold(spark, sf_dir):
-    rows = jobs.slow_sql_rows(submissions(spark, sf_dir), ["mainThread"])
-    return rows.groupBy("sql").agg(F.count("*").alias("doc_count")).where(F.col("doc_count") > 100)
+    rows = jobs.slow_sql_rows(submissions(spark, sf_dir))
+    return rows.groupBy("thread", "sql").agg(F.count("*").alias("doc_count")).where(F.col("doc_count") > 100)
 
 
 @query
@@ -397,8 +406,8 @@ def bucket_generic(spark, sf_dir):
 
 @query
 def avg_time_ratio(spark, sf_dir):
-    rows = slowsql.statements(docs.parse(submissions(spark, sf_dir), "slowSQL"), ["k"], ["mainThread"])
-    return slowsql.with_average(rows).select("k", "count", "t", _six("avg_time").alias("avg_time"))
+    rows = slowsql.statements(docs.parse(submissions(spark, sf_dir), "slowSQL"), ["k"])
+    return slowsql.with_average(rows).select("k", "thread", "count", "t", _six("avg_time").alias("avg_time"))
 
 
 @query
@@ -486,9 +495,22 @@ def daily_aggregates(spark, sf_dir):
 
 @query
 def aggregate_json_docs(spark, sf_dir):
-    """Aggregate documents written by month, read back and summarized from their JSON."""
+    """Aggregate documents written day after day, one day twice, and summarized from their JSON."""
+    made = stage(jobs.aggregate_documents(submissions(spark, sf_dir), ALL_PRODUCTS), "documents")
     path = fresh_path(spark, "aggregates")
-    store.write_documents(jobs.aggregate_documents(submissions(spark, sf_dir), ALL_PRODUCTS), path)
+    for days in (F.col("d") <= START, F.col("d") >= START):
+        store.write_documents(made.where(days), path)
+    return _summary(store.read_documents(spark, path).select("month", "value"))
+
+
+@query
+def validated_aggregates(spark, sf_dir):
+    """Documents validated against the specification first, then aggregated."""
+    made = jobs.validated_aggregates(submissions(spark, sf_dir), data.specification(spark), ALL_PRODUCTS)
+    return _summary(made.select("month", F.col("agg_json").alias("value")))
+
+
+def _summary(documents):
     histogram = (
         "struct<values: array<array<bigint>>, count: bigint, sum: bigint, bucket_count: int, "
         "`range`: array<bigint>, histogram_type: int>"
@@ -498,7 +520,7 @@ def aggregate_json_docs(spark, sf_dir):
         "arch: string, OS: string, version: string, appBuildID: string, platformBuildID: string, valid: boolean>, "
         f"histogram_names array<string>, histograms map<string, {histogram}>"
     )
-    back = store.read_documents(spark, path).select("month", F.from_json("value", schema).alias("j")).select("month", "j.*")
+    back = documents.select("month", F.from_json("value", schema).alias("j")).select("month", "j.*")
     per_hist = back.select("*", F.explode("histograms").alias("hist_name", "h"))
     weighted = F.aggregate("h.values", F.lit(0).cast("bigint"), lambda a, p: a + F.get(p, F.lit(0)) * F.get(p, F.lit(1)))
     return per_hist.select(

@@ -6,6 +6,7 @@ import os
 
 import pytest
 
+from fieldlens.operators.histograms import combined_totals
 from fieldlens.plans import jobs, tables
 from fieldlens.schema import DEFAULT_REASONS
 from fieldlens.session import drop_staged, stage
@@ -28,10 +29,12 @@ def stored(spark, tmp_path_factory):
 
 
 def test_daily_aggregates_parse_once_and_shuffle_totals_only(spark, stored):
-    text = plan(jobs.daily_aggregates(stored, data.ALL_PRODUCTS))
+    text = plan(combined_totals(jobs.histogram_rows(stored, data.ALL_PRODUCTS)))
     assert text.count("from_json") == 1 and text.count("FileScan") == 1
-    assert text.count("Exchange hashpartitioning") == 2
-    assert "partial_sum" in text.split("Exchange hashpartitioning")[2]
+    assert text.count("Exchange hashpartitioning") == 1
+    assert "partial_sum" in text.split("Exchange hashpartitioning")[1]
+    joined = plan(jobs.daily_aggregates(stored, data.ALL_PRODUCTS))
+    assert "Window" not in joined and "from_json" not in joined
     assert "PartitionFilters: [isnotnull(d" in text
 
 
@@ -43,7 +46,8 @@ def test_filters_do_not_parse_again(spark, stored):
 
 
 def test_rewriting_documents_needs_no_shuffle(spark, stored):
-    assert "Exchange" not in plan(jobs.validate_submissions(stored, data.specification(spark)))
+    validated = plan(jobs.validate_submissions(stored, data.specification(spark)))
+    assert "Exchange hashpartitioning" not in validated.split("Subquery")[0] and "BroadcastHashJoin" in validated
     assert "Exchange" not in plan(jobs.scrub_submissions(stored))
 
 

@@ -83,6 +83,9 @@ def test_sample_is_repeatable_and_near_its_rate(spark):
     share = rows.where(sf.in_sample(F.col("k"), 0.1)).count() / 20000
     assert abs(share - 0.1) < 0.01
     assert rows.where(sf.in_sample(F.col("k"), 1.0)).count() == 20000 and rows.where(sf.in_sample(F.col("k"), 0.0)).count() == 0
+    assert 0 < spark.range(400_000).where(sf.in_sample(F.col("id").cast("string"), 0.00004)).count() < 60
+    both = rows.where(sf.in_sample(F.col("k"), 0.1) & sf.in_sample(F.col("k"), 0.1, "other")).count() / 20000
+    assert abs(both - 0.01) < 0.004
 
 
 def test_fingerprint_separates_absent_from_empty(spark):

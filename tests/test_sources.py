@@ -65,11 +65,25 @@ def test_overlay(spark):
     base = keyed(spark, ["20240101"], 3)
     first = base.orderBy("k").first().k
     new = "s20240109" + "9" * 36
-    updates = spark.createDataFrame([(first, "new"), (new, "added")], "k string, json string")
+    updates = spark.createDataFrame([(first, "new"), (new, "added"), (new, "adde")], "k string, json string")
     out = {r.k: (r.d, r.json) for r in store.overlay(base, updates).collect()}
     assert len(out) == 4 and out[first] == ("20240101", "new") and out[new] == ("20240109", "added")
 
 
+def test_upsert_reads_and_replaces_touched_days_only(spark, tmp_path):
+    path = str(tmp_path / "s")
+    store.write_store(keyed(spark, ["20240101", "20240102"], 3), path)
+    untouched = glob.glob(path + "/d=20240101/*.parquet")
+    first = store.read_store(spark, path).where("d = '20240102'").orderBy("k").first().k
+    updates = spark.createDataFrame([(first, "new")], "k string, json string")
+    text = store.overlay(store.read_store(spark, path), updates)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(d" in text or "PartitionFilters: [d" in text
+    store.upsert(spark, path, updates)
+    assert glob.glob(path + "/d=20240101/*.parquet") == untouched
+    out = {r.k: r.json for r in store.read_store(spark, path).collect()}
+    assert len(out) == 6 and out[first] == "new"
+
+
 def test_ordered_write_covers_the_key_range_in_order(spark, tmp_path):
     store.write_ordered(keyed(spark, ["20240101"], 200), str(tmp_path / "o"), 4)
     files = sorted(glob.glob(str(tmp_path / "o" / "*.parquet")))
@@ -95,11 +109,12 @@ def test_json_payloads_in_tab_files_stay_as_they_are(spark, tmp_path):
     assert same(store.read_delimited(spark, str(tmp_path / "j"), "k string, json string", "\t", quote=""), rows)
 
 
-def test_documents_by_month(spark, tmp_path):
-    rows = spark.createDataFrame([('{"a":1}', "202401"), ('{"a":2}', "202402")], "agg_json string, month string")
-    store.write_documents(rows, str(tmp_path / "m"))
+def test_documents_by_month_and_day(spark, tmp_path):
+    rows = spark.createDataFrame([('{"a":1}', "202401", "20240101"), ('{"a":2}', "202401", "20240102"), ('{"a":3}', "202402", "20240201")], "agg_json string, month string, d string")
+    for days in ("d <= '20240102'", "d >= '20240102'"):  # a second day in the month, and a day again
+        store.write_documents(rows.where(days), str(tmp_path / "m"))
     assert sorted(os.path.basename(p) for p in glob.glob(str(tmp_path / "m" / "month=*"))) == ["month=202401", "month=202402"]
-    assert same(store.read_documents(spark, str(tmp_path / "m")).select(F.col("value").alias("agg_json"), "month"), rows)
+    assert same(store.read_documents(spark, str(tmp_path / "m")).select(F.col("value").alias("agg_json"), "month", "d"), rows)
 
 
 def test_export_buckets(spark):

@@ -28,8 +28,8 @@ def doc(version="16.0", **hists):
     return {"info": {"appVersion": version, "appName": "P"}, "histograms": hists, "extra": [1, "1", None, {"a": 1.5}]}
 
 
-def validated(spark, spec, *documents, small=None):
-    rows = validation.validate(frame(spark, *documents), spec, small).collect()
+def validated(spark, spec, *documents):
+    rows = validation.validate(frame(spark, *documents), spec).collect()
     return {r.k: json.loads(r.json) for r in rows}
 
 
@@ -38,9 +38,8 @@ def validated(spark, spec, *documents, small=None):
     ({"bucket_count": 4}, False), ({"bucket_count": "3"}, True), ({"values": {}}, False), ({"values": None}, False),
     ({"values": {"5": 1}}, False), ({"values": {"x": 1}}, False), ({"values": [1]}, False), ({"sum": "odd"}, True),
 ])
-@pytest.mark.parametrize("small", [True, False])
-def test_checks(spark, spec, change, ok, small):
-    out = validated(spark, spec, doc(A={**GOOD, **change}), small=small)["k0"]
+def test_checks(spark, spec, change, ok):
+    out = validated(spark, spec, doc(A={**GOOD, **change}))["k0"]
     text = "true" if ok else "false"
     assert out["histograms"]["A"]["valid"] == text and out["info"]["validForSchema"] == text
 
@@ -75,14 +74,31 @@ def test_spec_without_buckets_or_limits(spark, spec):
     assert out["A"]["valid"] == "true" and out["N"]["valid"] == "false"
 
 
-def test_both_ways_agree_and_repeating_changes_nothing(spark, spec):
+def test_a_large_specification_and_repeating_change_nothing(spark, spec):
     documents = [doc(["16.0", "16.1", "17", "9"][i % 4], A={**GOOD, "bucket_count": 3 + i % 2}, Z=histogram()) for i in range(40)]
-    once = validated(spark, spec, *documents, small=True)
-    assert once == validated(spark, spec, *documents, small=False)
+    once = validated(spark, spec, *documents)
+    more = spark.range(1200).select(
+        F.concat(F.lit("x"), F.col("id")).alias("version_key"), F.lit("A").alias("hist_name"), *[F.lit("1").alias(c) for c in ("min", "max", "hist_type", "bucket_count")],
+        F.sequence(F.lit(0), F.lit(500)).alias("buckets"),
+    )
+    large = spec.unionByName(more.select(spec.columns)).unionByName(
+        spark.range(2000).select(F.lit("16").alias("version_key"), F.concat(F.lit("H"), F.col("id")).alias("hist_name"), *[F.lit("1").alias(c) for c in ("min", "max", "hist_type", "bucket_count")],
+                                 F.array(F.lit(1)).alias("buckets")).select(spec.columns))
+    for joined in ("10MB", "-1"):  # sent to all tasks, and joined by key
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", joined)
+        try:
+            assert once == validated(spark, large, *documents)
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     twice = validated(spark, spec, *once.values())
     assert sorted(map(json.dumps, twice.values())) == sorted(map(json.dumps, once.values()))
 
 
+def test_a_repeated_key_does_not_mix_documents(spark, spec):
+    rows = frame(spark, doc(A=GOOD), doc(A={**GOOD, "bucket_count": 9})).withColumn("k", F.lit("same"))
+    assert sorted(r.is_valid for r in validation.validate(rows, spec).collect()) == [False, True]
+
+
 def test_report_counts_each_document_once(spark, spec):
     row = validation.report(frame(spark, doc(A=GOOD, B=GOOD), doc(A={**GOOD, "bucket_count": 9}), doc(), {"info": {}}, None, "{"), spec).first()
     assert (row.documents, row.meta_data_invalid, row.invalid_json_structure, row.submissions_evaluated) == (6, 1, 1, 3)
