@@ -108,7 +108,9 @@ def hang_report(df: DataFrame, symbols: DataFrame, **options) -> DataFrame:
     frames appear as hexadecimal offsets. What is collected per row are the frames of one document.
     """
     # Few submissions hold hangs: they are found once and kept, not looked for again in each branch.
-    hangs = parse(stage(select_hangs(df).select("k", "json"), "hangs"), *PARTS.values())
+    # They are told apart by a number of their own, as a key may come twice.
+    found = select_hangs(df).select(F.col("k").alias("key"), "json").withColumn("k", F.monotonically_increasing_id().cast("string"))
+    hangs = parse(stage(found, "hangs"), *PARTS.values())
     named = symbolicate(frames(hangs), symbols, **options)
     label = F.coalesce("symbol", F.concat(F.lit("0x"), F.lower(F.hex("offset"))))
     per_stack = named.groupBy("k", "kind", "stack_no").agg(
@@ -128,7 +130,7 @@ def hang_report(df: DataFrame, symbols: DataFrame, **options) -> DataFrame:
         for part in PARTS.values()
     ]
     documents = hangs.select(
-        "k", F.to_json(rest).alias("metadata"),
+        "k", "key", F.to_json(rest).alias("metadata"),
         sum(looked_up[1:], looked_up[0]).alias("lookups"), sum(without[1:], without[0]).alias("errors"),
     )
     none = F.array().cast("array<string>")
@@ -137,7 +139,7 @@ def hang_report(df: DataFrame, symbols: DataFrame, **options) -> DataFrame:
         return F.coalesce(F.transform(kind, lambda s: s["text"]), none).alias(f"{kind}_stacks")
 
     return documents.join(per_document, "k", "left").select(
-        day_from_key(F.col("k")).alias("d"), uuid_from_key(F.col("k")).alias("uuid"), "metadata",
+        day_from_key(F.col("key")).alias("d"), uuid_from_key(F.col("key")).alias("uuid"), "metadata",
         "lookups", "errors", *[texts(kind) for kind in PARTS],
     )
 
@@ -156,3 +158,8 @@ def as_text_report(report: DataFrame) -> DataFrame:
             F.concat_ws("\t", "d", "uuid", "metadata"), framed("hang", "HANG"), framed("late_write", "LATE WRITE")
         ).alias("value")
     )
+
+
+def write_text_report(report: DataFrame, path: str, mode: str = "error") -> None:
+    """The hang report as compressed text, the form in which it is handed out."""
+    as_text_report(report).write.mode(mode).option("compression", "gzip").text(path)

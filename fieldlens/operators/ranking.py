@@ -117,6 +117,15 @@ def counted_statistics(counts: DataFrame, keys: Sequence[str], value: str, weigh
     return out.select(*keys, "n", "mean", deviation.alias("sd"), *sums, *[quantile(q) for q in quantiles])
 
 
+def value_counts(df: DataFrame, keys: Sequence[str], value: str, carry: Mapping[str, Column] | None = None) -> DataFrame:
+    """Rows per group and distinct value: ``doc_count`` of all, ``n`` of those with a value, and the sums of ``carry``."""
+    counts = df.groupBy(*keys, value).agg(
+        F.count("*").alias("doc_count"),
+        *[F.try_sum(expression).alias(name) for name, expression in (carry or {}).items()],
+    )
+    return counts.withColumn("n", F.when(F.col(value).isNull(), 0).otherwise(F.col("doc_count")))
+
+
 def group_statistics(df: DataFrame, keys: Sequence[str], value: str,
                      quantiles: Mapping[str, tuple[int, int]], kind: str = "linear",
                      carry: Mapping[str, Column] | None = None, **options) -> DataFrame:
@@ -125,15 +134,8 @@ def group_statistics(df: DataFrame, keys: Sequence[str], value: str,
     ``doc_count`` counts all rows of a group and ``carry`` maps names to expressions summed over all
     of them; ``n`` counts the rows with a value.
     """
-    carry = dict(carry or {})
-    counts = df.groupBy(*keys, value).agg(
-        F.count("*").alias("doc_count"),
-        *[F.try_sum(expression).alias(name) for name, expression in carry.items()],
-    )
-    counts = counts.withColumn("n", F.when(F.col(value).isNull(), 0).otherwise(F.col("doc_count")))
-    return counted_statistics(
-        counts, keys, value, "n", quantiles, kind, ["doc_count", *carry], **options
-    )
+    counts = value_counts(df, keys, value, carry)
+    return counted_statistics(counts, keys, value, "n", quantiles, kind, ["doc_count", *(carry or {})], **options)
 
 
 def distribution(df: DataFrame, value: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from fieldlens.functions.documents import as_map, number, once, parse, top_level
 from fieldlens.functions.scalars import mask_literals, normalize_sql, ratio
-from fieldlens.operators.ranking import group_statistics
+from fieldlens.operators.ranking import counted_statistics, value_counts
 from fieldlens.schema import SLOW_SQL_QUANTILES
+from fieldlens.session import stage
 
 THREADS = ("mainThread", "otherThreads")
 REPORT_KEYS = ["thread", "d", "product", "product_version", "product_channel", "sql"]
@@ -50,13 +51,24 @@ def with_average(rows: DataFrame) -> DataFrame:
 
 
 def quantile_report(rows: DataFrame, keys: Sequence[str] = REPORT_KEYS,
-                    quantiles: Mapping[str, tuple[int, int]] = SLOW_SQL_QUANTILES, **options) -> DataFrame:
-    """Rows, summed run count and exact quantiles of the average time per statement."""
-    stats = group_statistics(
-        with_average(rows), keys, "avg_time", quantiles, kind="average",
-        carry={"sum_count": F.col("count")}, **options,
+                    quantiles: Mapping[str, tuple[int, int]] = SLOW_SQL_QUANTILES, min_docs: int = 0, **options) -> DataFrame:
+    """Rows, summed run count and exact quantiles of the average time per statement.
+
+    Most statements are rare: groups of up to ``min_docs`` rows go before anything is ranked. While values
+    are ranked a digest stands for the statement, and the text comes back at the end.
+    """
+    counts = stage(value_counts(with_average(rows), keys, "avg_time", {"sum_count": F.col("count")}), "counts")
+    if min_docs:
+        frequent = counts.groupBy(*keys).agg(F.sum("doc_count").alias("_docs")).where(F.col("_docs") > min_docs)
+        frequent = frequent.select(F.struct(*keys).alias("_group"))
+        counts = counts.withColumn("_group", F.struct(*keys)).join(frequent, "_group", "left_semi").drop("_group")
+    digested = counts.withColumn("_text", F.col("sql")).withColumn("sql", F.md5("sql"))
+    stats = counted_statistics(
+        digested.drop("_text"), keys, "avg_time", "n", quantiles, "average", ["doc_count", "sum_count"], **options
     )
-    return stats.select(*keys, "doc_count", "sum_count", *quantiles)
+    texts = digested.where(F.col("sql").isNotNull()).select("sql", "_text").distinct()
+    named = stats.join(texts, "sql", "left").withColumn("sql", F.col("_text"))
+    return named.select(*keys, "doc_count", "sum_count", *quantiles)
 
 
 def approximate_report(rows: DataFrame, keys: Sequence[str] = REPORT_KEYS, accuracy: int = 10_000) -> DataFrame:

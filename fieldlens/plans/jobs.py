@@ -16,7 +16,7 @@ from fieldlens.functions.documents import (
 )
 from fieldlens.functions.predicates import drop_incomplete, from_products, where_all
 from fieldlens.operators import hangs, histograms, slowsql, statistics, validation
-from fieldlens.operators.ranking import distribution, group_statistics
+from fieldlens.operators.ranking import distribution, group_statistics, row_numbers
 from fieldlens.schema import DEFAULT_REASONS, MISSING
 from fieldlens.session import stage
 from fieldlens.sources.submissions import in_date_range
@@ -98,8 +98,8 @@ def slow_sql_rows(submissions: DataFrame, threads: Sequence[str] = slowsql.THREA
 
 def slow_sql_report(submissions: DataFrame, min_docs: int = 100, **options) -> DataFrame:
     """Both threads in one pass; statements recorded more than ``min_docs`` times, most frequent first."""
-    report = slowsql.quantile_report(slow_sql_rows(submissions), **options)
-    return report.where(F.col("doc_count") > min_docs).orderBy(
+    report = slowsql.quantile_report(slow_sql_rows(submissions), min_docs=min_docs, **options)
+    return report.orderBy(
         "thread", F.desc("doc_count"), F.desc("sum_count"), *slowsql.REPORT_KEYS[1:]
     )
 
@@ -229,6 +229,19 @@ def slow_sql_stats(extract: DataFrame, **options) -> DataFrame:
     )
 
 
+def slow_sql_by_time(extract: DataFrame) -> DataFrame:
+    """Rows of the extract with their average, numbered from the longest total time down."""
+    typed = extract.select("sql", sf.to_number(F.col("count")).alias("count"), sf.to_number(F.col("time")).alias("time"))
+    rows = typed.select("*", sf.ratio(F.col("time"), F.col("count")).alias("avg_time"), (-F.col("time")).alias("_least"))
+    return row_numbers(rows, ["_least", "sql", "count"]).drop("_least")
+
+
+def slow_sql_by_count(extract: DataFrame, **options) -> DataFrame:
+    """Statistics per statement, numbered from the most runs down."""
+    stats = slow_sql_stats(extract, **options).withColumn("_least", -F.col("count"))
+    return row_numbers(stats, ["_least", "sql"]).drop("_least")
+
+
 def mean_ratio_by_sql(extract: DataFrame) -> DataFrame:
     rate = sf.ratio(F.col("time"), F.col("count"))
     return extract.groupBy("sql").agg(F.sum("count").alias("count"), F.avg(rate).alias("avg_time"))
@@ -266,6 +279,12 @@ def cohort_bins(extract: DataFrame, version: str, os: str, os_version: str, valu
     return statistics.bins(clamped, ["si"], value, 0, 30000, 1000)
 
 
+def late_paint_bins(extract: DataFrame, version: str, os: str, value: str = "firstpaint") -> DataFrame:
+    """Density of late values of one release and system in bins of 5000 from 60000 to 600000."""
+    rows = extract.where((F.col("version") == version) & (F.col("os") == os) & F.col(value).isNotNull() & F.col("ndco").isNotNull())
+    return statistics.bins(rows.withColumn(value, sf.cap(F.col(value), 600000, 605000)), [], value, 60000, 600000, 5000)
+
+
 def cohort_distribution(extract: DataFrame, version: str, os: str, os_version: str, si: int,
                         value: str = "firstpaint", **options) -> DataFrame:
     rows = cohort_rows(extract, version, os, os_version).where(F.col("si") == si)

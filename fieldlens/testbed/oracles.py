@@ -485,10 +485,17 @@ oracle("hang_report", """SELECT d, substr(b.k, 10) AS uuid,
   FROM subs b LEFT JOIN texts_of h ON h.k = b.k AND h.kind = 'hang' LEFT JOIN texts_of w ON w.k = b.k AND w.kind = 'late_write'
   WHERE ok AND (e % 40 = 20 OR e % 30 = 0)""", FRAMES, SYMBOLS, STACKS)
 
+oracle("hang_text_report", """SELECT line, count(*) AS n FROM (
+  SELECT d || chr(9) || substr(k, 10) AS line FROM subs WHERE ok AND (e % 40 = 20 OR e % 30 = 0)
+  UNION ALL SELECT unnest(string_split(replace(text, '|', chr(10)), chr(10))) FROM texts_of JOIN subs USING (k) WHERE ok AND (e % 40 = 20 OR e % 30 = 0)
+  UNION ALL SELECT '----- ' || edge || CASE kind WHEN 'hang' THEN ' HANG' ELSE ' LATE WRITE' END || ' STACK -----'
+  FROM (SELECT texts_of.kind, unnest(string_split(text, '|')) AS stack FROM texts_of JOIN subs USING (k) WHERE ok AND (e % 40 = 20 OR e % 30 = 0))
+  CROSS JOIN (VALUES ('BEGIN'), ('END')) edges(edge)) GROUP BY line""", FRAMES, SYMBOLS, STACKS)
+
 # Ad-hoc queries
 oracle("adhoc_query", f"""SELECT k, product AS "appName", CAST({PAINT} AS VARCHAR) AS "firstPaint", {ROW_FIELDS} FROM points
   WHERE hist_name = 'CYCLE_MS' AND count <> 0 AND d BETWEEN '20240105' AND '20240112' AND has_measures AND {PAINT} > 1000
-    AND version IS NOT NULL AND {SAMPLE} < 5000""", "kept AS (SELECT * FROM subs)", ENTRIES, POINTS)
+    AND version IS NOT NULL AND {SAMPLE} < {int(0.5 * 2**60)}""", "kept AS (SELECT * FROM subs)", ENTRIES, POINTS)
 oracle("shutdown_times", f"""SELECT CAST(n * 100 AS VARCHAR) AS "shutdownDuration", os AS "OS", version AS "appVersion", build AS "appBuildID" FROM subs
   WHERE has_measures AND e % 3 = 0 AND d BETWEEN '20240105' AND '20240112' AND {SAMPLE} < {int(0.25 * 2**60)}""")
 
@@ -508,6 +515,10 @@ oracle("group_stats", """SELECT sql, round(CAST(sum(count) AS DOUBLE) + 1e-9, 6)
   round(stddev_samp(rate) + 1e-9, 6) AS sd_avg_time FROM sql_rows GROUP BY sql""", SQL_ROWS)
 MEANS = "means AS (SELECT sql, CAST(sum(count) AS BIGINT) AS count, round(avg(rate) + 1e-9, 6) AS avg_time FROM sql_rows GROUP BY sql)"
 oracle("mean_ratio_by_sql", "SELECT * FROM means", SQL_ROWS, MEANS)
+oracle("slow_sql_by_time", """SELECT sql, CAST(count AS DOUBLE) AS count, CAST(time AS DOUBLE) AS time, round(rate + 1e-9, 6) AS avg_time,
+  row_number() OVER (ORDER BY time DESC, sql, count) AS idx FROM sql_rows""", SQL_ROWS)
+oracle("slow_sql_by_count", """SELECT sql, count, round(middle + 1e-9, 6) AS median_avg_time, row_number() OVER (ORDER BY count DESC, sql) AS idx FROM (
+  SELECT sql, CAST(sum(count) AS DOUBLE) AS count, median(rate) AS middle FROM sql_rows GROUP BY sql)""", SQL_ROWS)
 oracle("rank_by_ratio", "SELECT sql, avg_time, row_number() OVER (ORDER BY avg_time NULLS FIRST, sql) AS idx FROM means", SQL_ROWS, MEANS)
 oracle("top_n", "SELECT * FROM means ORDER BY avg_time DESC NULLS LAST, sql LIMIT 20", SQL_ROWS, MEANS)
 PAIRS = f"pairs AS (SELECT firstpaint AS x, places AS y FROM paints WHERE {RELEASE} AND firstpaint IS NOT NULL AND places IS NOT NULL)"
@@ -543,3 +554,16 @@ paints("kernel_density", """SELECT i, round(x, 4) AS x, round(y0 + (y1 - y0) * (
 oracle("submission_trend", f"""SELECT {DATE}, product_version AS version, CAST(split_part(product_version, '.', 1) AS INTEGER) AS version_major, count,
   round(avg_size / 1024 + 1e-9, 6) AS avg_size_kb, round(sum_size / (1024.0 * 1024 * 1024), 9) AS sum_size_gb FROM by_product
   WHERE product = '{DESKTOP}' AND product_version IN ('16.0', '18.0.1', '9.0')""", TEXT, BY_PRODUCT)
+SECOND = f"pairs AS (SELECT firstpaint AS x, ndco AS y FROM paints WHERE {RELEASE} AND firstpaint IS NOT NULL AND ndco IS NOT NULL)"
+paints("corr_second_pair", """SELECT 'pearson' AS method, round(corr(x, y) + 1e-9, 6) AS value FROM pairs UNION ALL
+  SELECT 'spearman', round(corr(rx, ry) + 1e-9, 6) FROM (
+    SELECT rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS rx,
+           rank() OVER (ORDER BY y) + (count(*) OVER (PARTITION BY y) - 1) / 2.0 AS ry FROM pairs)""", SECOND)
+paints("late_paint_bins", """SELECT lower, upper, n, round(CASE WHEN upper > lower THEN n / ((sum(n) OVER ()) * (upper - lower)) END, 12) AS density FROM (
+  SELECT CASE WHEN b <= 0 THEN CAST(min(p) AS DOUBLE) WHEN b > 108 THEN 600000.0 ELSE 60000 + (b - 1) * 5000.0 END AS lower,
+    CASE WHEN b <= 0 THEN 60000.0 WHEN b > 108 THEN CAST(max(p) AS DOUBLE) ELSE 60000 + b * 5000.0 END AS upper, count(*) AS n FROM (
+    SELECT p, CAST(least(greatest(ceil((p - 60000) / 5000.0), 0), 109) AS INTEGER) AS b FROM (
+      SELECT CASE WHEN firstpaint > 600000 THEN 605000 ELSE firstpaint END AS p FROM paints
+      WHERE version = '10.0a1' AND os = 'WINNT' AND firstpaint IS NOT NULL AND ndco IS NOT NULL)) GROUP BY b)""")
+paints("cohort_restored_summary", f"SELECT si, count(sessionrestored) AS n_values, {SIX.format('sessionrestored')} FROM cohort GROUP BY si", COHORT)
+oracle("saved_ping_files", "SELECT 'dummy' AS k, md5(max_by(json, k)) AS digest FROM stored WHERE json IS NOT NULL GROUP BY d", TEXT)

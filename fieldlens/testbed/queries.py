@@ -643,6 +643,15 @@ def hang_report(spark, sf_dir):
     )
 
 
+@query
+def hang_text_report(spark, sf_dir):
+    """The report as compressed text, read back: its lines, those of documents without the metadata."""
+    path = fresh_path(spark, "hang-report")
+    hangs.write_text_report(jobs.hang_report(submissions(spark, sf_dir), data.symbols(spark, sf_dir)), path)
+    line = F.when(F.col("value").contains("\t"), F.substring_index("value", "\t", 2)).otherwise(F.col("value"))
+    return spark.read.text(path).where("value <> ''").groupBy(line.alias("line")).agg(F.count("*").alias("n"))
+
+
 # Ad-hoc queries
 
 @query
@@ -678,6 +687,18 @@ def group_stats(spark, sf_dir):
     return out.select("sql", *[_six(c).alias(c) for c in out.columns[1:]]).orderBy(F.desc("median_avg_time"), "sql")
 
 
+@query
+def slow_sql_by_time(spark, sf_dir):
+    out = jobs.slow_sql_by_time(_from_file(data.slow_sql_extract(spark, sf_dir), SLOW_SQL_DDL))
+    return out.select("sql", "count", "time", _six("avg_time").alias("avg_time"), "idx")
+
+
+@query
+def slow_sql_by_count(spark, sf_dir):
+    out = jobs.slow_sql_by_count(_from_file(data.slow_sql_extract(spark, sf_dir), SLOW_SQL_DDL))
+    return out.select("sql", "count", _six("median_avg_time").alias("median_avg_time"), "idx")
+
+
 def _typed_slow_sql(spark, sf_dir):
     return data.slow_sql_extract(spark, sf_dir).select(
         "sql", F.col("count").cast("bigint").alias("count"), F.col("time").cast("bigint").alias("time")
@@ -755,3 +776,35 @@ def submission_trend(spark, sf_dir):
     out = jobs.submission_trend(extract, DESKTOP, ["16.0", "18.0.1", "9.0"])
     return out.select("date", "version", "version_major", "count", _six("avg_size_kb").alias("avg_size_kb"),
                       F.round("sum_size_gb", 9).alias("sum_size_gb"))
+
+
+@query
+def corr_second_pair(spark, sf_dir):
+    """Both correlations of the other pair of measurements."""
+    rows = data.first_paint_extract(spark, sf_dir).where("version = '10.0a1' and os = 'WINNT' and osversion = '6.1'")
+    rows = rows.where("firstpaint is not null and ndco is not null")
+    both = statistics.pearson(rows, "firstpaint", "ndco").select(F.lit("pearson").alias("method"), F.col("pearson").alias("value")).unionByName(
+        statistics.spearman(rows, "firstpaint", "ndco").select(F.lit("spearman").alias("method"), F.col("spearman").alias("value")))
+    return both.select("method", _six("value").alias("value"))
+
+
+@query
+def late_paint_bins(spark, sf_dir):
+    out = jobs.late_paint_bins(data.first_paint_extract(spark, sf_dir), "10.0a1", "WINNT")
+    return out.select("lower", "upper", "n", F.round("density", 12).alias("density"))
+
+
+@query
+def cohort_restored_summary(spark, sf_dir):
+    out = jobs.cohort_summary(data.first_paint_extract(spark, sf_dir), "10.0a1", "WINNT", "6.1", "sessionrestored")
+    return out.select("si", "n_values", *[_six(c).alias(c) for c in ("min", "q1", "median", "mean", "q3", "max")], "missing")
+
+
+@query
+def saved_ping_files(spark, sf_dir):
+    """Saved pings as files of one document each per day, read back whole."""
+    path = fresh_path(spark, "pings")
+    pings = submissions(spark, sf_dir).where("json is not null").groupBy("d").agg(F.max_by("json", "k").alias("json"))
+    payload = pings.select(F.to_json(F.struct("d", F.col("json").alias("payload"))).alias("value"), "d")
+    payload.repartition("d").write.partitionBy("d").text(path)
+    return store.read_ping_payloads(spark, path + "/*/*").select("k", F.md5("json").alias("digest"))
