@@ -32,12 +32,12 @@ OOM_KEYS = [
 
 def complete_submissions(submissions: DataFrame, products: Sequence[str],
                          reasons: Sequence[str] = DEFAULT_REASONS, os: str | None = None, **typed: str) -> DataFrame:
-    """Submissions of the given products that hold all three main parts, with these as columns.
+    """Keys of the given products' submissions that hold all three main parts, with these as columns.
 
     ``typed`` names how to read a part; jobs that only need it to be there say so.
     """
     parts = [p for p in ("info", "histograms", "simpleMeasurements") if p not in typed]
-    return parse(submissions, *parts, **typed).where(is_complete() & from_products(products, reasons, os))
+    return parse(submissions, *parts, keep=["k"], **typed).where(is_complete() & from_products(products, reasons, os))
 
 
 # Histograms
@@ -80,7 +80,7 @@ def scrub_submissions(submissions: DataFrame, compat: bool = False) -> DataFrame
 
 def count_valid_invalid(submissions: DataFrame) -> DataFrame:
     verdict = info("validForSchema")
-    return parse(submissions, "info").agg(
+    return parse(submissions, "info", keep=[]).agg(
         F.count("*").alias("all_docs"), F.count_if(verdict == "true").alias("valid_docs"),
         F.count_if(verdict == "false").alias("invalid_docs"),
     )
@@ -93,7 +93,7 @@ def slow_sql_rows(submissions: DataFrame, threads: Sequence[str] = slowsql.THREA
         sf.day_from_key(F.col("k")).alias("d"), info("appName").alias("product"),
         info("appVersion").alias("product_version"), info("appUpdateChannel").alias("product_channel"),
     ]
-    return slowsql.statements(parse(submissions, "info", "slowSQL"), carry, threads)
+    return slowsql.statements(parse(submissions, "info", "slowSQL", keep=["k"]), carry, threads)
 
 
 def slow_sql_report(submissions: DataFrame, min_docs: int = 100, **options) -> DataFrame:
@@ -131,7 +131,7 @@ def oom_killed_counts(submissions: DataFrame, products: Sequence[str]) -> DataFr
 
 
 def count_by_version(submissions: DataFrame, products: Sequence[str]) -> DataFrame:
-    kept = parse(submissions, "info").where(
+    kept = parse(submissions, "info", keep=[]).where(
         info("appName").isin(*products) & info("appVersion").isNotNull()
     )
     return kept.groupBy(info("appVersion").alias("product_version")).agg(F.count("*").alias("cnt"))

@@ -1,4 +1,7 @@
-"""Normal-form tables: documents parsed once, stored by day in columns, queried without JSON.
+"""Normal-form tables: documents stored by day in columns, so that later queries need no JSON.
+
+Each table is written by a pass of its own that parses the parts it needs; where only the presence of a
+part counts, its content is not read.
 
 ``docs`` holds one row per submission with the dimensions as real columns, so that filters reach the
 Parquet scan. ``hist`` holds one row per histogram or measure with its buckets, ``slow_sql`` one row
@@ -12,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from fieldlens.functions import scalars as sf
-from fieldlens.functions.documents import dimension_columns, info, is_complete, parse
+from fieldlens.functions.documents import PRESENCE, dimension_columns, info, is_complete, parse
 from fieldlens.operators import histograms, slowsql
 from fieldlens.schema import DIMENSIONS, INFO_FIELDS
 
@@ -20,7 +23,7 @@ TABLES = ("docs", "hist", "slow_sql")
 
 
 def docs_table(submissions: DataFrame) -> DataFrame:
-    parsed = parse(submissions, "info", "histograms", "simpleMeasurements")
+    parsed = parse(submissions, "info", **PRESENCE)
     return parsed.select(
         "k", *dimension_columns(), info(INFO_FIELDS["os_version"]).alias("raw_version"),
         info("flashVersion").alias("flash_version"), info("validForSchema").alias("valid_for_schema"),
@@ -30,14 +33,14 @@ def docs_table(submissions: DataFrame) -> DataFrame:
 
 def hist_table(submissions: DataFrame) -> DataFrame:
     """Rows of complete submissions; product and reason stay as columns to filter on."""
-    parsed = parse(submissions, "info", "histograms", "simpleMeasurements").where(is_complete())
+    parsed = parse(submissions, "info", "histograms", "simpleMeasurements", keep=["k"]).where(is_complete())
     return histograms.entries(parsed, ["k", *dimension_columns()])
 
 
 def slow_sql_table(submissions: DataFrame) -> DataFrame:
     carry = ["k", sf.day_from_key(F.col("k")).alias("d"), info("appName").alias("product"),
              info("appVersion").alias("product_version"), info("appUpdateChannel").alias("product_channel")]
-    return slowsql.statements(parse(submissions, "info", "slowSQL"), carry)
+    return slowsql.statements(parse(submissions, "info", "slowSQL", keep=["k"]), carry)
 
 
 def write_tables(submissions: DataFrame, path: str) -> None:

@@ -38,6 +38,14 @@ def test_daily_aggregates_parse_once_and_shuffle_totals_only(spark, stored):
     assert "PartitionFilters: [isnotnull(d" in text
 
 
+def test_the_text_is_not_carried_beside_its_parts(spark, stored):
+    text = plan(jobs.count_by_version(stored, [data.DESKTOP]))
+    assert text.count("from_json") == 1
+    assert not [line for line in text.splitlines() if "Generate" in line and "json#" in line.split("_row")[0].replace("from_json", "")]
+    union = plan(store.export_union(store.export_buckets(stored)))
+    assert union.count("from_json") == 1 and union.count("FileScan") == 1
+
+
 def test_filters_do_not_parse_again(spark, stored):
     text = plan(jobs.flash_versions(stored, [data.DESKTOP], os="WINNT"))
     assert text.count("from_json") == 1
