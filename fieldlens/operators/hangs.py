@@ -146,6 +146,7 @@ def hang_report(df: DataFrame, symbols: DataFrame, **options) -> DataFrame:
 
 def as_text_report(report: DataFrame) -> DataFrame:
     """The hang report as lines of text, one value per document."""
+    # The lines before and after a stack.
     def framed(kind, title):
         return F.array_join(
             F.transform(

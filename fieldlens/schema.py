@@ -9,7 +9,7 @@ DIMS_VALID = DIMENSIONS + ["is_valid"]
 DIMS_NAME = DIMS_VALID + ["hist_name"]
 DIMS_VALUE = DIMS_NAME + ["v"]
 
-# Submission field behind each dimension that is read from the ``info`` object.
+# Submission field behind each dimension that is read from the ``info`` object.
 INFO_FIELDS = {
     "reason": "reason",
     "product": "appName",
@@ -73,7 +73,7 @@ SLOW_SQL_QUANTILES = {
     "q0": (0, 1), "q25": (1, 4), "q50": (1, 2), "q75": (3, 4), "q95": (19, 20), "q100": (1, 1),
 }
 
-# ``info`` fields that make up a configuration fingerprint, in order.
+# Fixed values: ``info`` fields that make up a configuration fingerprint, in order.
 FINGERPRINT_FIELDS = [
     "reason", "OS", "appID", "appBuildID", "appName", "platformBuildID", "appUpdateChannel",
     "locale", "cpucount", "arch", "version", "device", "hardware",

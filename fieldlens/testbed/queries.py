@@ -119,7 +119,8 @@ def delimited_sink(spark, sf_dir):
             spark, path, "k string, d string, uuid string", options["sep"], options.get("header", False)
         ).select(F.lit(name).alias("sink"), "k", "d", "uuid")
         found = back if found is None else found.unionByName(back)
-    return found.groupBy("sink", "d").agg(F.count("*").alias("n"), F.max("uuid").alias("last_uuid"))
+    digest = F.conv(F.substring(F.md5(F.concat_ws("|", "k", "d", "uuid")), 1, 12), 16, 10).cast("bigint")
+    return found.groupBy("sink", "d").agg(F.count("*").alias("n"), F.sum(digest).alias("digest"))
 
 
 @query
