@@ -61,16 +61,35 @@ def drop_staged(spark: SparkSession) -> None:
     _delete(spark, _own_dir(spark))
 
 
+class Scope:
+    """Intermediate tables made inside ``with`` lie together, until :meth:`drop` deletes them and no others.
+
+    A job whose result is read later keeps its scope until that result is written.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.name = spark, f"scope-{uuid.uuid4().hex}"
+
+    def __enter__(self) -> Scope:
+        _scopes.append(self.name)
+        self.where = _own_dir(self.spark)
+        return self
+
+    def __exit__(self, *_) -> None:
+        _scopes.remove(self.name)
+
+    def drop(self) -> None:
+        _delete(self.spark, self.where)
+
+
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Intermediate tables made inside are deleted at the end, others stay; write the results inside."""
-    _scopes.append(f"scope-{uuid.uuid4().hex}")
-    where = _own_dir(spark)
-    try:
-        yield
-    finally:
-        _scopes.pop()
-        _delete(spark, where)
+    with Scope(spark) as scope:
+        try:
+            yield
+        finally:
+            scope.drop()
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

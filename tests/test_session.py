@@ -24,3 +24,11 @@ def test_a_scope_leaves_nothing_staged(spark):
         assert session.stage(spark.range(5), "inside").count() == 5
         assert os.listdir(path)
     assert not os.path.exists(path) and outside.count() == 3
+
+
+def test_a_kept_scope_goes_when_it_is_dropped(spark):
+    with session.Scope(spark) as first, session.Scope(spark) as second:
+        rows = session.stage(spark.range(4), "x")
+    assert rows.count() == 4 and second.where.startswith(first.where)
+    first.drop()
+    assert not os.path.exists(first.where.removeprefix("file:"))
