@@ -11,6 +11,7 @@ import functools
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -63,7 +64,7 @@ def _steps(runs: list[str], path: str):
     automaton, length = _vocabulary(path)
     sizes = np.array([len(r) for r in runs])
     starts = np.cumsum(sizes + 1) - sizes - 1
-    found = np.array(list(automaton.iter("\n".join(runs))), dtype=np.int64).reshape(-1, 2)
+    found = np.fromiter(chain.from_iterable(automaton.iter("\n".join(runs))), dtype=np.int64).reshape(-1, 2)
     run = np.searchsorted(starts, found[:, 0], "right") - 1
     end, piece = found[:, 0] - starts[run] + 1, found[:, 1]
     single = (run * (RUN + 1) + end)[length[piece] == 1]
@@ -188,7 +189,9 @@ class Scorer:
             owner = np.repeat(np.arange(len(new)), [len(p) for p in pieces])
             sums = np.zeros((len(new), self.known.shape[1]))
             if len(owner):
-                np.add.at(sums[:, :-1], owner, likelihoods([r for p in pieces for r in p], self.model.prob, self.model.vocabulary))
+                number: dict[str, int] = {}
+                which = [number.setdefault(r, len(number)) for p in pieces for r in p]
+                np.add.at(sums[:, :-1], owner, likelihoods(list(number), self.model.prob, self.model.vocabulary)[which])
                 np.add.at(sums[:, -1], owner, 1)
             self.place.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
             self.known = np.concatenate([self.known, sums])
