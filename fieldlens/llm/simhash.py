@@ -12,7 +12,7 @@ copies never turn into all their pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldlens.llm import similar
 from fieldlens.llm.common import with_rows
 from fieldlens.llm.components import components
 from fieldlens.session import stage
@@ -147,6 +148,15 @@ def _links(batches: Iterator[pa.RecordBatch], n_lanes: int, bits: int) -> Iterat
         yield out(held)
 
 
+def spread(marked: DataFrame, lanes: list[str], others: Sequence[str] = ()) -> DataFrame:
+    """(key, tile, part, lanes..., others...): rows of a key dealt at random into its ``parts``, each pair of them a tile."""
+    own = F.pmod(F.xxhash64(*lanes), F.col("parts")).cast("int")
+    dealt = marked.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    side = F.when(low == high, -1).otherwise((F.col("own") == high).cast("int"))
+    return dealt.select("key", (low * F.col("parts") + high).alias("tile"), side.alias("part"), *lanes, *others)
+
+
 def links(classes: DataFrame, lanes: list[str], bits: int, block_bits: int, tile: int = TILE) -> DataFrame:
     """(a0, ..., b0, ...) links between distinct fingerprints that differ in at most ``bits`` bits.
 
@@ -159,11 +169,7 @@ def links(classes: DataFrame, lanes: list[str], bits: int, block_bits: int, tile
         dealt = entries.select("key", F.lit(0).alias("tile"), F.lit(-1).alias("part"), *lanes)
     else:
         marked = entries.join(crowded, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-        own = F.pmod(F.xxhash64(*lanes), F.col("parts")).cast("int")
-        spread = marked.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-        low, high = F.least("own", "other"), F.greatest("own", "other")
-        side = F.when(low == high, -1).otherwise((F.col("own") == high).cast("int"))
-        dealt = spread.select("key", (low * F.col("parts") + high).alias("tile"), side.alias("part"), *lanes)
+        dealt = spread(marked, lanes)
     schema = ", ".join(f"{s}{k} long" for s in "ab" for k in range(len(lanes)))
     sorted_rows = dealt.repartition("key", "tile").sortWithinPartitions("key", "tile")
     n = len(lanes)
@@ -173,7 +179,11 @@ def links(classes: DataFrame, lanes: list[str], bits: int, block_bits: int, tile
 def _components(printed: DataFrame, lanes: list[str], bits: int, tile: int) -> DataFrame:
     """(lanes..., root, component_id) for every distinct fingerprint; ``printed`` has row, id and lanes."""
     classes = stage(printed.groupBy(*lanes).agg(F.min("id").alias("least")), "classes")
-    found = stage(links(classes, lanes, bits, bits // len(lanes), tile), "pairs")
+    return _rooted(classes, stage(links(classes, lanes, bits, bits // len(lanes), tile), "pairs"), lanes)
+
+
+def _rooted(classes: DataFrame, found: DataFrame, lanes: list[str]) -> DataFrame:
+    """(lanes..., root, component_id) of ``classes`` (lanes..., least) under the links ``found``."""
     value = lambda side: F.struct(*[F.col(f"{side}{k}").alias(f"v{k}") for k in range(len(lanes))])
     roots = components(found.select(value("a").alias("a"), value("b").alias("b")))
     own = classes.select(*lanes, "least", F.struct(*[F.col(x).alias(f"v{k}") for k, x in enumerate(lanes)]).alias("value"))
@@ -217,14 +227,18 @@ def distance_for(similarity: float, width: int) -> int:
 def one_per_group(docs: DataFrame, words: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text", tile: int = TILE) -> DataFrame:
     """The rows of ``docs`` without near copies; of each group one row with the smallest id stays.
 
-    Two fingerprints of 64 bits with hash seeds of their own are compared as one of 128 bits, for which
-    ``similarity`` of the sets of word shingles gives the number of bits that may differ. Pairs are found by
-    blocks of either fingerprint. Texts without words are one group, as they are equal.
+    Near copies are texts whose sets of ``words``-word shingles have a Jaccard similarity of at least
+    ``similarity``, and what chains of such pairs connect. Every link is verified by the whole sets; how
+    rarely a pair is not compared is said in ``similar``. Texts without words are one group, as they are equal.
     """
     rows, row = with_rows(docs, "documents")
-    seeds, lanes = (SEED, SEED + 1), ["f0", "f1"]
-    printed = stage(_with_prints(rows.select(F.col(row).alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("text")), words, seeds), "prints")
-    found = stage(_components(printed, lanes, distance_for(similarity, 128), tile), "components")
+    lanes = ["f0", "f1"]
+    texts = rows.select(F.col(row).alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    printed = stage(similar.with_keys(texts, words), "prints")
+    # Equal sets have equal keys and sizes.
+    classes = stage(printed.groupBy(*lanes).agg(F.min("id").alias("least"), F.min("row").alias("row"), F.first("size").alias("size"), F.first("keys").alias("keys")), "classes")
+    links = stage(similar.links(texts, classes, words, similarity, tile), "pairs")
+    found = stage(_rooted(classes.select(*lanes, "least"), links, lanes), "components")
     # A group's rows are many, so the one that stays is found by an aggregate, not by a sort of the group.
     best = printed.join(found, lanes).groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("best"))
     return rows.join(best.select(F.col("best.row").alias(row)), row, "left_semi").select(*docs.columns)
