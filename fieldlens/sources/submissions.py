@@ -151,8 +151,9 @@ def ping_payloads(files: DataFrame, key: str = "dummy") -> DataFrame:
     return parsed.select(F.lit(key).alias("k"), F.col("payload").alias("json")).where(F.col("json").isNotNull())
 
 
-def read_ping_payloads(spark: SparkSession, path: str, key: str = "dummy") -> DataFrame:
-    return ping_payloads(spark.read.text(path, wholetext=True), key)
+def read_ping_payloads(spark: SparkSession, path: str, key: str = "dummy", lines: bool = False) -> DataFrame:
+    """Pings saved as a file each or, with ``lines``, as a line each."""
+    return ping_payloads(spark.read.text(path, wholetext=not lines), key)
 
 
 def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = "\t", header: bool = False,

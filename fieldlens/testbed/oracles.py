@@ -567,3 +567,4 @@ paints("late_paint_bins", """SELECT lower, upper, n, round(CASE WHEN upper > low
       WHERE version = '10.0a1' AND os = 'WINNT' AND firstpaint IS NOT NULL AND ndco IS NOT NULL)) GROUP BY b)""")
 paints("cohort_restored_summary", f"SELECT si, count(sessionrestored) AS n_values, {SIX.format('sessionrestored')} FROM cohort GROUP BY si", COHORT)
 oracle("saved_ping_files", "SELECT 'dummy' AS k, md5(max_by(json, k)) AS digest FROM stored WHERE json IS NOT NULL GROUP BY d", TEXT)
+oracle("saved_ping_lines", "SELECT 'dummy' AS k, md5(json) AS digest FROM stored WHERE json IS NOT NULL", TEXT)

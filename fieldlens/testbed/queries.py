@@ -809,3 +809,12 @@ def saved_ping_files(spark, sf_dir):
     payload = pings.select(F.to_json(F.struct("d", F.col("json").alias("payload"))).alias("value"), "d")
     payload.repartition("d").write.partitionBy("d").text(path)
     return store.read_ping_payloads(spark, path + "/*/*").select("k", F.md5("json").alias("digest"))
+
+
+@query
+def saved_ping_lines(spark, sf_dir):
+    """All saved pings, one document per line, read back whole."""
+    path = fresh_path(spark, "pings")
+    pings = submissions(spark, sf_dir).where("json is not null")
+    pings.select(F.to_json(F.struct("d", F.col("json").alias("payload"))).alias("value")).write.text(path)
+    return store.read_ping_payloads(spark, path, lines=True).select("k", F.md5("json").alias("digest"))

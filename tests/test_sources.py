@@ -61,6 +61,13 @@ def test_ping_files(spark, tmp_path):
     assert sorted(tuple(r) for r in rows) == [("dummy", '{"i": 0}'), ("dummy", '{"i": 1}')]
 
 
+def test_ping_lines(spark, tmp_path):
+    pings = [json.dumps({"slug": "s", "payload": json.dumps({"i": i}, indent=1)}) for i in range(3)]
+    (tmp_path / "pings").write_text("\n".join([*pings, "{"]))
+    rows = store.read_ping_payloads(spark, str(tmp_path), lines=True).collect()
+    assert sorted(tuple(r) for r in rows) == [("dummy", json.dumps({"i": i}, indent=1)) for i in range(3)]
+
+
 def test_overlay(spark):
     base = keyed(spark, ["20240101"], 3)
     first = base.orderBy("k").first().k
