@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fieldlens.llm import exact_dedup, fingerprints, language, mixing, packing, pii, quality, sharding, simhash, token_files
+from fieldlens.llm import (
+    divergence, exact_dedup, fingerprints, language, mixing, packing, pii, quality, repetition, resampling, sharding, simhash, token_files,
+)
 from fieldlens.llm.common import documents
 from fieldlens.session import fresh_path
 
@@ -75,6 +77,21 @@ def op10_sharding(spark, sf_dir):
     return sharding.shard(documents(spark, sf_dir))
 
 
+@query
+def op11_repetition(spark, sf_dir):
+    return repetition.rules(documents(spark, sf_dir)).drop("n_repeats", "longest_repeat")
+
+
+@query
+def op12_importance(spark, sf_dir):
+    return resampling.resample(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+@query
+def op13_divergence(spark, sf_dir):
+    return divergence.audit(documents(spark, sf_dir))
+
+
 ORACLES["op4_mixing"] = r"""
 WITH sized AS (
   SELECT doc_id, source, md5(doc_id::VARCHAR || ':1') AS shuffled,
@@ -117,3 +134,90 @@ SELECT doc_id, first_value(doc_id) OVER best AS keep_id, count(*) OVER (PARTITIO
        doc_id = first_value(doc_id) OVER best AS kept, sha256(content) AS text_sha256
 FROM texts WINDOW best AS (PARTITION BY content ORDER BY chars DESC, doc_id)
 """
+
+# A repeat of at least k words is what windows of k words that occur twice cover, so windows suffice here.
+ORACLES["op11_repetition"] = r"""
+WITH texts AS (
+  SELECT doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+         len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+         list_filter(string_split(text, chr(10)), lambda line: regexp_matches(line, '[^\x20\x09-\x0D]')) AS lines
+  FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents)),
+windows AS (
+  SELECT doc_id, k, unnest(list_transform(range(1, len(words) - k + 2), lambda i: {'place': i, 'content': md5(array_to_string(words[i:i + k - 1], ' '))}), recursive := true)
+  FROM texts, (VALUES (3), (10), (101)) AS sizes(k)),
+repeated AS (SELECT doc_id, k, place, lead(place) OVER (PARTITION BY doc_id, k ORDER BY place) AS next
+             FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, k, content) AS n FROM windows) WHERE n > 1),
+spans AS (SELECT doc_id, k, sum(least(k, coalesce(next - place, k)))::BIGINT AS n FROM repeated GROUP BY doc_id, k),
+summed AS (
+  SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum(list_transform(words, lambda w: length(w))), 0)::BIGINT AS word_chars,
+         n_symbols::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce((SELECT n FROM spans s WHERE s.doc_id = t.doc_id AND k = 3), 0) AS n_repeat_words,
+         coalesce((SELECT n FROM spans s WHERE s.doc_id = t.doc_id AND k = 10), 0) AS n_covered,
+         coalesce((SELECT n FROM spans s WHERE s.doc_id = t.doc_id AND k = 101), 0) AS n_long
+  FROM texts t)
+SELECT * EXCLUDE (n_long), n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND 100 * n_covered <= 30 * n_words AND n_long = 0 AS kept
+FROM summed
+"""
+
+ORACLES["op12_importance"] = r"""
+WITH steps AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM (SELECT range AS i FROM range(256))),
+texts AS (
+  SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+words AS (
+  SELECT side, id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+  FROM texts),
+distinct_words AS (SELECT word, hex(encode(word)) AS digits, octet_length(encode(word)) AS size FROM (SELECT DISTINCT word FROM words)),
+hashed AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(size), lambda k: ('0x' || substr(digits, 2 * k + 1, 2))::BIGINT)),
+                               lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+  FROM distinct_words, steps),
+placed AS (SELECT side, id, bucket FROM words JOIN hashed USING (word)),
+buckets AS (SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t FROM placed GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (SELECT sum(s) + 10000 FROM buckets)::DOUBLE
+                                 / ((s + 1)::DOUBLE * (SELECT sum(t) + 10000 FROM buckets)::DOUBLE)))::BIGINT AS gain
+  FROM buckets),
+weights AS (SELECT id, count(*) AS n, sum(gain)::BIGINT AS weight FROM placed JOIN gains USING (bucket) WHERE side = 'd' GROUP BY id),
+scored AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM documents LEFT JOIN weights ON id = doc_id),
+fit AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= n * 10 // 100 THEN place END AS rank
+FROM scored LEFT JOIN fit USING (doc_id)
+"""
+
+ORACLES["op13_divergence"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS found
+  FROM documents),
+occurring AS (SELECT DISTINCT lang, source FROM docs),
+used AS (SELECT row, lang, source, term, count(*) AS n FROM (SELECT row, lang, source, unnest(found) AS term FROM docs) GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n)::HUGEINT AS n FROM used GROUP BY lang, term HAVING count(*) >= 30),
+sizes AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+every AS (
+  SELECT o.lang, o.source, k.term, coalesce(u.n, 0)::HUGEINT AS n
+  FROM occurring o JOIN kept k USING (lang) LEFT JOIN (SELECT lang, source, term, sum(n) AS n FROM used GROUP BY ALL) u USING (lang, source, term)),
+totals AS (SELECT lang, source, sum(n) AS total FROM every GROUP BY lang, source),
+shares AS (
+  SELECT e.lang, e.source, e.term, e.n, (1 + (1000000000 * (e.n + 5)) // (t.total + 5 * s.v))::BIGINT AS p,
+         (1 + (1000000000 * (k.n + 5)) // (s.total + 5 * s.v))::BIGINT AS q
+  FROM every e JOIN totals t USING (lang, source) JOIN sizes s USING (lang) JOIN kept k USING (lang, term)),
+distances AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p))::BIGINT AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(d.value, 0) AS value
+  FROM occurring a JOIN occurring b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN distances d ON d.lang = a.lang AND d.source = a.source AND d.item = b.source),
+every_part AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM every_part)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
