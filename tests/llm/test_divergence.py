@@ -45,11 +45,11 @@ def made(n=300):
 
 
 @pytest.mark.parametrize("least_docs", [1, 5, 60])
-@pytest.mark.parametrize("cells", [1, 7, 1 << 21])
-def test_rows_against_plain_python(spark, least_docs, cells):
+@pytest.mark.parametrize("block", [(1, 1), (7, 2), (1 << 21, 256)])
+def test_rows_against_plain_python(spark, least_docs, block):
     data = made()
     docs = frame(spark, [(i, t, lang, source, 0) for i, (t, lang, source) in enumerate(data)])
-    out = divergence.audit(clashing(docs).withColumns({"terms": divergence.F.lit(1), "vector": divergence.F.lit(2)}), least_docs=least_docs, cells=cells, top=4)
+    out = divergence.audit(clashing(docs).withColumns({"terms": divergence.F.lit(1), "vector": divergence.F.lit(2)}), least_docs=least_docs, cells=block[0], block_terms=block[1], top=4)
     assert dict(out.dtypes) == {"lang": "string", "source": "string", "part": "string", "item": "string", "value": "bigint", "rank": "int"}
     assert sorted(map(tuple, out.collect())) == plain(data, least_docs, top=4)
 
