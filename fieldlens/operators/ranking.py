@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from fieldlens.session import stage
 
 ROWS_PER_RANGE = 100_000
+MOST_RANGES = 20_000  # of a table of any size; what lies before a range is found over one row per range
 
 
 def cut_into_ranges(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (),
@@ -26,7 +27,7 @@ def cut_into_ranges(df: DataFrame, order: Sequence[str], keys: Sequence[str] = (
     Rows with equal order columns, NULL among them, are told apart by a hash of the keys, so a value
     that many groups share is spread over ranges as well. Counting rows reads only file footers.
     """
-    ranges = max(1, -(-df.count() // rows_per_range))
+    ranges = min(MOST_RANGES, max(1, -(-df.count() // rows_per_range)))
     spread = [F.xxhash64(*keys)] if keys else []
     return stage(df.repartitionByRange(ranges, *order, *spread).withColumn("_range", F.spark_partition_id()), "ranges")
 
@@ -71,7 +72,7 @@ def positions(counts: DataFrame, keys: Sequence[str], order: Sequence[str], weig
     )
 
 
-def _places(kind: str, p: tuple[int, int], total: Column) -> tuple[Column, Column, Column]:
+def places(kind: str, p: tuple[int, int], total: Column) -> tuple[Column, Column, Column]:
     """Two 1-based places and the share of the second one, in exact integer arithmetic."""
     num, den = p
     last = F.greatest(total, F.lit(1))
@@ -98,7 +99,7 @@ def counted_statistics(counts: DataFrame, keys: Sequence[str], value: str, weigh
     placed = positions(counts, keys, [value], weight, rows_per_range, mean_of=value, staged=staged)
     picks, shares = [], {}
     for name, p in quantiles.items():
-        low, high, shares[name] = _places(kind, p, F.col("total"))
+        low, high, shares[name] = places(kind, p, F.col("total"))
         for label, place in ((f"_{name}_low", low), (f"_{name}_high", high)):
             hit = (F.col("before") < place) & (place <= F.col("through"))
             picks.append(F.max(F.when(hit, F.col(value).cast("double"))).alias(label))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from fieldlens.functions.documents import as_map, number, once, parse, top_level
 from fieldlens.functions.scalars import mask_literals, normalize_sql, ratio
 from fieldlens.operators.ranking import counted_statistics, value_counts
+from fieldlens.operators.selection import selected_quantiles
 from fieldlens.schema import SLOW_SQL_QUANTILES
 from fieldlens.session import stage
 
@@ -71,6 +72,19 @@ def quantile_report(rows: DataFrame, keys: Sequence[str] = REPORT_KEYS,
     return named.select(*keys, "doc_count", "sum_count", *quantiles)
 
 
+def selected_report(rows: DataFrame, keys: Sequence[str] = REPORT_KEYS, quantiles: Mapping[str, tuple[int, int]] = SLOW_SQL_QUANTILES) -> DataFrame:
+    """As :func:`quantile_report` by selection: counting passes instead of sorted ranges, for groups of many rows.
+
+    Only counts are shuffled. A digest stands for the statement; its text comes back at the end. A run count
+    beyond 64 bits is NULL.
+    """
+    narrow = with_average(rows).withColumn("_text", F.col("sql")).withColumn("sql", F.md5("sql"))
+    stats = selected_quantiles(narrow, keys, "avg_time", quantiles, "average", {"sum_count": F.col("count")})
+    texts = narrow.where(F.col("sql").isNotNull()).groupBy("sql").agg(F.first("_text").alias("_text"))
+    named = stats.join(texts, "sql", "left").withColumn("sql", F.col("_text"))
+    return named.select(*keys, "doc_count", F.col("sum_count").try_cast("bigint").alias("sum_count"), *quantiles)
+
+
 def approximate_report(rows: DataFrame, keys: Sequence[str] = REPORT_KEYS, accuracy: int = 10_000) -> DataFrame:
     """As :func:`quantile_report` with mergeable sketches: one shuffle of partial aggregates."""
     names = list(SLOW_SQL_QUANTILES)

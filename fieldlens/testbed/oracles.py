@@ -395,6 +395,13 @@ def average_picks() -> str:
 
 
 oracle("slowsql_quantiles", report(), SLOW)
+oracle("slowsql_quantiles_selected", report(), SLOW)
+WEEK = f"""week AS (SELECT thread, product, version AS product_version, channel AS product_channel, sql, count, {AVERAGE} AS avg_time
+  FROM statements WHERE d BETWEEN '20240105' AND '20240112')"""
+oracle("slowsql_sketch_report", """SELECT thread, product, product_version, product_channel, sql, count(*) AS doc_count, CAST(sum(count) AS BIGINT) AS sum_count,
+  count(avg_time) AS n, round(min(avg_time) + 1e-9, 6) AS q0, round(max(avg_time) + 1e-9, 6) AS q100 FROM week GROUP BY ALL HAVING count(*) > 5""", SLOW, WEEK)
+oracle("slowsql_sketch_errors", """SELECT thread, quantile, count(avg_time) AS n, false AS beyond
+  FROM week CROSS JOIN (VALUES ('q0'), ('q25'), ('q50'), ('q75'), ('q95'), ('q100')) asked(quantile) GROUP BY ALL""", SLOW, WEEK)
 # Sketches are exact for groups smaller than their accuracy: the value at the place itself.
 oracle("slowsql_quantiles_approx", report(lower_only=True), SLOW)
 oracle("slowsql_report", report("count(*) > 5"), SLOW_MASKED)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from fieldlens.functions import documents as docs
 from fieldlens.functions import predicates as pred
 from fieldlens.functions import scalars as sf
-from fieldlens.operators import hangs, histograms, ranking, slowsql, statistics, validation
+from fieldlens.operators import hangs, histograms, ranking, sketches, slowsql, statistics, validation
 from fieldlens.plans import jobs, tables
 from fieldlens.schema import CYCLE_COLLECTOR_DDL, DEFAULT_REASONS, GC_UPTIME_DDL, SLOW_SQL_DDL, SUBMISSION_STATS_DDL
 from fieldlens.session import configure, fresh_path, stage
@@ -556,6 +556,38 @@ def slowsql_quantiles_approx(spark, sf_dir):
     return slowsql.approximate_report(jobs.slow_sql_rows(submissions(spark, sf_dir)))
 
 
+@query
+def slowsql_quantiles_selected(spark, sf_dir):
+    """The same quantiles by counting passes, without a sort of the values."""
+    report = slowsql.selected_report(jobs.slow_sql_rows(submissions(spark, sf_dir)))
+    return report.select(*slowsql.REPORT_KEYS, "doc_count", "sum_count", *[_six(q).alias(q) for q in slowsql.SLOW_SQL_QUANTILES])
+
+
+def _sketched(spark, sf_dir):
+    """Statement rows of all days, and their states stored by day, one day of them written twice."""
+    rows, path = stage(jobs.slow_sql_rows(submissions(spark, sf_dir)), "statements"), fresh_path(spark, "sketches")
+    sketches.write_daily_states(rows, path)
+    sketches.write_daily_states(rows.where(F.col("d") == END), path)
+    return rows, sketches.read_daily_states(spark, path)
+
+
+@query
+def slowsql_sketch_report(spark, sf_dir):
+    """States of all days, merged over a week: counts and ends, which a sketch keeps exactly."""
+    report = sketches.merged_report(_sketched(spark, sf_dir)[1], START, END, MIN_DOCS)
+    return report.select(*sketches.RANGE_KEYS, "doc_count", F.col("sum_count").cast("bigint").alias("sum_count"), "n", _six("q0").alias("q0"), _six("q100").alias("q100"))
+
+
+@query
+def slowsql_sketch_errors(spark, sf_dir):
+    """Quantiles of whole threads over a week, merged from the daily states, against exact ranks: none beyond the bound."""
+    rows, states = _sketched(spark, sf_dir)
+    report = sketches.merged_report(states, START, END, keys=["thread"])
+    exact = slowsql.with_average(store.in_date_range(rows, START, END))
+    off = sketches.rank_errors(exact, report, ["thread"], "avg_time")
+    return off.join(report.select("thread", "n"), "thread").select("thread", "quantile", "n", (F.col("off") > sketches.rank_error()).alias("beyond"))
+
+
 @query
 def slowsql_report(spark, sf_dir):
     """Privacy correction first, as in daily use; the threshold suits the small tables."""
