@@ -217,9 +217,20 @@ def names(df: DataFrame, carry: Sequence[str]) -> DataFrame:
 
 # Totals
 
+def _exact_sum(value: Column) -> Column:
+    """Sum of 64-bit numbers as a decimal, so that only the total must fit where it is cast."""
+    return F.sum(value.cast("decimal(19,0)"))
+
+
 def name_totals(rows: DataFrame, keys: Sequence[str] = DIMS_NAME) -> DataFrame:
-    """Summed sums and document counts per name; a sum beyond 64 bits gives NULL, not a failed job."""
-    return rows.groupBy(*keys).agg(F.try_sum("sum").alias("sum_sum"), F.count("*").alias("doc_count"))
+    """Summed sums and document counts per name; a total beyond 64 bits is NULL, see :func:`unfit_totals`."""
+    return rows.groupBy(*keys).agg(_exact_sum(F.col("sum")).try_cast("bigint").alias("sum_sum"), F.count("*").alias("doc_count"))
+
+
+def unfit_totals(rows: DataFrame, keys: Sequence[str] = DIMS_NAME) -> DataFrame:
+    """The names whose summed sum does not fit 64 bits, with the exact total."""
+    summed = rows.groupBy(*keys).agg(_exact_sum(F.col("sum")).alias("sum_sum"), F.count("*").alias("doc_count"))
+    return summed.where(F.col("sum_sum").isNotNull() & F.col("sum_sum").try_cast("bigint").isNull())
 
 
 def value_totals(rows: DataFrame, keys: Sequence[str] = DIMS_VALUE) -> DataFrame:
@@ -244,9 +255,11 @@ def join_name_value(names_df: DataFrame, values_df: DataFrame,
     return values_df.join(right, list(keys), "inner")
 
 
-def combined_totals(rows: DataFrame) -> DataFrame:
+def combined_totals(rows: DataFrame, exact: bool = False) -> DataFrame:
     """Totals per name and bucket from one pass over :func:`entries`; rows without a bucket hold those of the name.
 
+    With ``exact`` the sum of a name stays a decimal, which 64 bits do not bound.
+
     Each entry contributes its buckets plus one marker row without a bucket that carries the sum of the
     histogram, so one aggregation gives both kinds of totals without parsing the documents twice.
     """
@@ -257,13 +270,14 @@ def combined_totals(rows: DataFrame) -> DataFrame:
         F.inline(F.concat(no_bucket, "buckets")),
     )
     marker = F.col("v").isNull()
+    name_sum = _exact_sum(F.when(marker, F.col("sum")))
     return points.groupBy(*DIMS_VALUE).agg(
         F.max("bucket_count").alias("bucket_count"),
         F.min("min_range").cast("bigint").alias("min_range"),
         F.max("max_range").cast("bigint").alias("max_range"),
         F.max("hist_type").alias("hist_type"),
         F.sum("count").alias("sum_count"),
-        F.try_sum(F.when(marker, F.col("sum"))).alias("hist_name_sum"),
+        (name_sum if exact else name_sum.try_cast("bigint")).alias("hist_name_sum"),
         F.count(F.when(marker, 1)).alias("hist_name_doc_count"),
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from fieldlens.functions.documents import as_map, bind, info, is_object, once, parse, top_level
@@ -142,6 +142,35 @@ def check_rows(df: DataFrame, spec: DataFrame) -> DataFrame:
     return rows.select("k", columns[0], "spec_key", *columns[1:])
 
 
+#: Counters of a validation run, in report order, beside the number of documents.
+DOCUMENT_COUNTERS = ["meta_data_invalid", "invalid_json_structure", "submissions_evaluated"]
+HISTOGRAM_COUNTERS = {
+    "known_histograms": "known", "unknown_histograms": "unknown", "invalid_histogram_type": "bad_type", "invalid_histogram_min": "bad_min",
+    "invalid_histogram_max": "bad_max", "invalid_histogram_bucket_count": "bad_bucket_count", "no_histogram_bucket_values": "no_buckets",
+    "invalid_histogram_bucket_value": "bad_bucket", "valid_histogram": "valid", "invalid_histogram": "invalid",
+}
+
+
+def _document_counts(json: str) -> Column:
+    """What one document adds to each counter; ``_all`` has its outcomes."""
+    evaluated = info("appVersion").isNotNull()
+
+    def found(name: str) -> Column:
+        def holds(entry: Column) -> Column:
+            known, checks = entry["outcome"]["known"], entry["outcome"]["checks"]
+            judged = {"known": known, "unknown": ~known, "valid": known & passed(checks), "invalid": known & ~passed(checks)}
+            return judged[name] if name in judged else checks[name]
+
+        return F.size(F.filter("_all", holds)).cast("bigint")
+
+    one = lambda condition: F.when(condition, 1).otherwise(0).cast("bigint")
+    counted = {
+        "meta_data_invalid": one(F.col(json).isNull()), "invalid_json_structure": one(F.col(json).isNotNull() & F.col("_top").isNull()),
+        "submissions_evaluated": one(evaluated), **{name: F.when(evaluated & F.col("_all").isNotNull(), found(t)).otherwise(0) for name, t in HISTOGRAM_COUNTERS.items()},
+    }
+    return F.struct(*[value.alias(name) for name, value in counted.items()])
+
+
 def report(df: DataFrame, spec: DataFrame, json: str = "json") -> DataFrame:
     """Counters of a validation run in one row; documents are read once.
 
@@ -174,20 +203,26 @@ def report(df: DataFrame, spec: DataFrame, json: str = "json") -> DataFrame:
     )
 
 
-def with_validated(df: DataFrame, spec: DataFrame, out: str = "new_json") -> DataFrame:
+def with_validated(df: DataFrame, spec: DataFrame, out: str = "new_json", counts: str | None = None) -> DataFrame:
     """Add ``is_valid`` and the document with the verdicts written into it.
 
     Known histograms get ``valid``; ``info.validForSchema`` says whether all of them passed. A
     document without application version or histograms is not valid; text that is not a JSON object
-    gives NULL. A missing ``info`` object is created.
+    gives NULL. A missing ``info`` object is created. ``counts`` names a column for what each document adds to
+    the counters of the run.
     """
     parsed = _with_spec(parse(df, "info", "histograms"), spec)
 
     def verdict(name, value):
         return bind(_outcome(name, value), lambda o: F.when(o["known"], passed(o["checks"])))
 
-    verdicts = F.transform_values("histograms", verdict).alias("_verdicts")
-    ready = once(parsed, *df.columns, "info", "histograms", verdicts, top_level().alias("_top"))
+    if counts:  # the outcomes are kept whole, and the verdicts taken from them
+        judged = once(parsed, *df.columns, "info", "histograms", _outcomes().alias("_all"), top_level().alias("_top"))
+        verdicts = F.map_from_entries(F.transform("_all", lambda e: F.struct(e["hist_name"], F.when(e["outcome"]["known"], passed(e["outcome"]["checks"])))))
+        ready = once(judged, *df.columns, "info", "histograms", verdicts.alias("_verdicts"), "_top", _document_counts("json").alias(counts))
+    else:
+        verdicts = F.transform_values("histograms", verdict).alias("_verdicts")
+        ready = once(parsed, *df.columns, "info", "histograms", verdicts, top_level().alias("_top"))
     histograms = F.col("histograms")
     text_true, text_false = F.lit("true").cast("variant"), F.lit("false").cast("variant")
 
@@ -219,11 +254,24 @@ def with_validated(df: DataFrame, spec: DataFrame, out: str = "new_json") -> Dat
     )
     has_top = F.col("_top").isNotNull()
     return once(
-        ready, *df.columns, F.when(has_top, valid).alias("is_valid"),
+        ready, *df.columns, *([counts] if counts else []), F.when(has_top, valid).alias("is_valid"),
         F.when(has_top, F.to_json(new_top)).alias(out),
     )
 
 
+def observed(df: DataFrame, spec: DataFrame, out: str = "new_json") -> tuple[DataFrame, Observation]:
+    """As :func:`with_validated`, with the counters of :func:`report` gathered while the rows are written.
+
+    The counters are there once one action over the rows has ended. Write them without a shuffle in between: a
+    task of the writing stage counts once, also when it ran again or twice, a task before a shuffle may not.
+    """
+    seen, own = Observation(), "_counts"
+    judged = with_validated(df, spec, out, own)
+    names = [*DOCUMENT_COUNTERS, *HISTOGRAM_COUNTERS]
+    sums = [F.coalesce(F.sum(F.col(own)[name]), F.lit(0).cast("bigint")).alias(name) for name in names]
+    return judged.observe(seen, F.count(F.lit(1)).alias("documents"), *sums).drop(own), seen
+
+
 def validate(df: DataFrame, spec: DataFrame) -> DataFrame:
     """Key, verdict and new JSON of every submission that is a JSON object."""
     judged = with_validated(df, spec).where(F.col("new_json").isNotNull())

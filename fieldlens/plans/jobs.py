@@ -19,7 +19,7 @@ from fieldlens.operators import hangs, histograms, slowsql, statistics, validati
 from fieldlens.operators.ranking import distribution, group_statistics, row_numbers
 from fieldlens.schema import DEFAULT_REASONS, MISSING
 from fieldlens.session import stage
-from fieldlens.sources.submissions import in_date_range
+from fieldlens.sources.submissions import in_date_range, write_store
 
 MEDIAN = {"median": (1, 2)}
 FLASH_KEYS = ["product", "product_version", "product_channel", "os", "os_version", "flash_version"]
@@ -72,6 +72,19 @@ def validate_submissions(submissions: DataFrame, spec: DataFrame) -> DataFrame:
     return judged.select("k", "d", F.coalesce("new_json", "json").alias("json"))
 
 
+def validate_store(submissions: DataFrame, spec: DataFrame, path: str) -> DataFrame:
+    """Write all submissions, validated, into the store at ``path`` and return the counters of the run, one row.
+
+    Documents are read once, and every task writes what it read, without a shuffle: submissions that come from a
+    store lie together by day already.
+    """
+    judged, seen = validation.observed(submissions, spec)
+    write_store(judged.select("k", "d", F.coalesce("new_json", "json").alias("json")), path, rebalance=False)
+    found = seen.get
+    names = ["documents", *validation.DOCUMENT_COUNTERS, *validation.HISTOGRAM_COUNTERS]
+    return submissions.sparkSession.createDataFrame([tuple(found[n] for n in names)], ", ".join(f"{n} bigint" for n in names))
+
+
 def scrub_submissions(submissions: DataFrame, compat: bool = False) -> DataFrame:
     """All submissions with private literals masked in recorded SQL, without a join as above."""
     rewritten = slowsql.with_scrubbed(submissions, compat)

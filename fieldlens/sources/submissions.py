@@ -15,14 +15,15 @@ from fieldlens.session import stage
 
 # Submission store: Parquet, one directory per day
 
-def write_store(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def write_store(df: DataFrame, path: str, mode: str = "overwrite", rebalance: bool = True) -> None:
     """Store submissions by day. Only the days present in ``df`` are replaced, so a day can be re-run.
 
-    Rows are rebalanced by day: small days share a task and a large day is split over many.
+    Rows are rebalanced by day: small days share a task and a large day is split over many. Without that each
+    task writes its own rows, for rows that lie together by day.
     """
     out = df.select("k", "json", F.coalesce("d", day_from_key(F.col("k"))).alias("d"))
     (
-        out.hint("rebalance", "d")
+        (out.hint("rebalance", "d") if rebalance else out)
         .write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("d").parquet(path)
     )
 

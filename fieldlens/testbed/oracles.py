@@ -366,6 +366,15 @@ SUMMARY = f"""SELECT substr(d, 1, 6) AS month, d AS date, reason, product AS "ap
   FROM joined JOIN (SELECT {DIM_NAMES}, is_valid, string_agg(DISTINCT hist_name, ',' ORDER BY hist_name) AS names FROM joined GROUP BY ALL) g
     USING ({DIM_NAMES}, is_valid) GROUP BY {NAME_KEYS}, names"""
 oracle("aggregate_json_docs", SUMMARY, KEPT, ENTRIES, POINTS, NAME_TOTALS, VALUE_TOTALS, JOINED)
+MONTH_KEYS = NAME_KEYS.replace("d, reason", "month, reason", 1)
+oracle("kept_month_totals", f"""SELECT v.*, n.sum_sum AS hist_name_sum, n.doc_count AS hist_name_doc_count
+  FROM (SELECT substr(d, 1, 6) AS month, * EXCLUDE (d, bucket_count, min_range, max_range, hist_type, sum_count), max(bucket_count) AS bucket_count,
+          min(min_range) AS min_range, max(max_range) AS max_range, max(hist_type) AS hist_type, sum(sum_count) AS sum_count FROM value_totals GROUP BY ALL) v
+  JOIN (SELECT substr(d, 1, 6) AS month, * EXCLUDE (d, sum_sum, doc_count), CAST(sum(sum_sum) AS BIGINT) AS sum_sum, CAST(sum(doc_count) AS BIGINT) AS doc_count
+        FROM name_totals GROUP BY ALL) n USING ({MONTH_KEYS})""", KEPT, ENTRIES, POINTS, NAME_TOTALS, VALUE_TOTALS)
+oracle("unfit_totals", """SELECT hist_name, CAST(sum_sum AS VARCHAR) AS sum_sum, doc_count FROM (
+  SELECT hist_name, sum(CAST(sum AS HUGEINT) * 1099511627776) AS sum_sum, count(*) AS doc_count FROM entries GROUP BY hist_name)
+  WHERE sum_sum > 9223372036854775807 OR sum_sum < -9223372036854775808""", KEPT, ENTRIES)
 
 # Slow SQL: place of a quantile in exact integer arithmetic, by numbered rows
 QUANTILES = {"q0": (0, 1), "q25": (1, 4), "q50": (1, 2), "q75": (3, 4), "q95": (19, 20), "q100": (1, 1)}
@@ -438,7 +447,8 @@ oracle("validate_docs", """SELECT k, CASE WHEN all_valid THEN 'true' ELSE 'false
   FROM subs LEFT JOIN per_doc p USING (k) WHERE ok""", CHECKED, PER_DOC)
 oracle("count_valid_invalid", """SELECT count(*) AS all_docs, count(*) FILTER (WHERE ok AND all_valid) AS valid_docs,
   count(*) FILTER (WHERE ok AND all_valid IS DISTINCT FROM true) AS invalid_docs FROM subs LEFT JOIN per_doc USING (k)""", CHECKED, PER_DOC)
-oracle("validation_report", """SELECT (SELECT count(*) FROM subs) AS documents, (SELECT count(*) FROM subs WHERE null_json) AS meta_data_invalid,
+for _name in ("validation_report", "validation_write_back"):
+    oracle(_name, """SELECT (SELECT count(*) FROM subs) AS documents, (SELECT count(*) FROM subs WHERE null_json) AS meta_data_invalid,
   (SELECT count(*) FROM subs WHERE bad_json) AS invalid_json_structure, (SELECT count(*) FROM subs WHERE version IS NOT NULL) AS submissions_evaluated,
   count(*) FILTER (WHERE known) AS known_histograms, count(*) FILTER (WHERE NOT known) AS unknown_histograms,
   count(*) FILTER (WHERE bad_type) AS invalid_histogram_type, count(*) FILTER (WHERE bad_min) AS invalid_histogram_min,

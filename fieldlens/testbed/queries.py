@@ -11,7 +11,7 @@ from fieldlens.functions import documents as docs
 from fieldlens.functions import predicates as pred
 from fieldlens.functions import scalars as sf
 from fieldlens.operators import hangs, histograms, ranking, sketches, slowsql, statistics, validation
-from fieldlens.plans import jobs, tables
+from fieldlens.plans import jobs, kept, tables
 from fieldlens.schema import CYCLE_COLLECTOR_DDL, DEFAULT_REASONS, GC_UPTIME_DDL, SLOW_SQL_DDL, SUBMISSION_STATS_DDL
 from fieldlens.session import configure, fresh_path, stage
 from fieldlens.sources import catalog
@@ -543,6 +543,24 @@ def stored_daily_aggregates(spark, sf_dir):
     return tables.daily_aggregates(tables.read_table(spark, path, "hist"), ALL_PRODUCTS, DEFAULT_REASONS)
 
 
+@query
+def kept_month_totals(spark, sf_dir):
+    """States of all days, one of them first made from half of its submissions and then run again; months by their view."""
+    rows, path = submissions(spark, sf_dir), fresh_path(spark, "states")
+    kept.update(rows.where((F.col("d") != END) | (F.length("json") % 2 == 0)), ALL_PRODUCTS, path)
+    kept.update(store.in_date_range(rows, END, END), ALL_PRODUCTS, path)
+    kept.create_view(spark, path, "kept_months")
+    return spark.table("kept_months")
+
+
+@query
+def unfit_totals(spark, sf_dir):
+    """Names whose sums, made large, do not fit 64 bits, with the exact total."""
+    rows = jobs.histogram_rows(submissions(spark, sf_dir), ALL_PRODUCTS).withColumn("sum", F.col("sum") * (1 << 40))
+    found = histograms.unfit_totals(rows, ["hist_name"])
+    return found.select("hist_name", F.col("sum_sum").cast("string").alias("sum_sum"), "doc_count")
+
+
 # Slow SQL
 
 @query
@@ -640,6 +658,14 @@ def validation_report(spark, sf_dir):
     return validation.report(submissions(spark, sf_dir), data.specification(spark))
 
 
+@query
+def validation_write_back(spark, sf_dir):
+    """Submissions of a store validated into another one; the counters come from the same pass."""
+    source, target = fresh_path(spark, "store"), fresh_path(spark, "validated")
+    store.write_store(submissions(spark, sf_dir), source)
+    return jobs.validate_store(store.read_store(spark, source), data.specification(spark), target)
+
+
 # Counts by configuration
 
 @query

@@ -120,3 +120,30 @@ def test_specs_from_files(spark, spec, tmp_path):
     found = read_specs(spark, {"default": str(path), "16": str(path)})
     wanted = spec.where("version_key in ('default', '16')")
     assert sorted(map(str, found.collect())) == sorted(map(str, wanted.collect()))
+
+
+def test_counters_come_from_the_pass_that_writes(spark, spec, tmp_path):
+    from fieldlens.sources.submissions import read_store, write_store
+
+    source, target = str(tmp_path / "source"), str(tmp_path / "target")
+    odd = frame(spark, doc(A=GOOD, B=GOOD), doc(A={**GOOD, "bucket_count": 9}), doc(), {"info": {}}, None, "{", "7", doc("9", A=GOOD), {"info": {"appVersion": "16.0"}})
+    write_store(odd.withColumns({"d": F.concat(F.lit("2024010"), F.col("k").substr(2, 1)), "k": F.col("k")}), source)
+    rows = read_store(spark, source)
+    counted = jobs.validate_store(rows, spec, target)
+    assert counted.collect() == validation.report(rows, spec).collect() and counted.columns == validation.report(rows, spec).columns
+    written = sorted((r.k, r.json) for r in read_store(spark, target).collect())
+    assert written == sorted((r.k, r.json) for r in jobs.validate_submissions(rows, spec).collect()) and len(written) == 9
+    nothing = jobs.validate_store(rows.where("k = 'none'"), spec, str(tmp_path / "none"))
+    assert set(nothing.first()) == {0}
+
+
+def test_the_pass_that_counts_reads_once_and_does_not_shuffle(spark, spec, tmp_path):
+    from fieldlens.sources.submissions import read_store, write_store
+
+    source = str(tmp_path / "source")
+    write_store(frame(spark, doc(A=GOOD)).withColumn("d", F.lit("20240101")), source)
+    judged, _ = validation.observed(read_store(spark, source), spec)
+    text = judged._jdf.queryExecution().executedPlan().toString()
+    documents = text.split("Subquery")[0]
+    assert "CollectMetrics" in text and documents.count("json#") > 0 and text.count("FileScan parquet [k") == 1
+    assert "Exchange hashpartitioning" not in documents and text.count("from_json") <= 2  # typed parts, and all members
