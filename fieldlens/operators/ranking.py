@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, FractionalType, IntegralType
 
 from fieldlens.session import stage
 
@@ -39,6 +40,18 @@ def _grouped(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
     return df.withColumn("_group", F.struct(*keys)), ["_group"]
 
 
+def without_nan(df: DataFrame, *values: str) -> DataFrame:
+    """``df`` with NaN in the given columns as missing, which it is for all statistics here."""
+    inexact = [v for v in values if isinstance(df.schema[v].dataType, FractionalType) and not isinstance(df.schema[v].dataType, DecimalType)]
+    return df.withColumns({v: F.when(~F.isnan(v), F.col(v)) for v in inexact}) if inexact else df
+
+
+def exact_sum(df: DataFrame, expression: Column) -> Column:
+    """Sum of an expression over rows of ``df``: whole numbers as decimals of 38 digits, others as they are."""
+    kind = df.select(expression.alias("_kind")).schema[0].dataType
+    return F.sum(expression.cast("decimal(28,0)")) if isinstance(kind, (IntegralType, DecimalType)) else F.try_sum(expression)
+
+
 def positions(counts: DataFrame, keys: Sequence[str], order: Sequence[str], weight: str = "n",
               rows_per_range: int = ROWS_PER_RANGE, mean_of: str | None = None,
               staged: bool = False) -> DataFrame:
@@ -94,7 +107,7 @@ def counted_statistics(counts: DataFrame, keys: Sequence[str], value: str, weigh
     """Weight ``n``, mean, standard deviation and exact quantiles per group of a counted column.
 
     ``counts`` is distinct by keys and value; ``sums`` names further columns to add up per group.
-    Probabilities are fractions ``(numerator, denominator)``.
+    Probabilities are fractions ``(numerator, denominator)``. A sum of whole numbers beyond 64 bits is NULL.
     """
     placed = positions(counts, keys, [value], weight, rows_per_range, mean_of=value, staged=staged)
     picks, shares = [], {}
@@ -104,10 +117,15 @@ def counted_statistics(counts: DataFrame, keys: Sequence[str], value: str, weigh
             hit = (F.col("before") < place) & (place <= F.col("through"))
             picks.append(F.max(F.when(hit, F.col(value).cast("double"))).alias(label))
     off = F.col(value).cast("double") - F.col("mean")
+
+    def whole(name):
+        total = exact_sum(placed, F.col(name))
+        return F.try_sum(name) if isinstance(placed.schema[name].dataType, FractionalType) and not isinstance(placed.schema[name].dataType, DecimalType) else total.try_cast("bigint")
+
     out = placed.groupBy(*keys).agg(
         F.sum(weight).alias("n"), F.max("mean").alias("mean"), F.max("total").alias("total"),
         F.sum(F.col(weight) * off * off).alias("_squares"),
-        *[F.try_sum(name).alias(name) for name in sums], *picks,
+        *[whole(name).alias(name) for name in sums], *picks,
     )
 
     def quantile(name):
@@ -119,10 +137,14 @@ def counted_statistics(counts: DataFrame, keys: Sequence[str], value: str, weigh
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str, carry: Mapping[str, Column] | None = None) -> DataFrame:
-    """Rows per group and distinct value: ``doc_count`` of all, ``n`` of those with a value, and the sums of ``carry``."""
+    """Rows per group and distinct value: ``doc_count`` of all, ``n`` of those with a value, and the sums of ``carry``.
+
+    NaN is no value. Sums of whole numbers are decimals, so that none is lost before the last total.
+    """
+    df = without_nan(df, value)
     counts = df.groupBy(*keys, value).agg(
         F.count("*").alias("doc_count"),
-        *[F.try_sum(expression).alias(name) for name, expression in (carry or {}).items()],
+        *[exact_sum(df, expression).alias(name) for name, expression in (carry or {}).items()],
     )
     return counts.withColumn("n", F.when(F.col(value).isNull(), 0).otherwise(F.col("doc_count")))
 
@@ -141,7 +163,7 @@ def group_statistics(df: DataFrame, keys: Sequence[str], value: str,
 
 def distribution(df: DataFrame, value: str, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
     """Empirical distribution function: the share of rows at or below each distinct value."""
-    counts = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
+    counts = without_nan(df, value).where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
     return positions(counts, [], [value], rows_per_range=rows_per_range).select(
         value, "n", (F.col("through") / F.col("total")).alias("ecdf")
     )

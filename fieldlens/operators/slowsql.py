@@ -7,9 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.functions.documents import as_map, number, once, parse, top_level
+from fieldlens.functions.documents import as_map, bind, number, once, parse, top_level
 from fieldlens.functions.scalars import mask_literals, normalize_sql, ratio
-from fieldlens.operators.ranking import counted_statistics, value_counts
+from fieldlens.operators.ranking import counted_statistics, exact_sum, value_counts
 from fieldlens.operators.selection import selected_quantiles
 from fieldlens.schema import SLOW_SQL_QUANTILES
 from fieldlens.session import stage
@@ -24,18 +24,46 @@ def _numbers(value: Column) -> Column:
     return F.filter(F.transform(array, lambda x: number(x, "bigint")), lambda x: x.isNotNull())
 
 
-def statements(df: DataFrame, carry: Sequence[str | Column], threads: Sequence[str] = THREADS) -> DataFrame:
-    """One row per recorded statement with normalized text, run count and total time."""
+def _added(numbers: Column) -> Column:
+    """Sum of an array's numbers as a decimal, which 64 bits do not bound; NULL counts as 0."""
+    zero = F.lit(0).cast("decimal(38,0)")
+    return F.aggregate(numbers, zero, lambda a, b: (a + F.coalesce(b.cast("decimal(19,0)"), F.lit(0))).cast("decimal(38,0)"))
+
+
+def _scrubbed_entries(compat: bool) -> Column:
+    """Masked texts of the other threads' statements with their numbers; those that become equal are added up."""
+    masked = F.transform(
+        F.map_entries(F.col("slowSQL")["otherThreads"]),
+        lambda e: F.struct(mask_literals(e["key"], compat).alias("key"), _numbers(e["value"]).alias("pair")),
+    )
+
+    def merged(entries):
+        def of_text(text):
+            group = F.filter(entries, lambda e: e["key"] == text)
+            pair = F.when(F.size(group) == 1, F.get(group, F.lit(0))["pair"]).otherwise(
+                F.array(*[_added(F.transform(group, lambda e: F.get(e["pair"], F.lit(place)))).try_cast("bigint") for place in (0, 1)]))
+            return F.struct(text.alias("key"), pair.alias("pair"))
+
+        texts = F.array_distinct(F.transform(entries, lambda e: e["key"]))
+        return F.when(F.size(texts) == F.size(entries), entries).otherwise(F.transform(texts, of_text))
+
+    return bind(masked, merged)
+
+
+def statements(df: DataFrame, carry: Sequence[str | Column], threads: Sequence[str] = THREADS, scrub: bool = False, compat: bool = False) -> DataFrame:
+    """One row per recorded statement with normalized text, run count and total time.
+
+    With ``scrub`` the other threads' statements are masked first, as :func:`with_scrubbed` would, without the
+    document being written and read again.
+    """
     empty = F.array().cast("array<struct<thread:string,sql:string,pair:array<bigint>>>")
 
     def of_thread(thread):
-        rows = F.transform(
-            F.map_entries(F.col("slowSQL")[thread]),
-            lambda e: F.struct(
-                F.lit(thread).alias("thread"), normalize_sql(e["key"]).alias("sql"),
-                _numbers(e["value"]).alias("pair"),
-            ),
-        )
+        if scrub and thread == "otherThreads":
+            entries = _scrubbed_entries(compat)
+        else:
+            entries = F.transform(F.map_entries(F.col("slowSQL")[thread]), lambda e: F.struct(e["key"].alias("key"), _numbers(e["value"]).alias("pair")))
+        rows = F.transform(entries, lambda e: F.struct(F.lit(thread).alias("thread"), normalize_sql(e["key"]).alias("sql"), e["pair"].alias("pair")))
         return F.coalesce(rows, empty)
 
     found = F.filter(F.concat(*[of_thread(t) for t in threads]), lambda e: e["pair"].isNotNull())
@@ -90,7 +118,7 @@ def approximate_report(rows: DataFrame, keys: Sequence[str] = REPORT_KEYS, accur
     names = list(SLOW_SQL_QUANTILES)
     shares = [num / den for num, den in SLOW_SQL_QUANTILES.values()]
     grouped = with_average(rows).groupBy(*keys).agg(
-        F.count("*").alias("doc_count"), F.try_sum("count").alias("sum_count"),
+        F.count("*").alias("doc_count"), exact_sum(rows, F.col("count")).try_cast("bigint").alias("sum_count"),
         F.percentile_approx("avg_time", shares, accuracy).alias("_q"),
     )
     return grouped.select(
@@ -102,7 +130,7 @@ def with_scrubbed(df: DataFrame, compat: bool = False, json: str = "json", out:
     """Add the document with masked literals in the statements of other threads, NULL when unchanged.
 
     Works inside each document, so nothing is shuffled. Statements that become equal are merged by
-    adding up counts and times, at most to the largest 64-bit number.
+    adding up counts and times, exactly: a sum may have more than 64 bits.
     """
     def masked(text):
         return mask_literals(text, compat)
@@ -118,8 +146,7 @@ def with_scrubbed(df: DataFrame, compat: bool = False, json: str = "json", out:
     texts = F.array_distinct(F.transform("_pairs", lambda p: p["key"]))
 
     def total(group, place):
-        parts = F.transform(group, lambda p: F.coalesce(F.get(_numbers(p["value"]), F.lit(place)), F.lit(0)))
-        return F.aggregate(parts, F.lit(0).cast("bigint"), lambda a, b: F.coalesce(F.try_add(a, b), F.lit(2**63 - 1)))
+        return _added(F.transform(group, lambda p: F.get(_numbers(p["value"]), F.lit(place))))
 
     def merged(text):
         group = F.filter("_pairs", lambda p: p["key"] == text)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldlens.functions.scalars import ratio, right_closed_bin
-from fieldlens.operators.ranking import average_ranks, counted_statistics, group_statistics
+from fieldlens.operators.ranking import average_ranks, counted_statistics, group_statistics, without_nan
 from fieldlens.session import stage
 
 QUARTILES = {"q1": (1, 4), "median": (1, 2), "q3": (3, 4)}
@@ -25,7 +25,7 @@ def spearman(df: DataFrame, x: str, y: str, **options) -> DataFrame:
     Rows shrink to distinct pairs with a count, ranks are found on distinct values, and the mean
     rank is known from the total, so the last step is one aggregate.
     """
-    pairs = df.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(x, y).agg(F.count("*").alias("n"))
+    pairs = without_nan(df, x, y).where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(x, y).agg(F.count("*").alias("n"))
     pairs = stage(pairs, "pairs")
 
     def ranked(column, name):
@@ -43,7 +43,8 @@ def spearman(df: DataFrame, x: str, y: str, **options) -> DataFrame:
 
 
 def six_numbers(df: DataFrame, keys: Sequence[str], value: str, **options) -> DataFrame:
-    """Minimum, quartiles, mean, maximum, and the number of missing values."""
+    """Minimum, quartiles, mean, maximum, and the number of missing values, NaN among them."""
+    df = without_nan(df, value)
     stats = group_statistics(
         df, keys, value, {"min": (0, 1), **QUARTILES, "max": (1, 1)},
         carry={"missing": F.when(F.col(value).isNull(), 1).otherwise(0)}, **options,
@@ -59,7 +60,7 @@ def bins(df: DataFrame, keys: Sequence[str], value: str, low: float, high: float
     upper = F.when(x <= low, F.lit(float(low))).when(x > high, F.lit(float("inf"))).otherwise(
         right_closed_bin(x.cast("double"), float(low), float(step))
     )
-    counted = df.where(x.isNotNull()).groupBy(*keys, upper.alias("_upper")).agg(
+    counted = without_nan(df, value).where(x.isNotNull()).groupBy(*keys, upper.alias("_upper")).agg(
         F.count("*").alias("n"), F.min(value).alias("_least"), F.max(value).alias("_most")
     )
     whole = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
@@ -104,10 +105,11 @@ def kernel_density(df: DataFrame, value: str, points: int = 512, cut: float = 3.
     Bandwidth by the usual rule of thumb (0.9 times the lesser of standard deviation and
     interquartile range / 1.34, times n to the power -1/5). Values are first spread linearly over
     the cells of a fixed grid, so the data is read once for the limits and once for the weights;
-    the smoothing then works on that one fixed-size row, whatever the size of the data.
+    the smoothing then works on that one fixed-size row, whatever the size of the data. Without values
+    there is no curve and no row.
     """
     counts = stage(
-        df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_count")), "values"
+        without_nan(df, value).where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("_count")), "values"
     )
     spread = counted_statistics(
         counts, [], value, "_count", {"min": (0, 1), **QUARTILES, "max": (1, 1)}, staged=True, **options
@@ -135,7 +137,7 @@ def kernel_density(df: DataFrame, value: str, points: int = 512, cut: float = 3.
         )))
         .groupBy("cell").agg(F.sum("w").alias("w"))
     )
-    row = weights.agg(F.collect_list(F.struct("cell", "w")).alias("cells")).withColumn("g", packed)
+    row = weights.agg(F.collect_list(F.struct("cell", "w")).alias("cells")).where(F.size("cells") > 0).withColumn("g", packed)
     g = F.col("g")
 
     def smoothed(i):

@@ -101,17 +101,21 @@ def count_valid_invalid(submissions: DataFrame) -> DataFrame:
 
 # Slow SQL
 
-def slow_sql_rows(submissions: DataFrame, threads: Sequence[str] = slowsql.THREADS) -> DataFrame:
+def slow_sql_rows(submissions: DataFrame, threads: Sequence[str] = slowsql.THREADS, scrub: bool = False) -> DataFrame:
+    """Statement rows with the report's dimensions; ``scrub`` masks private literals on the way."""
     carry = [
         sf.day_from_key(F.col("k")).alias("d"), info("appName").alias("product"),
         info("appVersion").alias("product_version"), info("appUpdateChannel").alias("product_channel"),
     ]
-    return slowsql.statements(parse(submissions, "info", "slowSQL", keep=["k"]), carry, threads)
+    return slowsql.statements(parse(submissions, "info", "slowSQL", keep=["k"]), carry, threads, scrub)
 
 
-def slow_sql_report(submissions: DataFrame, min_docs: int = 100, **options) -> DataFrame:
-    """Both threads in one pass; statements recorded more than ``min_docs`` times, most frequent first."""
-    report = slowsql.quantile_report(slow_sql_rows(submissions), min_docs=min_docs, **options)
+def slow_sql_report(submissions: DataFrame, min_docs: int = 100, scrub: bool = False, **options) -> DataFrame:
+    """Both threads in one pass; statements recorded more than ``min_docs`` times, most frequent first.
+
+    With ``scrub`` private literals are masked first, for submissions that were not scrubbed when they were stored.
+    """
+    report = slowsql.quantile_report(slow_sql_rows(submissions, scrub=scrub), min_docs=min_docs, **options)
     return report.orderBy(
         "thread", F.desc("doc_count"), F.desc("sum_count"), *slowsql.REPORT_KEYS[1:]
     )
@@ -185,7 +189,12 @@ def adhoc_query(submissions: DataFrame, start: str, end: str, terms: Sequence[tu
     rows = in_date_range(submissions, start, end)
     if sample is not None:
         rows = rows.where(sf.in_sample(F.col("k"), sample))
-    rows = where_all(parse_whole(rows), terms)
+    return query_parsed(parse_whole(rows), terms, fields)
+
+
+def query_parsed(documents: DataFrame, terms: Sequence[tuple] = (), fields: Sequence[str] = ()) -> DataFrame:
+    """Predicates and projected fields of documents that are parsed, or stored, as ``doc``."""
+    rows = where_all(documents, terms)
     return select_fields(rows, fields) if fields else rows.select("k", "json")
 
 

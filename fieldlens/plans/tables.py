@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from fieldlens.functions import scalars as sf
-from fieldlens.functions.documents import PRESENCE, dimension_columns, info, is_complete, parse
+from fieldlens.functions.documents import PRESENCE, dimension_columns, info, is_complete, parse, parse_whole
 from fieldlens.operators import histograms, slowsql
 from fieldlens.schema import DIMENSIONS, INFO_FIELDS
 
@@ -52,6 +52,27 @@ def write_tables(submissions: DataFrame, path: str) -> None:
         )
 
 
+def write_variants(submissions: DataFrame, path: str) -> None:
+    """Store documents parsed, as VARIANT, by day; a day written again replaces only itself.
+
+    Spark shreds them: members that most documents of a file have become columns of their own, so that a query of
+    ``info.OS`` reads that column and not the documents. Other members stay reachable. Text that is not JSON is NULL.
+    """
+    parsed = parse_whole(submissions.select("k", "json", F.coalesce("d", sf.day_from_key(F.col("k"))).alias("d")))
+    (
+        parsed.select("k", "doc", "d").hint("rebalance", "d")
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("d").parquet(path)
+    )
+
+
+def read_variants(spark: SparkSession, path: str) -> DataFrame:
+    """Stored documents, for :func:`jobs.query_parsed` and the accessors of :mod:`documents`.
+
+    The paths that a query asks for are read by the scan; nothing stands between, as :func:`once` would.
+    """
+    return spark.read.schema("k string, doc variant, d string").parquet(path)
+
+
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     """Read a table with the day as text; left to inference it would be a number and need a cast."""
     where = f"{path}/{name}"

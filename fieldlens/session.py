@@ -17,6 +17,8 @@ def configure(spark: SparkSession) -> SparkSession:
     document being treated as unparsable.
     """
     spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    for name in ("writeShredding.enabled", "inferShreddingSchema", "allowReadingShredded", "pushVariantIntoScan"):
+        spark.conf.set(f"spark.sql.variant.{name}", "true")
     spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")

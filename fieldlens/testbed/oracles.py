@@ -242,6 +242,19 @@ oracle("completeness_audit", """SELECT strftime(day, '%Y%m%d') AS d, dataset, CA
   LEFT JOIN (SELECT u % 5 AS i, d, count(*) FILTER (WHERE kind <> 'click') AS n FROM facts
              WHERE CAST(substr(d, 7, 2) AS INTEGER) % 7 <> u % 5 GROUP BY 1, 2) f ON f.i = s.i AND f.d = strftime(day, '%Y%m%d')
   WHERE n IS NULL OR n = 0""")
+ORACLES["storage_audit"] = ORACLES["completeness_audit"]
+plain("retention_on_storage", """SELECT 'agg=valid_' || strftime(month, '%Y%m') AS name, CAST(date_diff('day', CAST(month AS DATE), DATE '1997-01-15') AS INTEGER) AS age_days,
+  date_diff('day', CAST(month AS DATE), DATE '1997-01-15') > 180 AS expired, false AS deleted_dry, date_diff('day', CAST(month AS DATE), DATE '1997-01-15') > 180 AS deleted,
+  CASE WHEN date_diff('day', CAST(month AS DATE), DATE '1997-01-15') <= 180 THEN n END AS n
+  FROM (SELECT date_trunc('month', o_orderdate) AS month, count(*) AS n FROM orders GROUP BY 1)""")
+LINES = """lines AS (SELECT *, hist_sum % 11 AS damage, CASE hist_sum % 11 WHEN 9 THEN '' ELSE concat_ws(chr(9), id, date_str, os, hist_value,
+    CASE WHEN hist_sum % 11 <> 3 THEN CAST(hist_value_count AS VARCHAR) END, CASE WHEN hist_sum % 11 = 7 THEN 'more' END) END AS line FROM (
+  SELECT CAST(u AS VARCHAR) AS id, d AS date_str, CASE u % 3 WHEN 0 THEN 'WINNT' WHEN 1 THEN 'Linux' ELSE 'Darwin' END AS os,
+    CASE WHEN e % 37 = 3 THEN 'bad' ELSE CAST(n AS VARCHAR) END AS hist_value, 1 + e % 3 AS hist_value_count, n * (1 + e % 3) AS hist_sum FROM facts))"""
+oracle("checked_lines", """SELECT id, date_str, os, CAST(hist_value AS DOUBLE) AS hist_value, CAST(hist_value_count AS BIGINT) AS hist_value_count
+  FROM lines WHERE damage NOT IN (3, 7, 9) AND hist_value <> 'bad'""", LINES)
+oracle("rejected_lines", """SELECT CASE WHEN damage = 9 THEN 'empty' WHEN damage IN (3, 7) THEN 'fields' ELSE 'value: hist_value' END AS reason, line, count(*) AS n
+  FROM lines WHERE damage IN (3, 7, 9) OR hist_value = 'bad' GROUP BY ALL""", LINES)
 
 # Nested access and projection
 oracle("json_parse", "SELECT k, ok AS parsed, CASE WHEN ok THEN 1 END AS ver FROM docs")
@@ -323,6 +336,7 @@ oracle("submission_stats", """SELECT d, count(*) AS count, CAST(sum(length(json)
 BY_PRODUCT = """by_product AS (SELECT s.d, product, version AS product_version, count(*) AS count, CAST(sum(length(json)) AS BIGINT) AS sum_size,
   avg(length(json)) AS avg_size FROM subs s JOIN stored t USING (k) GROUP BY ALL)"""
 oracle("submission_stats_by_product", "SELECT d, product, product_version, count, sum_size, round(avg_size + 1e-9, 6) AS avg_size FROM by_product", TEXT, BY_PRODUCT)
+oracle("single_report_file", "SELECT d, product, product_version, count, sum_size FROM by_product", TEXT, BY_PRODUCT)
 MINUTES = "CAST(floor(x * 10) AS BIGINT) - CASE WHEN e % 11 = 0 THEN 50 ELSE 0 END"
 oracle("bucket_uptime", f"SELECT e, {MINUTES} AS minutes, CAST({uptime(f'({MINUTES})')} AS BIGINT) AS bucket FROM facts")
 T = "(CAST(floor(x * 300) AS BIGINT) - 500)"
@@ -583,5 +597,9 @@ paints("late_paint_bins", """SELECT lower, upper, n, round(CASE WHEN upper > low
       SELECT CASE WHEN firstpaint > 600000 THEN 605000 ELSE firstpaint END AS p FROM paints
       WHERE version = '10.0a1' AND os = 'WINNT' AND firstpaint IS NOT NULL AND ndco IS NOT NULL)) GROUP BY b)""")
 paints("cohort_restored_summary", f"SELECT si, count(sessionrestored) AS n_values, {SIX.format('sessionrestored')} FROM cohort GROUP BY si", COHORT)
-oracle("saved_ping_files", "SELECT 'dummy' AS k, md5(max_by(json, k)) AS digest FROM stored WHERE json IS NOT NULL GROUP BY d", TEXT)
-oracle("saved_ping_lines", "SELECT 'dummy' AS k, md5(json) AS digest FROM stored WHERE json IS NOT NULL", TEXT)
+for _name in ("saved_ping_files", "saved_ping_lines"):
+    oracle(_name, "SELECT 'dummy' AS k, md5(json) AS digest FROM stored WHERE json IS NOT NULL", TEXT)
+
+for _name, _same in {"variant_select_fields": "select_fields", "variant_single_histogram": "single_histogram", "variant_adhoc_query": "adhoc_query",
+                     "slowsql_rows_sql": "slowsql_rows", "os_version_sql": "os_version_normalize", "buckets_sql": "bucket_generic"}.items():
+    ORACLES[_name] = ORACLES[_same]

@@ -10,11 +10,12 @@ from pyspark.sql import functions as F
 from fieldlens.functions import documents as docs
 from fieldlens.functions import predicates as pred
 from fieldlens.functions import scalars as sf
+from fieldlens.functions import sql as sql_functions
 from fieldlens.operators import hangs, histograms, ranking, sketches, slowsql, statistics, validation
 from fieldlens.plans import jobs, kept, tables
 from fieldlens.schema import CYCLE_COLLECTOR_DDL, DEFAULT_REASONS, GC_UPTIME_DDL, SLOW_SQL_DDL, SUBMISSION_STATS_DDL
 from fieldlens.session import configure, fresh_path, stage
-from fieldlens.sources import catalog
+from fieldlens.sources import catalog, delimited
 from fieldlens.sources import submissions as store
 from fieldlens.testbed import data
 from fieldlens.testbed.data import ALL_PRODUCTS, DESKTOP, MOBILE, TOUCH, submissions
@@ -133,6 +134,43 @@ def delimited_source(spark, sf_dir):
     )
 
 
+def _damaged_lines(spark, sf_dir, path):
+    """The extract of the collector as lines, of which some lack a field, have one too many, or a text for a number."""
+    fields = [F.col("id"), F.col("date_str"), F.col("os"), F.col("hist_value"), F.col("hist_value_count")]
+    rows, n = data.cycle_collector_extract(spark, sf_dir), F.col("hist_sum").cast("bigint")
+    line = F.when(n % 11 == 3, F.concat_ws("\t", *fields[:4])).when(n % 11 == 7, F.concat_ws("\t", *fields, F.lit("more"))).when(n % 11 == 9, F.lit("")).otherwise(
+        F.concat_ws("\t", *fields))
+    rows.select(line.alias("value")).write.text(path)
+    return "id string, date_str string, os string, hist_value double, hist_value_count bigint"
+
+
+@query
+def checked_lines(spark, sf_dir):
+    """Accepted rows of a damaged extract; rejected lines are kept apart."""
+    path, rejects = fresh_path(spark, "lines"), fresh_path(spark, "rejects")
+    schema = _damaged_lines(spark, sf_dir, path)
+    return delimited.split_rejected(spark, path, schema, rejects)
+
+
+@query
+def rejected_lines(spark, sf_dir):
+    """Lines by the reason for which they were rejected, from where they are kept."""
+    path, rejects = fresh_path(spark, "lines"), fresh_path(spark, "rejects")
+    schema = _damaged_lines(spark, sf_dir, path)
+    delimited.split_rejected(spark, path, schema, rejects)
+    return spark.read.parquet(rejects).groupBy("reason", "line").agg(F.count("*").alias("n"))
+
+
+@query
+def single_report_file(spark, sf_dir):
+    """The submission volume in one headered file, written by several tasks, read back by its name."""
+    stats = jobs.submission_stats(submissions(spark, sf_dir), by_product=True)
+    ordered = stats.select("d", "product", "product_version", "count", "sum_size").repartitionByRange(4, "d", "product", "product_version")
+    path = f"{fresh_path(spark, 'report')}/volume.tsv.gz"
+    delimited.write_single_file(ordered, path, sep="\t", header=True, compression="gzip")
+    return store.read_delimited(spark, path, "d string, product string, product_version string, count bigint, sum_size bigint", header=True)
+
+
 @query
 def key_json_lines(spark, sf_dir):
     path = fresh_path(spark, "lines")
@@ -171,6 +209,33 @@ def completeness_audit(spark, sf_dir):
     return catalog.audit(found, data.DATASETS, AS_OF, 30)
 
 
+@query
+def storage_audit(spark, sf_dir):
+    """The same report from a store on disk: days are written by dataset, those without other rows as empty files."""
+    facts, root = data.facts(spark, sf_dir), fresh_path(spark, "datasets")
+    named = facts.withColumn("dataset", F.element_at(F.array(*[F.lit(x) for x in data.DATASETS]), (F.col("u") % 5 + 1).cast("int")))
+    kept = stage(named.where(F.col("d").substr(7, 2).cast("int") % 7 != F.col("u") % 5).select("dataset", "d", "e", "kind"), "facts")
+    for dataset in data.DATASETS[:5]:
+        own = kept.where(F.col("dataset") == dataset)
+        own.where("kind <> 'click'").select("e", "d").write.partitionBy("d").parquet(f"{root}/{dataset}")
+        full = {r[0] for r in own.where("kind <> 'click'").select("d").distinct().collect()}
+        for day in sorted({r[0] for r in own.select("d").distinct().collect()} - full):  # a month of days
+            own.limit(0).select("e").coalesce(1).write.parquet(f"{root}/{dataset}/d={day}")
+    return catalog.audit_storage(spark, root, data.DATASETS, AS_OF, 30)
+
+
+@query
+def retention_on_storage(spark, sf_dir):
+    """Months of orders as directories: a dry run, a real one, and what is left with its rows."""
+    root = fresh_path(spark, "months")
+    orders = data.table(spark, sf_dir, "orders").select("o_orderkey", F.concat(F.lit("valid_"), F.date_format("o_orderdate", "yyyyMM")).alias("agg"))
+    orders.hint("rebalance", "agg").write.partitionBy("agg").parquet(root)
+    dry = catalog.apply_retention(spark, root, "1997-01-15").select("name", "age_days", "expired", F.col("deleted").alias("deleted_dry"))
+    done = catalog.apply_retention(spark, root, "1997-01-15", dry_run=False).select("name", "deleted")
+    left = spark.read.parquet(root).groupBy(F.concat(F.lit("agg="), "agg").alias("name")).agg(F.count("*").alias("n"))
+    return dry.join(done, "name").join(left, "name", "left")
+
+
 # Nested access and projection
 
 @query
@@ -207,6 +272,31 @@ def single_histogram(spark, sf_dir):
     return docs.select_fields(whole, ["info.appVersion", "histograms.PAUSE_MS"])
 
 
+def _stored_variants(spark, sf_dir):
+    path = fresh_path(spark, "variants")
+    tables.write_variants(submissions(spark, sf_dir), path)
+    return tables.read_variants(spark, path)
+
+
+@query
+def variant_select_fields(spark, sf_dir):
+    """Fields of stored, shredded documents."""
+    return docs.select_fields(_stored_variants(spark, sf_dir), ["info.OS", "simpleMeasurements.firstPaint", "info.locale", "ver"])
+
+
+@query
+def variant_single_histogram(spark, sf_dir):
+    return docs.select_fields(_stored_variants(spark, sf_dir), ["info.appVersion", "histograms.PAUSE_MS"])
+
+
+@query
+def variant_adhoc_query(spark, sf_dir):
+    """The ad-hoc query on stored documents of its days."""
+    rows = store.in_date_range(_stored_variants(spark, sf_dir), START, END).where(sf.in_sample(F.col("k"), 0.5))
+    return jobs.query_parsed(rows, [("firstPaint", None, ">", 1000), ("appVersion", None, "!=", "null")],
+                             ["info.appName", "simpleMeasurements.firstPaint", "histograms.CYCLE_MS"])
+
+
 @query
 def flag_projection(spark, sf_dir):
     rows = docs.parse(submissions(spark, sf_dir), "info", histograms="struct<OUT_OF_MEMORY_KILLED: variant>")
@@ -344,6 +434,34 @@ def slowsql_rows(spark, sf_dir):
     return slowsql.statements(docs.parse(submissions(spark, sf_dir), "slowSQL"), ["k"])
 
 
+@query
+def slowsql_rows_sql(spark, sf_dir):
+    """The statement rows in SQL alone."""
+    sql_functions.register(spark)
+    return spark.sql("""
+        SELECT k, e.* FROM (SELECT k, slow_sql_entries(json) AS entries FROM {submissions})
+        LATERAL VIEW OUTER inline(entries) e WHERE e.thread IS NOT NULL""", submissions=submissions(spark, sf_dir))
+
+
+@query
+def os_version_sql(spark, sf_dir):
+    """Systems and kernels counted in SQL alone."""
+    sql_functions.register(spark)
+    return spark.sql("""
+        SELECT version, os_version(version) AS os_version, kernel_version(version) AS normalized_kernel_version, n
+        FROM (SELECT version, count(*) AS n FROM (SELECT try_variant_get(try_parse_json(json), '$.info.version', 'string') AS version FROM {submissions})
+              GROUP BY version)""", submissions=submissions(spark, sf_dir))
+
+
+@query
+def buckets_sql(spark, sf_dir):
+    """The buckets of generic measures in SQL alone."""
+    sql_functions.register(spark)
+    return spark.sql("""
+        SELECT e, grid_bucket(t, 0, 30001, 1000) AS other, grid_bucket(t, 30000, 90000, 2000) AS crash, grid_bucket(n, 0, 50, 1) AS pings
+        FROM (SELECT e, n, CAST(floor(x * 300) AS BIGINT) - 500 AS t FROM {facts})""", facts=data.facts(spark, sf_dir))
+
+
 @query
 def flatten_rows(spark, sf_dir):
     rows = docs.parse(submissions(spark, sf_dir), "histograms")
@@ -609,8 +727,7 @@ def slowsql_sketch_errors(spark, sf_dir):
 @query
 def slowsql_report(spark, sf_dir):
     """Privacy correction first, as in daily use; the threshold suits the small tables."""
-    clean = jobs.scrub_submissions(submissions(spark, sf_dir))
-    report = jobs.slow_sql_report(clean, MIN_DOCS)
+    report = jobs.slow_sql_report(submissions(spark, sf_dir), MIN_DOCS, scrub=True)
     return report.select(*slowsql.REPORT_KEYS, "doc_count", "sum_count", *[_six(q).alias(q) for q in slowsql.SLOW_SQL_QUANTILES])
 
 
@@ -861,12 +978,12 @@ def cohort_restored_summary(spark, sf_dir):
 
 @query
 def saved_ping_files(spark, sf_dir):
-    """Saved pings as files of one document each per day, read back whole."""
+    """All saved pings as files of one document each, read back whole."""
     path = fresh_path(spark, "pings")
-    pings = submissions(spark, sf_dir).where("json is not null").groupBy("d").agg(F.max_by("json", "k").alias("json"))
-    payload = pings.select(F.to_json(F.struct("d", F.col("json").alias("payload"))).alias("value"), "d")
-    payload.repartition("d").write.partitionBy("d").text(path)
-    return store.read_ping_payloads(spark, path + "/*/*").select("k", F.md5("json").alias("digest"))
+    pings = submissions(spark, sf_dir).where("json is not null")
+    payload = pings.select(F.to_json(F.struct("d", F.col("json").alias("payload"))).alias("value"))
+    payload.write.option("maxRecordsPerFile", 1).text(path)
+    return store.read_ping_payloads(spark, path).select("k", F.md5("json").alias("digest"))
 
 
 @query

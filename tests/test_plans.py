@@ -6,6 +6,7 @@ import os
 
 import pytest
 
+from fieldlens.functions import documents as docs
 from fieldlens.operators.histograms import combined_totals
 from fieldlens.plans import jobs, tables
 from fieldlens.schema import DEFAULT_REASONS
@@ -86,3 +87,34 @@ def test_staged_files_can_be_dropped(spark):
     assert os.path.isdir(folder)
     drop_staged(spark)
     assert not os.path.isdir(folder)
+
+
+def test_stored_variants_are_read_by_path(spark, tmp_path):
+    import pyarrow.parquet as pq
+
+    path = str(tmp_path / "variants")
+    rows = data.submissions(spark, SF_DIR)
+    tables.write_variants(rows, path)
+    stored = tables.read_variants(spark, path)
+    text = plan(docs.select_fields(stored.where("d between '20240103' and '20240105'"), ["info.OS", "ver"]))
+    assert "doc:struct<0:string,1:string>" in text and "parse_json" not in text and "PartitionFilters: [isnotnull(d" in text
+
+    def column_bytes(wanted):
+        total = 0
+        for name in stored.inputFiles():
+            meta = pq.ParquetFile(name.removeprefix("file:").replace("///", "/")).metadata
+            for group in range(meta.num_row_groups):
+                chunks = [meta.row_group(group).column(c) for c in range(meta.num_columns)]
+                total += sum(c.total_compressed_size for c in chunks if wanted(c.path_in_schema))
+        return total
+
+    # What a query of one field has to read: its own columns and what holds fields that have none.
+    one = column_bytes(lambda p: p.startswith("doc.typed_value.info.typed_value.OS.") or p in ("doc.metadata", "doc.value", "doc.typed_value.info.value"))
+    assert one * 3 < column_bytes(lambda p: True)
+    whole = docs.parse_whole(rows)
+    fields = ["info.OS", "simpleMeasurements.js", "histograms.PAUSE_MS", "ver"]
+    assert sorted(map(str, docs.select_fields(stored, fields).collect())) == sorted(map(str, docs.select_fields(whole, fields).collect()))
+    odd = spark.createDataFrame([("s20240101x", "20240101", t) for t in ("[1]", "3", "{", None, '{"a":1,"a":2}', '{"info":"x"}')], "k string, d string, json string")
+    tables.write_variants(odd, path)
+    found = [r[0] for r in tables.read_variants(spark, path).where("d = '20240101'").select(docs.get("a", "int").alias("a")).collect()]
+    assert len(found) == 6 and [a for a in found if a is not None] == [2]

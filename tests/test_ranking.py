@@ -149,3 +149,30 @@ def test_kernel_density_has_unit_area(spark):
     out = statistics.kernel_density(df, "v").orderBy("i").collect()
     step = out[1].x - out[0].x
     assert len(out) == 512 and sum(r.density for r in out) * step == pytest.approx(1.0, abs=2e-3)
+
+
+def test_nan_is_missing_for_all_statistics(spark):
+    from fieldlens.operators import statistics
+
+    nan = float("nan")
+    rows = spark.createDataFrame([("a", 1.0, 2.0), ("a", nan, 5.0), ("a", 3.0, 1.0), ("a", None, 1.0), ("b", nan, nan)], "g string, x double, y double")
+    six = {r["g"]: r for r in statistics.six_numbers(rows, ["g"], "x").collect()}
+    assert (six["a"]["n_values"], six["a"]["max"], six["a"]["mean"], six["a"]["missing"]) == (2, 3.0, 2.0, 2)
+    assert (six["b"]["n_values"], six["b"]["mean"], six["b"]["missing"]) == (0, None, 1)
+    assert sum(r["n"] for r in statistics.bins(rows, [], "x", 0, 10, 1).collect()) == 2
+    assert sorted(r["x"] for r in ranking.distribution(rows, "x").collect()) == [1.0, 3.0]
+    assert statistics.spearman(rows, "x", "y").first()[0] == -1.0
+    assert statistics.kernel_density(rows, "x", points=16).where("density is null or isnan(density)").count() == 0
+
+
+def test_no_values_give_no_curve(spark):
+    from fieldlens.operators import statistics
+
+    rows = spark.createDataFrame([(None,), (float("nan"),)], "x double")
+    assert statistics.kernel_density(rows, "x").collect() == [] and statistics.kernel_density(rows.limit(0), "x").collect() == []
+
+
+def test_ranges_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(ranking, "MOST_RANGES", 3)
+    rows = ranking.row_numbers(spark.range(500).select("id"), ["id"], rows_per_range=10)
+    assert [(r["id"], r["idx"]) for r in rows.orderBy("id").collect()] == [(i, i + 1) for i in range(500)]
