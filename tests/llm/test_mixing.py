@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import hashlib
+import random
 from collections import Counter, defaultdict
 
 import pytest
@@ -45,14 +47,59 @@ def test_targets_and_words_taken(spark):
         assert abs(words - targets[source]) <= 1
 
 
+def plain_mix(rows):
+    """Times that each row is taken, from the queues that ``taken`` orders: in order of turn and shuffle, whole if it still fits."""
+    size = lambda r: len((r[1] or "").split())
+    sizes = Counter()
+    for r in rows:
+        sizes[r[3]] += size(r)
+    left = {s: int(t) for s, t in plain_targets(sizes).items()}
+    shuffled = lambda r: hashlib.md5(f"{'' if r[0] is None else r[0]}:1".encode()).hexdigest()
+    words, rest = Counter(), defaultdict(list)
+    for source in sizes:
+        queue = sorted((r for r in rows if r[3] == source and size(r)), key=shuffled) * 2
+        for place, r in enumerate(queue):
+            if size(r) > left[source]:
+                rest[source] = queue[place:]
+                break
+            left[source] -= size(r)
+            words[source] += size(r)
+    return words, left, rest, size
+
+
+def giant_rows():
+    rule = random.Random(4)
+    rows = [(i, " ".join(["w"] * rule.randint(1, 60)), "en", f"s{i % 3}", 0) for i in range(1, 90)]
+    return rows + [(1000 + i, " ".join(["g"] * 5000), "en", "giants" if i else "s1", 0) for i in range(3)] + [(2000 + i, "a b c", "en", "giants", 0) for i in range(7)]
+
+
 def test_reruns_agree_and_mix_repeats_whole_documents(spark):
     docs = samples.clashing(samples.frame(spark, samples.rows()))
     once = mixing.mix(docs)
     assert once.columns == docs.columns
     assert sorted(map(str, once.collect())) == sorted(map(str, mixing.mix(docs.repartition(3)).collect()))
-    times = {(r.doc_id, r.size): r.taken // max(1, r.size) for r in mixing.taken(docs).collect() if r.doc_id and r.doc_id >= 100}
-    got = Counter(r.doc_id for r in once.collect())
-    assert all(got[d] == n for (d, _), n in times.items())
+
+
+@pytest.mark.parametrize("rows", [giant_rows(), samples.rows()])
+def test_words_left_go_to_later_documents_that_fit(spark, rows):
+    got = mixing.mix(samples.frame(spark, rows)).collect()
+    words, left, rest, size = plain_mix(rows)
+    taken, counts = Counter(), Counter()
+    for r in got:
+        taken[r.source] += size((r.doc_id, r.text))
+        counts[(r.doc_id, r.text, r.source)] += 1
+    copies = Counter((r[0], r[1], r[3]) for r in rows)
+    assert all(n <= 2 * copies[k] for k, n in counts.items())
+    for source, budget in left.items():
+        assert words[source] <= taken[source] <= words[source] + budget
+        over = words[source] + budget - taken[source]
+        never = [size(r) for r in rest[source] if counts[(r[0], r[1], r[3])] < 2 * copies[(r[0], r[1], r[3])]]
+        assert not never or over < min(never)
+
+
+def test_a_source_whose_documents_are_mostly_too_long_stays(spark):
+    got = Counter(r.doc_id for r in mixing.mix(samples.frame(spark, giant_rows())).collect())
+    assert any(d >= 2000 for d in got) and sum(n for d, n in got.items() if 1 <= d < 1000)
 
 
 def test_empty_table(spark):
