@@ -115,9 +115,8 @@ def pack(sizes: list[int], room: int) -> list[list[int]]:
     moved = True
     while moved and np.count_nonzero(fill) > least:
         moved = False
-        spare = np.count_nonzero(fill) - least
-        for giver in [b for b in np.argsort(fill, kind="stable") if 0 < fill[b] < room][: 4 * spare + 4]:
-            while fill[giver] and _exchange(bins, size, fill, where, int(giver), room):
+        for giver in [b for b in np.argsort(fill, kind="stable") if 0 < fill[b] < room]:
+            while 0 < fill[giver] < room and np.count_nonzero(fill) > least and _exchange(bins, size, fill, where, int(giver), room):
                 moved = True
     return [b for b in bins if b]
 

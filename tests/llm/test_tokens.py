@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+
 import zlib
 
 import numpy as np
@@ -102,3 +104,17 @@ def test_local_search_empties_bins():
         assert sorted(i for b in bins for i in b) == list(range(40)) and all(sum(sizes[i] for i in b) <= 100 for b in bins)
         emptied += len(packing.best_fit(sizes, 100)) - len(bins)
     assert emptied > 0
+
+
+def test_the_search_ends_only_when_no_exchange_of_any_bin_helps():
+    rule = random.Random(6)
+    for low, high in ((300, 1000), (600, 720), (700, 1900)):
+        sizes = [rule.randint(low, high) for _ in range(400)]
+        bins = packing.pack(sizes, 2048)
+        assert sorted(i for b in bins for i in b) == list(range(400)) and all(sum(sizes[i] for i in b) <= 2048 for b in bins)
+        assert len(bins) <= len(packing.best_fit(sizes, 2048))
+        if len(bins) > -(-sum(sizes) // 2048):
+            size, fill, where = np.array(sizes), np.array([sum(sizes[i] for i in b) for b in bins]), np.empty(400, dtype=np.int64)
+            for b, items in enumerate(bins):
+                where[items] = b
+            assert not any(packing._exchange([list(b) for b in bins], size, fill.copy(), where.copy(), g, 2048) for g in range(len(bins)) if fill[g] < 2048)
