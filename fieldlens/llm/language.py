@@ -8,7 +8,6 @@ its words. Piece probabilities are learned by expectation-maximisation over the
 from __future__ import annotations
 
 import functools
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -26,8 +25,9 @@ from fieldlens.session import stage
 SAMPLE_DOCS = 1000  # labelled documents per language that the fit reads, about
 ROUNDS = 3
 UNKNOWN = "und"
-LETTERS = re.compile(r"[^\W\d_]+")
-RUN = 32  # longer runs of letters are cut
+LETTERS = r"\p{L}+"  # the same in the fit and in Python, where the regex library reads it
+RUN = 32  # the longest piece; longer runs of letters are summed in logarithms
+CELLS = 1 << 21  # numbers of such runs at a time
 START = "▁"  # begins a word, as in the vocabulary
 CACHED = 200_000
 SLICE_BYTES = 4 << 20
@@ -50,13 +50,16 @@ def _vocabulary(path: str):
     return automaton, np.array([len(p) for p in pieces])
 
 
+@functools.lru_cache(maxsize=1)
+def _letters():
+    import regex
+
+    return regex.compile(LETTERS)
+
+
 def _runs(word: str) -> list[str]:
-    """A word as runs of letters, each marked as the start of a word or as the rest of a longer run."""
-    out = []
-    for run in LETTERS.findall(word):
-        marked = START + run
-        out += [marked[a : a + RUN] for a in range(0, len(marked), RUN)]
-    return out
+    """The runs of letters of a word, each marked as the start of a word."""
+    return [START + run for run in _letters().findall(word)]
 
 
 def _steps(runs: list[str], path: str):
@@ -67,10 +70,11 @@ def _steps(runs: list[str], path: str):
     found = np.fromiter(chain.from_iterable(automaton.iter("\n".join(runs))), dtype=np.int64).reshape(-1, 2)
     run = np.searchsorted(starts, found[:, 0], "right") - 1
     end, piece = found[:, 0] - starts[run] + 1, found[:, 1]
-    single = (run * (RUN + 1) + end)[length[piece] == 1]
-    every = np.repeat(np.arange(len(runs)), sizes) * (RUN + 1) + 1 + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    width = int(sizes.max()) + 1
+    single = (run * width + end)[length[piece] == 1]
+    every = np.repeat(np.arange(len(runs)), sizes) * width + 1 + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     missing = np.setdiff1d(every, single)
-    run, end = np.concatenate([run, missing // (RUN + 1)]), np.concatenate([end, missing % (RUN + 1)])
+    run, end = np.concatenate([run, missing // width]), np.concatenate([end, missing % width])
     size = np.concatenate([length[piece], np.ones(len(missing), dtype=np.int64)])
     piece = np.concatenate([piece, np.full(len(missing), -1)])
     key = end * (RUN + 1) + size
@@ -88,28 +92,72 @@ def _forward(sizes: np.ndarray, steps, prob: np.ndarray) -> np.ndarray:
     return alpha
 
 
+def _log_forward(sizes: np.ndarray, steps, logs: np.ndarray, kept: int) -> np.ndarray:
+    """The forward sums in logarithms: runs x places x languages, for the last ``kept`` places, by place modulo ``kept``.
+
+    Behind a run's end stands what its end had.
+    """
+    alpha = np.full((len(sizes), kept, logs.shape[1]), -np.inf)
+    alpha[:, 0] = 0
+    ends = np.array([s[0] for s in steps])
+    bounds = np.searchsorted(ends, np.arange(1, int(sizes.max()) + 2))
+    for end in range(1, int(sizes.max()) + 1):
+        here = np.full((len(sizes), logs.shape[1]), -np.inf)
+        for _, size, run, piece in steps[bounds[end - 1] : bounds[end]]:
+            here[run] = np.logaddexp(here[run], alpha[run, (end - size) % kept] + logs[piece])
+        over = sizes < end
+        here[over] = alpha[over, (end - 1) % kept]
+        alpha[:, end % kept] = here
+    return alpha
+
+
+def _parts(runs: list[str], width: int) -> Iterator[tuple[np.ndarray, bool]]:
+    """Numbers of runs that are worked on together, by length, and whether they are long."""
+    lengths = np.array([len(r) for r in runs], dtype=np.int64)
+    order = np.argsort(lengths, kind="stable")
+    short = int(np.searchsorted(lengths[order], RUN, "right"))
+    chunk = max(256, 32768 // max(1, width))
+    for a in range(0, short, chunk):
+        yield order[a : min(a + chunk, short)], False
+    a = short
+    while a < len(order):
+        b = a + 1
+        while b < len(order) and (b + 1 - a) * int(lengths[order[b]]) * width <= CELLS:
+            b += 1
+        yield order[a:b], True
+        a = b
+
+
 def likelihoods(runs: list[str], prob: np.ndarray, path: str) -> np.ndarray:
     """Log likelihood of each run (rows) in each language (columns); the last row of ``prob`` is for characters without a piece."""
     out = np.zeros((len(runs), prob.shape[1]))
-    order = sorted(range(len(runs)), key=lambda i: len(runs[i]))
-    chunk = max(256, 32768 // max(1, prob.shape[1]))
-    for a in range(0, len(order), chunk):
-        part = order[a : a + chunk]
+    for part, long in _parts(runs, prob.shape[1]):
         sizes, steps = _steps([runs[i] for i in part], path)
-        alpha = _forward(sizes, steps, prob)
-        out[part] = np.log(alpha[np.arange(len(part)), sizes])
+        if long:
+            out[part] = _log_forward(sizes, steps, np.log(prob), RUN + 1)[:, int(sizes.max()) % (RUN + 1)]
+        else:
+            out[part] = np.log(_forward(sizes, steps, prob)[np.arange(len(part)), sizes])
     return out
 
 
 def expected(runs: list[str], weight: np.ndarray, prob: np.ndarray, path: str) -> np.ndarray:
     """How often each piece is used, summed over the runs' segmentations by their posterior; ``weight``: runs x languages."""
     out = np.zeros_like(prob)
-    chunk = max(256, 32768 // max(1, prob.shape[1]))
-    for a in range(0, len(runs), chunk):
-        sizes, steps = _steps(runs[a : a + chunk], path)
-        alpha, rows = _forward(sizes, steps, prob), np.arange(len(sizes))
-        beta = np.zeros_like(alpha)
-        beta[rows, sizes] = weight[a : a + chunk] / alpha[rows, sizes]
+    for part, long in _parts(runs, prob.shape[1]):
+        sizes, steps = _steps([runs[i] for i in part], path)
+        rows = np.arange(len(sizes))
+        if long:
+            logs = np.log(prob)
+            alpha = _log_forward(sizes, steps, logs, int(sizes.max()) + 1)
+            whole_run, beta = alpha[rows, sizes], np.full_like(alpha, -np.inf)
+            beta[rows, sizes] = 0
+            for end, size, run, piece in reversed(steps):
+                flow = logs[piece] + beta[run, end]
+                beta[run, end - size] = np.logaddexp(beta[run, end - size], flow)
+                np.add.at(out, piece, weight[part][run] * np.exp(alpha[run, end - size] + flow - whole_run[run]))
+            continue
+        alpha, beta = _forward(sizes, steps, prob), np.zeros((len(sizes), int(sizes.max()) + 1, prob.shape[1]))
+        beta[rows, sizes] = weight[part] / alpha[rows, sizes]
         for end, size, run, piece in reversed(steps):
             flow = prob[piece] * beta[run, end]
             beta[run, end - size] += flow
@@ -147,7 +195,7 @@ def fit(docs: DataFrame, vocabulary: str | None = None, sample_docs: int = SAMPL
         return Model([], np.zeros((n_pieces + 1, 0)), vocabulary)
     rate = F.create_map(*[F.lit(x) for name in languages for x in (name, min(1.0, sample_docs / sizes[name]))])
     chosen = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < rate[F.col("lang")] * (1 << 30))
-    words = chosen.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("word"))
+    words = chosen.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(LETTERS), F.lit(0))).alias("word"))
     counted = words.groupBy("word").agg(F.array(*[F.count_if(F.col("lang") == name).cast("double") for name in languages]).alias("counts"))
     counted = stage(counted, "words")
     width = len(languages)

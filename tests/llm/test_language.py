@@ -49,6 +49,42 @@ def test_forward_sums_all_segmentations():
     assert (used * size[:, None]).sum(axis=0) == pytest.approx([2 * 5 + 2, 3 * 2])  # expected pieces cover every character
 
 
+def test_long_runs_sum_all_segmentations_too():
+    automaton, lengths = language._vocabulary(VOCABULARY)
+    rule = np.random.default_rng(2)
+    prob = rule.random((len(lengths) + 1, 2)) / 10 + 1e-6
+    alphabet = "thesandingor日ü"
+    runs = [language.START + "".join(rule.choice(list(alphabet), size=n)) for n in (5, 31, 32, 100, 33, 700)]
+    found = language.likelihoods(runs, prob, VOCABULARY)
+    for i, run in enumerate(runs):
+        for k in range(2):
+            logs = [0.0] + [-np.inf] * len(run)
+            for end in range(1, len(run) + 1):
+                for size in range(1, min(end, language.RUN) + 1):
+                    piece = run[end - size : end]
+                    p = prob[automaton.get(piece), k] if piece in automaton else prob[-1, k] if size == 1 else 0.0
+                    if p:
+                        logs[end] = np.logaddexp(logs[end], logs[end - size] + np.log(p))
+            assert found[i, k] == pytest.approx(logs[-1], rel=1e-9)
+    weight = rule.random((len(runs), 2))
+    used = language.expected(runs, weight, prob, VOCABULARY)
+    size = np.append(lengths, 1)
+    assert (used * size[:, None]).sum(axis=0) == pytest.approx((weight * np.array([[len(r)] for r in runs])).sum(axis=0))
+    alone = sum(language.expected([r], weight[i : i + 1], prob, VOCABULARY) for i, r in enumerate(runs))
+    assert used == pytest.approx(alone)
+    # A run is not scored as its parts: a piece across the 32nd character counts.
+    assert found[3, 0] > language.likelihoods([runs[3][:32]], prob, VOCABULARY)[0, 0] + language.likelihoods([runs[3][32:]], prob, VOCABULARY)[0, 0]
+
+
+@pytest.mark.parametrize("text", ["½ ²", "ⅷ", "③ 12 ½kg"[:6], "١٢٣", "_ -", "😀"])
+def test_texts_without_a_letter_have_no_language(spark, model, text):
+    import unicodedata
+
+    assert not any(unicodedata.category(c).startswith("L") for c in text)
+    row = language.identify(samples.frame(spark, [(1, text, None, None, 0)]), model).first()
+    assert (row.lang_pred, row.score) == (language.UNKNOWN, 0.0)
+
+
 def test_held_out_accuracy(spark, model):
     found = language.identify(samples.clashing(samples.frame(spark, corpus())), model).collect()
     truth = {r[0]: r[2] for r in corpus()}
