@@ -112,7 +112,7 @@ def accuracies(votes: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> t
 
 def word_features(word: str) -> list[int]:
     """Buckets of the word, its shape (runs of capitals, letters, digits and marks) and its last two characters."""
-    shape = re.sub(r"(.)\1+", r"\1", "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word[:256]))
+    shape = re.sub(r"(.)\1+", r"\1", "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word))
     return [2 + zlib.crc32(x.encode()) % (BUCKETS - 2) for x in ("w" + word.lower(), "s" + shape, "e" + word[-2:])]
 
 
