@@ -2,9 +2,10 @@
 
 Spans that pass the base rules always stay. Generators of high recall propose more spans, which may overlap:
 other separators, masked at-signs, numbers without a plus. Boosted trees score each by its format and its
-surroundings; the scores are calibrated on documents that the trees did not see, where each kind gets the
-lowest threshold that keeps precision among spans that no base rule finds. What is known not to be personal
-fails the check of its kind or is a date, a version, an amount or a cell of numbers. Chosen spans do not overlap others.
+surroundings. They learn from made examples (``lessons``), in which both classes share their shapes, from the
+documents' own base spans written in wider formats, and from candidates that their surroundings rule out. The scores
+are calibrated, and each kind's threshold set, on formats that the trees did not see: the lowest threshold that
+keeps precision. Chosen spans do not overlap others.
 """
 
 from __future__ import annotations
@@ -19,13 +20,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldlens.llm import lessons
 from fieldlens.llm.boosting import Trees, boost, calibrate
 from fieldlens.llm.common import whole
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 4000  # documents with something to find that the fit reads, about
 SAMPLE_SPANS = 50  # candidates of one of them that it reads
-PRECISION = 0.99
+SAMPLE_EACH = 200  # candidates of a kind and class, over all documents, that it learns from
+PRECISION = 0.95  # among spans of formats that the trees did not see; formats that they saw come out higher
 AROUND = 40
 
 Span = tuple[str, int, int]
@@ -37,8 +40,8 @@ _CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 _MASKED_AT = re.compile(r"\s?[(\[{]\s?(?:at|AT)\s?[)\]}]\s?|\s@\s")
-_MASKED_LEFT = re.compile(r"[A-Za-z0-9._%+-]+\Z")
 _MASKED_RIGHT = re.compile(r"[A-Za-z0-9-]{1,63}(?:\s?(?:\.|[(\[{]\s?(?:dot|DOT)\s?[)\]}])\s?[A-Za-z0-9-]{2,63}){1,4}")
+_MASKED_DOT = re.compile(r"\s?[(\[{]\s?(?:dot|DOT)\s?[)\]}]\s?")
 _WIDE_IP = re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){4,7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])|(?<![0-9])[0-9]{1,3}(?:\[\.\][0-9]{1,3}){3}(?![0-9])")
 _WIDE_CARD = re.compile(r"(?<![0-9])[0-9](?:[ ./ ‐-―-]{0,2}[0-9]){12,18}(?![0-9])")
 _WIDE_PHONE = re.compile(r"(?<![0-9+])(?:\+|00)?\(?[0-9][0-9 ()./ ‐-―-]{5,24}[0-9](?![0-9])")
@@ -48,10 +51,15 @@ _YEAR_LAST = re.compile(r"(?P<d>[0-9]{1,2})[-./ ](?P<m>[0-9]{1,2})[-./ ](?:1[5-9
 _YEARS = re.compile(r"(?:1[5-9]|20)[0-9]{2} ?[-/‐-―] ?(?:1[5-9]|20)[0-9]{2}")
 _AMOUNT_BEFORE = re.compile(r"(?i)(?:[$€£#]|\b(?:v|ver|version|isbn|issn|doi)[.:]{0,2})\s?\Z")
 _NUMBER = re.compile(r"\s*[0-9]+(?:[.,][0-9]+)*\s*")
-_WORDS = {  # surroundings that speak for a kind
-    "email": re.compile(r"(?i)mail|contact|write"), "ip": re.compile(r"(?i)\bip|host|server|addr"),
-    "card": re.compile(r"(?i)card|visa|credit|account"), "phone": re.compile(r"(?i)tel|phone|call|fax|mobil"),
-}
+
+
+def _any_of(words: list[str]) -> re.Pattern:
+    return re.compile(r"(?i)(?<!\w)(?:" + "|".join(re.escape(w) for w in sorted(words, key=len, reverse=True)) + r")(?!\w)")
+
+
+_CUES = {kind: _any_of(words) for kind, words in lessons.CUES.items()}  # surroundings that speak for a kind
+_NUMBERED, _MONEY = _any_of(lessons.NUMBERED), re.compile("|".join(re.escape(m) for m in lessons.MONEY))
+_TLD = re.compile(r"(?:\.|(?:dot|DOT)\s?[)\]}]\s?)(" + "|".join(re.escape(d) for d in lessons.DOMAINS) + r")\Z")
 
 
 def luhn(digits: str) -> bool:
@@ -93,14 +101,21 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
+def _ends(host: str) -> list[int]:
+    """Where a masked host may end: behind each of its parts but the first."""
+    return [m.end() for m in re.finditer(r"[A-Za-z0-9-]+", _MASKED_DOT.sub(lambda d: "." * len(d[0]), host))][1:]
+
+
 def candidates(text: str) -> list[Span]:
     """Spans of the wider patterns; they may overlap one another and base spans."""
     found: list[Span] = []
     for m in _MASKED_AT.finditer(text):
-        left = _MASKED_LEFT.search(text, max(0, m.start() - 64), m.start())
+        left = m.start()
+        while left and _LOCAL.match(text, left - 1):  # runs between two marks are apart, so this stays linear
+            left -= 1
         right = _MASKED_RIGHT.match(text, m.end())
-        if left and right:
-            found.append(("email", left.start(), right.end()))
+        if left < m.start() and right:  # a host may end at each of its parts; what follows may be the next sentence
+            found += [("email", left, m.end() + e) for e in _ends(right[0])]
     for kind, pattern in (("ip", _WIDE_IP), ("card", _WIDE_CARD), ("phone", _WIDE_PHONE)):
         found += [(kind, m.start(), m.end()) for m in pattern.finditer(text)]
     return found
@@ -113,13 +128,17 @@ def _shape(c: str) -> int:
 def features(text: str, span: Span) -> list[float]:
     kind, start, end = span
     s, before, after = text[start:end], text[max(0, start - AROUND) : start], text[end : end + AROUND]
-    d, around = _digits(s), before + after
+    d, around, near = _digits(s), before + after, before[-25:]
     groups = [len(g) for g in re.findall(r"[0-9]+", s)] or [0]
+    parts = [len(p) for p in re.split(r"[^0-9A-Za-z]+", s) if p]
+    years = sum(len(g) == 4 and "1500" <= g <= "2099" for g in re.findall(r"[0-9]+", s))
     return [
-        KINDS.index(kind), len(s), len(d), len(groups), max(groups), min(groups), len(set(d)), s.count(" "), s.count("-"), s.count("."), s.count("(") + s.count("["),
+        KINDS.index(kind), len(s), len(d), len(groups), max(groups), min(groups), groups[0], groups[-1], len(set(d)), s.count(" "), s.count("-"), s.count("."), s.count("(") + s.count("["),
         s.count("/"), s.startswith("+"), s.startswith("00"), s.startswith("0"), bool(d) and luhn(d), max((int(g) for g in re.findall(r"[0-9]{1,9}", s)), default=0) <= 255,
-        s.count(":"), sum(c.isalpha() for c in s), _shape(before[-1:]), _shape(after[:1]), sum(c.isdigit() for c in around) / (len(around) + 1), around.count("|"),
-        bool(_WORDS[kind].search(before)), sum(bool(p.search(before)) for k, p in _WORDS.items() if k != kind),
+        s.count(":"), sum(c.isalpha() for c in s), sum(c.isupper() for c in s), _shape(before[-1:]), _shape(after[:1]), sum(c.isdigit() for c in around) / (len(around) + 1), around.count("|"),
+        bool(_CUES[kind].search(near)), any(bool(p.search(near)) for k, p in _CUES.items() if k != kind), bool(_NUMBERED.search(near)), bool(_MONEY.search(before[-8:]) or _MONEY.search(after[:5]) or after.lstrip()[:1] == "%"),
+        before.rstrip()[-1:] in ("=", '"', "[", "_", "#", "'"), before[-1:].isalnum() + after[:1].isalnum(), _is_date(s), years, bool(_TLD.search(s)), s[:1].isdigit(),
+        max(parts), sum(parts) / len(parts), len(set(parts)),
     ]
 
 
@@ -147,44 +166,52 @@ def _is_date(s: str) -> bool:
     return bool(_YEARS.fullmatch(s))
 
 
-def impossible(text: str, span: Span) -> bool:
-    """Whether a candidate cannot be of its kind: it fails the check of the kind, or is a date, a version, an amount or a cell of numbers."""
+def ruled_out(text: str, span: Span) -> int:
+    """Why the surroundings rule a candidate out: 1 a date, 2 an amount, 3 a cell of numbers, 4 part of a longer word; 0 if nothing does.
+
+    No check of digits is among them: those are features, and labels must not repeat them.
+    """
     kind, start, end = span
     s = text[start:end]
     if kind == "email":
-        return not re.search(r"[A-Za-z]{2,}\s?\Z", re.split(r"\.|(?i:dot)\s?[)\]}]", s)[-1])  # no host ends in digits
-    if kind == "ip":
-        return s.count(":") != 7 if ":" in s else any(int(g) > 255 for g in re.findall(r"[0-9]+", s))
-    if kind == "card":
-        return not luhn(_digits(s))
+        return 0 if re.search(r"[A-Za-z]{2,}\s?\Z", re.split(r"\.|(?i:dot)\s?[)\]}]", s)[-1]) else 2  # no host ends in digits
+    if kind != "phone":
+        return 0
     line = text[text.rfind("\n", 0, start) + 1 : (text.find("\n", end) + 1 or len(text) + 1) - 1]
-    cells = [c for c in re.split(r"[|\t]", line) if _NUMBER.fullmatch(c)]
-    return (
-        not 7 <= len(_digits(s)) <= 15 or _is_date(s) or bool(_AMOUNT_BEFORE.search(text, max(0, start - 12), start)) or text[end : end + 2].lstrip()[:1] == "%"
-        or len(cells) > 2 and bool(_NUMBER.fullmatch(s))
-    )
+    cells = [c for c in re.split(r"[|\t]", line) if _NUMBER.fullmatch(c)] if "|" in line or "\t" in line else []
+    if _is_date(s):
+        return 1
+    if _AMOUNT_BEFORE.search(text, max(0, start - 12), start) or text[end : end + 2].lstrip()[:1] == "%":
+        return 2
+    if len(cells) > 2 and _NUMBER.fullmatch(s):
+        return 3
+    return 4 if text[max(0, start - 1) : start].isalpha() and text[end : end + 1].isalpha() else 0
 
 
-def examples(text: str) -> list[tuple[list[float], int, bool]]:
-    """(features, personal, is base): base spans and their variants are personal, candidates that cannot be of their kind are not.
+def examples(text: str) -> list[tuple[list[float], int, int]]:
+    """(features, personal, part): base spans written in wider formats are personal, candidates that are ruled out are not.
 
-    Other candidates may be personal in a format that no base pattern has, so they say nothing either way.
+    Other candidates may be personal in a format that no base pattern has, so they say nothing either way. A
+    format, or a reason, lies in one part.
     """
     base = base_spans(text)
-    out = [(features(t, s), 1, s is b) for b in base for t, s in [(text, b), *_variants(text, b)]]
+    out = [(features(t, s), 1, number % lessons.PARTS) for b in base for number, (t, s) in enumerate(_variants(text, b))]
     apart = [c for c in candidates(text) if not any(c[1] < e and b < c[2] for _, b, e in base)]
-    return out + [(features(text, c), 0, False) for c in apart if impossible(text, c)]
+    return out + [(features(text, c), 0, why % lessons.PARTS) for c in apart if (why := ruled_out(text, c))]
 
 
 @dataclass(frozen=True)
 class Model:
-    trees: Trees | None = None
+    trees: Trees
     scale: tuple[float, float] = (1.0, 0.0)
     threshold: dict[str, float] = field(default_factory=dict)
 
-    def probability(self, x: np.ndarray) -> np.ndarray:
+    def scaled(self, margin: np.ndarray) -> np.ndarray:
         a, b = self.scale
-        return 1 / (1 + np.exp(-(a * self.trees.margin(x) + b)))
+        return 1 / (1 + np.exp(-(a * margin + b)))
+
+    def probability(self, x: np.ndarray) -> np.ndarray:
+        return self.scaled(self.trees.margin(x))
 
 
 def _threshold(p: np.ndarray, y: np.ndarray, precision: float) -> float:
@@ -197,35 +224,51 @@ def _threshold(p: np.ndarray, y: np.ndarray, precision: float) -> float:
 
 
 def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, precision: float = PRECISION, doc_id: str = "doc_id", text: str = "text") -> Model:
-    """Learns from about ``sample_docs`` documents, chosen by a hash of the id, among those with a digit or at-sign."""
+    """Learns from the made examples and from about ``sample_docs`` documents, chosen by a hash of the id, with a digit or at-sign.
+
+    The made examples hold both classes of every kind, so there is a model whatever the documents hold. Scores
+    are calibrated, and thresholds set, on formats that the trees behind them did not see.
+    """
     rows = docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text")).where(F.col("text").rlike(_ANYTHING))
     rate = min(1.0, sample_docs / max(1, rows.count()))
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1 << 30)) < int(rate * (1 << 30))).select("text", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(2)).alias("part"))
+    chosen = rows.where(F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(1 << 30)) < int(rate * (1 << 30))).select("text")
 
-    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(x, y, part, own) for t, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True) for x, y, own in examples(t)[:SAMPLE_SPANS]]
-            types = [pa.list_(pa.float64()), pa.int32(), pa.int64(), pa.bool_()]
-            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], t) for k, t in enumerate(types)], names=["x", "y", "part", "base"])
-
-    found = sorted((list(r.x), r.y, r.part, r.base) for r in chosen.mapInArrow(label, "x array<double>, y int, part long, base boolean").collect())
-    x, y, part, base = (np.array([f[k] for f in found], dtype=float) for k in range(4))
-    own, other = part == 0, part == 1
-    if not found or len(set(y[own])) < 2 or len(set(y[other])) < 2:
-        return Model()
-    trees = boost(x[own], y[own])
-    model = Model(trees, calibrate(trees.margin(x[other]), y[other]))
-    judged = other & (base == 0)  # base spans stay anyway
-    p, kind = model.probability(x[judged]), x[judged][:, 0].astype(int)
-    limits = {name: _threshold(p[kind == k], y[judged][kind == k], precision) for k, name in enumerate(KINDS)}
-    return Model(trees, model.scale, limits)
+            found = [x for t in batch.column(0).to_pylist() for x in examples(t)[:SAMPLE_SPANS]]
+            types = [pa.list_(pa.float64()), pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], t) for k, t in enumerate(types)], names=["x", "y", "part"])
+
+    found = sorted((list(r.x), r.y, r.part) for r in chosen.mapInArrow(judged, "x array<double>, y int, part int").collect())
+    # Of each kind and class an even share of the sorted examples, so that no common format outweighs the made ones.
+    for k in range(len(KINDS)):
+        for label in (0, 1):
+            own = [i for i, f in enumerate(found) if f[0][0] == k and f[1] == label]
+            over = set(own) - {own[i * len(own) // SAMPLE_EACH] for i in range(SAMPLE_EACH)} if len(own) > SAMPLE_EACH else set()
+            found = [f for i, f in enumerate(found) if i not in over]
+    return learn([([float(v) for v in features(t, s)], y, part) for t, s, y, part in lessons.examples()] + found, precision)
+
+
+def learn(found: list[tuple[list[float], int, int]], precision: float = PRECISION) -> Model:
+    """A model of examples (features, personal, part).
+
+    Each part is judged by trees of the other parts, so calibration and thresholds rest on formats that were not
+    seen; the trees that are used then learn from all.
+    """
+    x, y, part = (np.array([f[k] for f in found], dtype=float) for k in range(3))
+    margin = np.zeros(len(y))
+    for k in np.unique(part):
+        margin[part == k] = boost(x[part != k], y[part != k], rounds=60, depth=4).margin(x[part == k])
+    model = Model(boost(x, y, rounds=60, depth=4), calibrate(margin, y))
+    p, kind = model.scaled(margin), x[:, 0].astype(int)
+    return Model(model.trees, model.scale, {name: _threshold(p[kind == k], y[kind == k], precision) for k, name in enumerate(KINDS)})
 
 
 def spans(text: str, model: Model) -> list[tuple[str, int, int, float, bool]]:
     """(kind, start, end, probability, is base) by kind, then start."""
     base = base_spans(text)
     chosen = [(k, s, e, 1.0, True) for k, s, e in base]
-    wide = [c for c in candidates(text) if model.trees is not None and not any(c[1] < e and s < c[2] for _, s, e in base)]
+    wide = [c for c in candidates(text) if not any(c[1] < e and s < c[2] for _, s, e in base)]
     if wide:
         p = model.probability(np.array([features(text, c) for c in wide], dtype=float))
         taken: list[tuple[int, int]] = []
@@ -253,8 +296,8 @@ SPAN = "array<struct<kind: string, start: long, end: long, probability: double,
 def find(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", redact: bool = False) -> DataFrame:
     """One row per input row: doc_id, spans and, if asked for, the redacted text.
 
-    Places are code points, ends exclusive. NULL texts count as empty; without labelled candidates to learn
-    from only base spans are found. Other columns are ignored.
+    Places are code points, ends exclusive. NULL texts count as empty; rows are judged one by one, so repeated
+    rows and NULL ids do not matter, and an empty table gives no rows. Other columns are ignored.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), whole(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
