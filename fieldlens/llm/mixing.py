@@ -16,6 +16,7 @@ from fieldlens.session import stage
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5  # of all words
 MOST = 2  # times a document may be taken
+NEAR = 0.01  # of its target: a source of whole documents that misses it by no more is done
 
 
 def source_targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, most: int = MOST) -> DataFrame:
@@ -85,8 +86,9 @@ def _whole_entries(queues: DataFrame, row: str, most: int) -> DataFrame:
     """(row, times): how often each document is taken whole.
 
     A source's queue is taken as far as its target reaches. The words left over go to later documents that fit:
-    in every round those that fit queue again, and are taken as far as the words reach, until none fits. What
-    is left of a target then is less than any of the source's remaining documents.
+    in every round those that fit queue again, and are taken as far as the words reach, until none fits or the
+    source is within ``NEAR`` of its target. What is left of a target then is no more than that, or less than any
+    of the source's remaining documents.
     """
     turns = queues.where("size > 0 AND target > 0").select("*", F.explode(F.sequence(F.lit(0), F.lit(most - 1))).alias("turn"))
     end = F.col("turn") * F.col("source_size") + F.col("queued") + F.col("size")
@@ -94,18 +96,19 @@ def _whole_entries(queues: DataFrame, row: str, most: int) -> DataFrame:
     inside = F.col("end") <= F.col("budget")
     taken = [times.where(inside).select(row, "source", "size")]
     budgets = times.groupBy("source").agg(F.max("budget").alias("budget"), F.coalesce(F.sum(F.when(inside, F.col("size"))), F.lit(0)).alias("used"))
-    left = stage(budgets.select("source", (F.col("budget") - F.col("used")).alias("left")), "left")
+    left = stage(budgets.select("source", "budget", (F.col("budget") - F.col("used")).alias("left")), "left")
     rest = times.where(~inside).select(row, "source", "shuffled", "size", "turn")
     order = [F.col("source").asc_nulls_last(), F.col("turn"), F.col("shuffled"), F.col(row)]
     while True:
-        fitting = stage(rest.alias("r").join(left.alias("l"), F.col("r.source").eqNullSafe(F.col("l.source"))).where("r.size <= l.left").select("r.*", "left"), "fitting")
+        fitting = stage(rest.alias("r").join(left.alias("l"), F.col("r.source").eqNullSafe(F.col("l.source")))
+                        .where((F.col("r.size") <= F.col("l.left")) & (F.col("l.left") > NEAR * F.col("l.budget"))).select("r.*", "budget", "left"), "fitting")
         if fitting.isEmpty():
             break
         placed = stage(total_before(fitting, order, {"before": F.col("size")}, "placed"), "fill")
         starts = placed.groupBy("source").agg(F.min("before").alias("start"))
         joined = placed.alias("p").join(starts.alias("s"), F.col("p.source").eqNullSafe(F.col("s.source"))).select("p.*", (F.col("before") - F.col("start") + F.col("size")).alias("end"))
         taken.append(joined.where("end <= left").select(row, "source", "size"))
-        left = stage(joined.groupBy("source").agg((F.max("left") - F.coalesce(F.sum(F.when(F.col("end") <= F.col("left"), F.col("size"))), F.lit(0))).alias("left")), "left")
+        left = stage(joined.groupBy("source").agg(F.max("budget").alias("budget"), (F.max("left") - F.coalesce(F.sum(F.when(F.col("end") <= F.col("left"), F.col("size"))), F.lit(0))).alias("left")), "left")
         rest = joined.where("end > left").select(row, "source", "shuffled", "size", "turn")
     every = taken[0]
     for part in taken[1:]:
@@ -117,7 +120,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", text: s
     """The mixed documents with all their columns, once for each time that they are taken whole.
 
     Documents stay in one piece: the one in service at the cut is left out, and its words go to later documents
-    of its source that fit, so that a source misses its target by less than any document that it has left.
+    of its source that fit, until the source is within ``NEAR`` of its target or none fits.
     """
     rows, row = with_rows(docs, "documents")
     queues = _queues(rows, row, doc_id, source, text, weights, share, most, seed)
