@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fieldlens.llm.common import whole
+from fieldlens.llm.common import lean, whole
 from fieldlens.llm.tokens import vocabulary_file
 from fieldlens.session import stage
 
@@ -212,7 +212,7 @@ def fit(docs: DataFrame, vocabulary: str | None = None, sample_docs: int = SAMPL
     prob = np.full((n_pieces + 1, width), 1 / (n_pieces + 1))
     schema = ", ".join(["piece long", *[f"n{k} double" for k in range(width)]])
     for _ in range(rounds):
-        sums = counted.mapInArrow(lambda b, prob=prob: step(b, prob), schema).groupBy("piece").agg(*[F.sum(f"n{k}").alias(f"n{k}") for k in range(width)])
+        sums = counted.mapInArrow(lean(lambda b, prob=prob: step(b, prob)), schema).groupBy("piece").agg(*[F.sum(f"n{k}").alias(f"n{k}") for k in range(width)])
         counts = np.zeros_like(prob)
         for r in sums.collect():
             counts[r[0]] = r[1:]
@@ -291,7 +291,7 @@ def identify(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str =
             names, score = scorer.predict(batch.column(2))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), names, pa.array(score)], names=["doc_id", "held_out", "lang_pred", "score"])
 
-    return rows.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    return rows.mapInArrow(lean(run), f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
 def accepted(docs: DataFrame, model: Model, least: float = 0.5, text: str = "text") -> DataFrame:
@@ -304,4 +304,4 @@ def accepted(docs: DataFrame, model: Model, least: float = 0.5, text: str = "tex
             names, score = scorer.predict(batch.column(at).cast(pa.string()))
             yield batch.filter(pc.and_(pc.not_equal(names, UNKNOWN), pa.array(score >= least)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fieldlens.llm.common import lean
 from fieldlens.llm.tokens import encoder, vocabulary_file, with_end
 from fieldlens.session import stage
 
@@ -151,7 +152,7 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, length: int =
     vocabulary = vocabulary or vocabulary_file()
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    cut = rows.mapInArrow(lambda batches: _cut(batches, vocabulary, end_id, length), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    cut = rows.mapInArrow(lean(lambda batches: _cut(batches, vocabulary, end_id, length)), f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
     pieces = stage(cut.withColumn("row", F.monotonically_increasing_id()), "pieces")
     once = _packed(pieces.where(F.col("length") < length), length, pool, 0)
     loose = F.col("filled") < LOOSE * length
