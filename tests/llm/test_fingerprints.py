@@ -1,7 +1,10 @@
 from __future__ import annotations
 
 import hashlib
+import random
+import struct
 
+import xxhash
 from pyspark.sql import functions as F
 
 from fieldlens.llm import fingerprints
@@ -17,6 +20,44 @@ def jaccard(a, b):
     return len(a & b) / len(a | b) if a | b else 1.0
 
 
+def hashed(*values):
+    """XXH64 chained over bytes, 64-bit numbers (as int) and 32-bit numbers (as a tuple of one), as signed number."""
+    h = 42
+    for v in values:
+        raw = v if isinstance(v, bytes) else struct.pack("<i", *v) if isinstance(v, tuple) else struct.pack("<q", v)
+        h = xxhash.xxh64_intdigest(raw, h)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def plain_fingerprint(text):
+    """Bins as a table; an empty bin asks 16 hashed places, then the filled one that its own order puts first."""
+    words = [hashed(w) for w in text.encode().split()]
+    if not words:
+        return ""
+    size, bins = min(5, len(words)), {}
+    for i in range(len(words) - size + 1):
+        h = hashed(*words[i : i + size])
+        place = (h >> 56) + 128
+        bins[place] = min(h, bins.get(place, h))
+    rule = random.Random(42)
+    probes = [(rule.randrange(1, fingerprints.PRIME), rule.randrange(fingerprints.PRIME)) for _ in range(16)]
+    digits = []
+    for p in range(256):
+        value = bins.get(p)
+        if value is None:
+            asked = [q for a, b in probes if (q := (p * a + b) % fingerprints.PRIME % 256) in bins]
+            giver = asked[0] if asked else min(bins, key=lambda q: hashed((p,), (q,)))
+            value = hashed(bins[giver], (p,))
+        digits.append(f"{value & 15:x}")
+    return "".join(digits)
+
+
+def test_fingerprints_equal_plain_ones(spark):
+    texts = {r[1] or "" for r in samples.rows(60)}
+    found = spark.createDataFrame([(t,) for t in texts], "text string").select("text", fingerprints.in_hex(fingerprints.fingerprint(F.col("text"))).alias("made"))
+    assert {r.text: r.made for r in found.collect()} == {t: plain_fingerprint(t) for t in texts}
+
+
 def test_texts_and_estimates(spark, monkeypatch):
     monkeypatch.setattr(fingerprints, "CHUNK_BYTES", 20_000)  # several chunks
     rows = [r for r in samples.rows()]
