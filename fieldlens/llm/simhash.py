@@ -235,8 +235,8 @@ def one_per_group(docs: DataFrame, words: int = 5, similarity: float = 0.8, doc_
     lanes = ["f0", "f1"]
     texts = rows.select(F.col(row).alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
     printed = stage(similar.with_keys(texts, words), "prints")
-    # Equal sets have equal keys and sizes.
-    classes = stage(printed.groupBy(*lanes).agg(F.min("id").alias("least"), F.min("row").alias("row"), F.first("size").alias("size"), F.first("keys").alias("keys")), "classes")
+    # Equal sets have equal keys, sizes and sketches.
+    classes = stage(printed.groupBy(*lanes).agg(F.min("id").alias("least"), F.min("row").alias("row"), F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")), "classes")
     links = stage(similar.links(texts, classes, words, similarity, tile), "pairs")
     found = stage(_rooted(classes.select(*lanes, "least"), links, lanes), "components")
     # A group's rows are many, so the one that stays is found by an aggregate, not by a sort of the group.
