@@ -103,10 +103,11 @@ def quantile_report(rows: DataFrame, keys: Sequence[str] = REPORT_KEYS,
 def selected_report(rows: DataFrame, keys: Sequence[str] = REPORT_KEYS, quantiles: Mapping[str, tuple[int, int]] = SLOW_SQL_QUANTILES) -> DataFrame:
     """As :func:`quantile_report` by selection: counting passes instead of sorted ranges, for groups of many rows.
 
-    Only counts are shuffled. A digest stands for the statement; its text comes back at the end. A run count
-    beyond 64 bits is NULL.
+    Only counts are shuffled. A digest stands for the statement; its text comes back at the end. The rows are
+    written once, as both need them. A run count beyond 64 bits is NULL.
     """
-    narrow = with_average(rows).withColumn("_text", F.col("sql")).withColumn("sql", F.md5("sql"))
+    named = with_average(rows).select(*keys, "count", "avg_time")
+    narrow = stage(named.withColumn("_text", F.col("sql")).withColumn("sql", F.md5("sql")), "statements")
     stats = selected_quantiles(narrow, keys, "avg_time", quantiles, "average", {"sum_count": F.col("count")})
     texts = narrow.where(F.col("sql").isNotNull()).groupBy("sql").agg(F.first("_text").alias("_text"))
     named = stats.join(texts, "sql", "left").withColumn("sql", F.col("_text"))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fieldlens.operators import slowsql
+from fieldlens.plans import jobs
 from fieldlens.testbed import data
 
 
@@ -34,3 +36,10 @@ def test_repeated_and_missing_ids_are_spread(spark, tmp_path, monkeypatch):
     events(spark, 2000).withColumn("event_id", F.lit(None).cast("bigint")).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
     facts = data.facts(spark, str(tmp_path))
     assert max(r[1] for r in facts.groupBy(F.spark_partition_id()).count().collect()) < 1000
+
+
+def test_statements_are_read_from_documents_once(spark, tmp_path):
+    events(spark, 50).write.parquet(f"{tmp_path}/events.parquet")
+    report = slowsql.selected_report(jobs.slow_sql_rows(data.submissions(spark, str(tmp_path))))
+    assert "from_json" not in report._jdf.queryExecution().optimizedPlan().toString()
+    assert report.count() > 0
