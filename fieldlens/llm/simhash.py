@@ -224,20 +224,29 @@ def distance_for(similarity: float, width: int) -> int:
     return int(width * np.arccos(2 * similarity / (1 + similarity)) / np.pi)
 
 
+def _centers(classes: DataFrame, tile: int) -> DataFrame:
+    """(row, center) of the sets of ``classes`` whose SimHash is linked: the first row of the component."""
+    sets = classes.where("size > 0").select("row", "print")
+    near = stage(_components(sets.withColumnRenamed("row", "id"), ["print"], BITS, tile), "simhash")
+    return sets.join(near, "print").where("row <> component_id").select("row", F.col("component_id").alias("center"))
+
+
 def one_per_group(docs: DataFrame, words: int = 5, similarity: float = 0.8, doc_id: str = "doc_id", text: str = "text", tile: int = TILE) -> DataFrame:
     """The rows of ``docs`` without near copies; of each group one row with the smallest id stays.
 
     Near copies are texts whose sets of ``words``-word shingles have a Jaccard similarity of at least
-    ``similarity``, and what chains of such pairs connect. Every link is verified by the whole sets; how
-    rarely a pair is not compared is said in ``similar``. Texts without words are one group, as they are equal.
+    ``similarity``, and what chains of such pairs connect. SimHashes of the sets are linked at ``BITS`` or fewer
+    differing bits, as in :func:`near_duplicates`, and each set is verified whole against the first of its component.
+    Copies at that similarity may differ in more bits (about nine of 64), so what SimHash does not settle is looked
+    for in ``similar``, which says how rarely a pair is not compared. Texts without words are one group, as they are equal.
     """
     rows, row = with_rows(docs, "documents")
     lanes = ["f0", "f1"]
     texts = rows.select(F.col(row).alias("row"), F.col(doc_id).alias("id"), F.col(text).alias("text"))
     printed = stage(similar.with_keys(texts, words), "prints")
-    # Equal sets have equal keys, sizes and sketches.
-    classes = stage(printed.groupBy(*lanes).agg(F.min("id").alias("least"), F.min("row").alias("row"), F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch")), "classes")
-    links = stage(similar.links(texts, classes, words, similarity, tile), "pairs")
+    # Equal sets have equal keys, sizes, sketches and SimHashes.
+    classes = stage(printed.groupBy(*lanes).agg(F.min("id").alias("least"), F.min("row").alias("row"), F.first("size").alias("size"), F.first("keys").alias("keys"), F.first("sketch").alias("sketch"), F.first("print").alias("print")), "classes")
+    links = stage(similar.links(texts, classes, _centers(classes, tile), words, similarity, tile), "pairs")
     found = stage(_rooted(classes.select(*lanes, "least"), links, lanes), "components")
     # A group's rows are many, so the one that stays is found by an aggregate, not by a sort of the group.
     best = printed.join(found, lanes).groupBy("root").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("best"))

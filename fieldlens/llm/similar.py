@@ -4,8 +4,9 @@ A set has ``BANDS`` keys of ``DEPTH`` least hashes each; sets that share a key a
 of 0.8 a pair misses all keys with a probability of 0.00006, above that less. Every link is verified by whole
 sets, so none is below the similarity.
 
-A group of copies is settled by a star: each set is verified against the one that most often comes first in its
-keys, so that a set travels once, however many keys and copies it has. What stars leave open is looked for by
+A group of copies is settled by a star: each set is verified against one centre, so that a set travels once,
+however many keys and copies it has. The centre is the one that SimHash links lead to (``simhash.one_per_group``);
+where there is none, or its sketch differs, the set that most often comes first in the keys. What stars leave open is looked for by
 sketches, one byte for each least hash: only sets that agree often enough with a set of another star (a pair of
 the similarity agrees less often with a probability of ``MISS``) are sent to be compared whole. Texts that share
 a passage, but are not alike, thus cost their sketches, and no sets.
@@ -76,22 +77,25 @@ def _sets(texts: pa.Array, words: int) -> Iterator[np.ndarray]:
 
 
 def with_keys(rows: DataFrame, words: int) -> DataFrame:
-    """(row, id, f0, f1, size, keys, sketch) of (row, id, text): the digest of the set of shingles, its size, its keys; an empty set has no keys."""
+    """(row, id, f0, f1, size, keys, sketch, print) of (row, id, text): the digest of the set of shingles, its size, keys and SimHash; an empty set has no keys."""
+    from fieldlens.llm.simhash import majority
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            digests, sizes, found, sketches = [], [], [], []
+            digests, sizes, found, sketches, simhashes = [], [], [], [], []
             for shingles in _sets(batch.column(2), words):
                 digests.append(np.frombuffer(xxhash.xxh128_digest(shingles.tobytes()), dtype=np.int64))
                 sizes.append(len(shingles))
                 least = least_hashes(shingles) if len(shingles) else None
                 found.append([] if least is None else keys(least))
                 sketches.append(b"" if least is None else sketch(least))
+                simhashes.append(majority(shingles))
             prints = np.array(digests, dtype=np.int64).reshape(-1, 2)
-            arrays = [batch.column(0), batch.column(1), pa.array(prints[:, 0]), pa.array(prints[:, 1]), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names=["row", "id", "f0", "f1", "size", "keys", "sketch"])
+            arrays = [batch.column(0), batch.column(1), pa.array(prints[:, 0]), pa.array(prints[:, 1]), pa.array(sizes, pa.int64()), pa.array(found, pa.list_(pa.int64())), pa.array(sketches, pa.binary()), pa.array(np.array(simhashes, dtype=np.uint64).view(np.int64))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["row", "id", "f0", "f1", "size", "keys", "sketch", "print"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(lean(run), f"row long, id {kind}, f0 long, f1 long, size long, keys array<long>, sketch binary")
+    return rows.mapInArrow(lean(run), f"row long, id {kind}, f0 long, f1 long, size long, keys array<long>, sketch binary, print long")
 
 
 def _with_sets(rows: DataFrame, words: int) -> DataFrame:
@@ -210,17 +214,17 @@ def _stars(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.
 
 
 def _alike(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """(row, center, salt) of (row, center, salt, sketch, center_sketch) whose sketches agree."""
+    """(row, center, salt, turn) of (row, center, salt, turn, sketch, center_sketch) whose sketches agree."""
     least = agreement(similarity)
     for batch in batches:
-        own, other = (np.frombuffer(b"".join(s.as_py() for s in batch.column(k)), dtype=np.uint8).reshape(batch.num_rows, BANDS * DEPTH) for k in (3, 4))
-        yield batch.select(["row", "center", "salt"]).filter(pa.array(np.count_nonzero(own == other, axis=1) >= least))
+        own, other = (np.frombuffer(b"".join(s.as_py() for s in batch.column(k)), dtype=np.uint8).reshape(batch.num_rows, BANDS * DEPTH) for k in (4, 5))
+        yield batch.select(["row", "center", "salt", "turn"]).filter(pa.array(np.count_nonzero(own == other, axis=1) >= least))
 
 
 def _beside(pairs: DataFrame, values: DataFrame, name: str) -> DataFrame:
-    """``pairs`` (row, center, salt) with ``name`` of the row and, as ``center_<name>``, of its centre; a copy of a centre's value for each salt."""
+    """``pairs`` (row, center, salt, turn) with ``name`` of the row and, as ``center_<name>``, of its centre; a copy of a centre's value for each salt."""
     copies = pairs.select("center", "salt").distinct().join(values.select(F.col("row").alias("center"), F.col(name).alias(f"center_{name}")), "center")
-    return pairs.join(values.select("row", name), "row").join(copies, ["center", "salt"]).select("row", "center", "salt", name, f"center_{name}")
+    return pairs.join(values.select("row", name), "row").join(copies, ["center", "salt"]).select("row", "center", "salt", "turn", name, f"center_{name}")
 
 
 def _crowds(entries: DataFrame) -> DataFrame:
@@ -236,8 +240,11 @@ def _tiles(marked: DataFrame, columns: list[str]) -> DataFrame:
     return spread(marked, ["f0", "f1"], columns)
 
 
-def links(rows: DataFrame, classes: DataFrame, words: int, similarity: float, tile: int, part: int = PART) -> DataFrame:
-    """(a0, a1, b0, b1) links between distinct sets; ``rows`` has row and text, ``classes`` one row, size, keys and sketch per set."""
+def links(rows: DataFrame, classes: DataFrame, near: DataFrame, words: int, similarity: float, tile: int, part: int = PART) -> DataFrame:
+    """(a0, a1, b0, b1) links between distinct sets; ``rows`` has row and text, ``classes`` one row, size, keys and sketch per set.
+
+    ``near`` (row, center) are sets that are not empty and centres to try first.
+    """
     def sets(needed: DataFrame) -> DataFrame:
         return _with_sets(rows.join(needed.select("row").distinct(), "row", "left_semi").select("row", "text"), words)
 
@@ -249,11 +256,13 @@ def links(rows: DataFrame, classes: DataFrame, words: int, similarity: float, ti
     members = stage(entries.join(crowds.select("key", "head", "n"), "key"), "members")
 
     # Stars: one centre for each set.
-    chosen = members.where("row <> head").groupBy("row").agg(F.mode("head", True).alias("center"))
+    heads = members.where("row <> head").groupBy("row").agg(F.mode("head", True).alias("center"))
+    tried = near.select("row", "center", F.lit(0).alias("turn")).unionByName(heads.withColumn("turn", F.lit(1)))
+    chosen = stage(tried.groupBy("row", "center").agg(F.min("turn").alias("turn")), "tried")
     fans = chosen.groupBy("center").agg(F.ceil(F.count("*") / FAN).alias("fans"))
-    pairs = chosen.join(fans, "center").select("row", "center", F.pmod(F.xxhash64("row"), F.col("fans")).alias("salt"))
-    alike = _beside(stage(pairs, "chosen"), classes, "sketch").mapInArrow(lean(lambda b: _alike(b, similarity)), "row long, center long, salt long")
-    alike = stage(alike, "alike")
+    pairs = chosen.join(fans, "center").select("row", "center", F.pmod(F.xxhash64("row"), F.col("fans")).alias("salt"), "turn")
+    alike = _beside(stage(pairs, "chosen"), classes, "sketch").mapInArrow(lean(lambda b: _alike(b, similarity)), "row long, center long, salt long, turn int")
+    alike = stage(alike.groupBy("row").agg(F.min(F.struct("turn", "center", "salt")).alias("first")).select("row", "first.*"), "alike")
     whole = stage(sets(alike.select("row").unionByName(alike.select(F.col("center").alias("row")))), "sets")
     stars = _beside(alike, whole, "shingles").select("row", "center", "shingles", "center_shingles").mapInArrow(lean(lambda b: _stars(b, similarity)), "row long, center long")
     stars = stage(stars, "stars")

@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from fieldlens.llm import simhash
+from fieldlens.llm import simhash, similar
 from fieldlens.llm.components import components
 from tests.llm import samples
 
@@ -95,3 +95,29 @@ def test_distance_for_a_similarity():
     h = simhash.hashes(b"a b c d e", 4)
     assert h.tolist() == [xxhash.xxh64_intdigest(b"a b c d", 42), xxhash.xxh64_intdigest(b"b c d e", 42)]
     assert simhash.majority(np.zeros(0, dtype=np.uint64)) == 0
+
+
+def test_near_copies_of_the_pipeline_are_found_by_simhash(spark, monkeypatch):
+    """Links of the SimHashes of shingle sets decide which sets are compared first, and whole sets whether they are linked."""
+    rule = np.random.default_rng(7)
+    base = [f"w{x}" for x in rule.integers(0, 1 << 40, 2000)]
+    texts = [" ".join(base), " ".join([*base[:-1], "end"]), " ".join(["begin", *base[1:]]), " ".join(f"v{x}" for x in rule.integers(0, 1 << 40, 300)), "", None]
+    prints = [simhash.majority(np.unique(simhash.hashes((t or "").encode(), 5))) for t in texts]
+    assert max((prints[0] ^ p).bit_count() for p in prints[1:3]) <= simhash.BITS < (prints[0] ^ prints[3]).bit_count()
+    seen, search = [], similar.links
+
+    def watched(rows, classes, near, *others):
+        seen.extend(map(tuple, near.collect()))
+        return search(rows, classes, near, *others)
+
+    monkeypatch.setattr(similar, "links", watched)
+    docs = samples.frame(spark, [(k, t, "en", "a", 0) for k, t in enumerate(texts)])
+    assert {r.doc_id for r in simhash.one_per_group(docs).collect()} == {0, 3, 4}
+    assert len(seen) == 2 and len({center for _, center in seen}) == 1
+
+
+def test_a_simhash_link_is_verified_by_whole_sets(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "majority", lambda h: 0)  # all fingerprints agree
+    texts = [f"a{k} b{k} c{k} d{k} e{k} f{k}" for k in range(5)]
+    docs = samples.frame(spark, [(k, t, "en", "a", 0) for k, t in enumerate([*texts, texts[0]])])
+    assert {r.doc_id for r in simhash.one_per_group(docs).collect()} == set(range(5))
