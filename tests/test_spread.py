@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from fieldlens.operators import slowsql
 from fieldlens.plans import jobs
-from fieldlens.testbed import data
+from fieldlens.sources import submissions as store
+from fieldlens.testbed import data, queries
 
 
 def events(spark, n, day="2024-01-05"):
@@ -38,6 +41,17 @@ def test_repeated_and_missing_ids_are_spread(spark, tmp_path, monkeypatch):
     assert max(r[1] for r in facts.groupBy(F.spark_partition_id()).count().collect()) < 1000
 
 
+def test_digests_beyond_64_bits(spark, tmp_path):
+    events(spark, 80_000).write.parquet(f"{tmp_path}/events.parquet")
+    found = {r.sink: r for r in queries.REGISTRY["delimited_sink"](spark, str(tmp_path)).collect()}
+    assert found["tab"].n == 80_000 and found["tab"].digest is None and found["single"].digest is not None
+    rows = store.decode_keys(data.submissions(spark, str(tmp_path))).select("k", "d", "uuid").collect()
+    wanted = sum(int(hashlib.md5("|".join(r).encode()).hexdigest()[:12], 16) for r in rows)
+    whole = {r.sink: r.digest for r in queries.REGISTRY["delimited_sink_digests"](spark, str(tmp_path)).collect()}
+    assert wanted >= 1 << 63 and [whole[s] for s in ("comma", "control-a", "tab")] == [str(wanted)] * 3
+    assert whole["single"] == str(found["single"].digest)
+
+
 def test_statements_are_read_from_documents_once(spark, tmp_path):
     events(spark, 50).write.parquet(f"{tmp_path}/events.parquet")
     report = slowsql.selected_report(jobs.slow_sql_rows(data.submissions(spark, str(tmp_path))))
