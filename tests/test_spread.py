@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import glob
 import hashlib
 
 from pyspark.sql import functions as F
@@ -52,6 +53,15 @@ def test_digests_beyond_64_bits(spark, tmp_path):
     assert whole["single"] == str(found["single"].digest)
 
 
+def test_ping_files_lie_in_a_folder_per_task(spark, tmp_path):
+    pings = spark.range(20, numPartitions=3).select(F.concat(F.lit('{"payload": "p'), "id", F.lit('"}')).alias("value"))
+    store.write_ping_files(pings, f"{tmp_path}/pings")
+    files = glob.glob(f"{tmp_path}/pings/*/part-*")
+    assert len(files) == 20 and len({f.rsplit("/", 1)[0] for f in files}) == 3 and not glob.glob(f"{tmp_path}/pings/*/.*.crc")
+    back = store.read_ping_payloads(spark, f"{tmp_path}/pings")
+    assert back.columns == ["k", "json"] and sorted(r.json for r in back.collect()) == sorted(f"p{i}" for i in range(20))
+
+
 def test_statements_are_read_from_documents_once(spark, tmp_path):
     events(spark, 50).write.parquet(f"{tmp_path}/events.parquet")
     report = slowsql.selected_report(jobs.slow_sql_rows(data.submissions(spark, str(tmp_path))))
