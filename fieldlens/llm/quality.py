@@ -8,6 +8,7 @@ and scores every document; it sees what no labeller counts.
 
 from __future__ import annotations
 
+import functools
 import re
 import zlib
 from collections.abc import Iterator
@@ -110,10 +111,25 @@ def accuracies(votes: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> t
     return posterior, accuracy, float((weight @ posterior + 1) / (weight.sum() + 2))
 
 
+def _kind(c: str) -> str:
+    return "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
+
+
+_ASCII_KINDS = {i: _kind(chr(i)) for i in range(128)}
+_RUN = re.compile(r"(.)\1+")
+
+
+def _bucket(feature: str) -> int:
+    return 2 + zlib.crc32(feature.encode()) % (BUCKETS - 2)
+
+
+_few = functools.lru_cache(1 << 14)(_bucket)  # words share shapes and endings
+
+
 def word_features(word: str) -> list[int]:
     """Buckets of the word, its shape (runs of capitals, letters, digits and marks) and its last two characters."""
-    shape = re.sub(r"(.)\1+", r"\1", "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word))
-    return [2 + zlib.crc32(x.encode()) % (BUCKETS - 2) for x in ("w" + word.lower(), "s" + shape, "e" + word[-2:])]
+    kinds = word.translate(_ASCII_KINDS) if word.isascii() else "".join(map(_kind, word))
+    return [_bucket("w" + word.lower()), _few("s" + _RUN.sub(r"\1", kinds)), _few("e" + word[-2:])]
 
 
 def document_features(text: str) -> tuple[list[int], list[float]]:
@@ -199,7 +215,13 @@ def rate(docs: DataFrame, model: Model, threshold: float = 0.5, doc_id: str = "d
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = WordSums(1, lambda w: [float(model.weight[word_features(w)].sum())])
+        weight = model.weight.tolist()
+
+        def of_word(w: str) -> list[float]:
+            word, shape, end = word_features(w)
+            return [weight[word] + weight[shape] + weight[end]]
+
+        sums = WordSums(1, of_word)
         for batch in batches:
             score = scores(model.weight, sums, batch.column(1))
             full = pc.match_substring_regex(batch.column(1), r"[^\x20\x09-\x0D]").to_numpy(zero_copy_only=False)

@@ -59,3 +59,13 @@ def test_odd_texts(spark):
 def test_word_sums_count_words_and_repeats():
     sums = quality.WordSums(1, lambda w: [len(w)]).sums(pa.array(["", " a a  bb ", "bb bb bb"]))
     assert sums.tolist() == [[0, 0, 0], [4, 3, 1], [6, 3, 2]]
+
+
+def test_word_features_are_those_of_each_character():
+    import re
+    import zlib
+
+    for word in ("", "a", "Hello", "HELLO!!", "aa11--", "x²³", "ÄÖÜß", "ﬁn", "日本語", "A" * 600 + "b", "\x1cA"):
+        shape = re.sub(r"(.)\1+", r"\1", "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c for c in word))
+        wanted = [2 + zlib.crc32(x.encode()) % (quality.BUCKETS - 2) for x in ("w" + word.lower(), "s" + shape, "e" + word[-2:])]
+        assert quality.word_features(word) == wanted
