@@ -45,10 +45,13 @@ def _validity(valid: Column) -> Column:
     return F.when(valid.isNull() | is_true, 1).otherwise(0)
 
 
-def _histogram_columns(hist: Column) -> dict[str, Column]:
-    """Typed leaves of a histogram; the row is usable when none of them is NULL."""
-    limits = F.try_variant_get(hist["range"], F.lit("$"), "array<variant>")
+def _limits(hist: Column) -> Column:
+    """The range of a histogram as an array, made once in a projection of its own for all who look into it."""
+    return F.try_variant_get(hist["range"], F.lit("$"), "array<variant>")
 
+
+def _histogram_columns(hist: Column, limits: Column) -> dict[str, Column]:
+    """Typed leaves of a histogram; the row is usable when none of them is NULL. ``limits`` has its range, see :func:`_limits`."""
     def limit(i):
         value = F.coalesce(number(F.get(limits, F.lit(i)), "int"), F.lit(0))
         return F.when(F.array_size(limits) >= 2, value).when(limits.isNotNull(), 0)
@@ -134,7 +137,8 @@ def _all_entries(df: DataFrame, carry: Sequence[str | Column], histograms: bool
         F.when(~is_measure, F.try_variant_get("leaf", F.lit("$"), HISTOGRAM_DDL)).alias("_hist"),
         F.when(is_measure, number(F.col("leaf"), "bigint")).alias("_number"),
     )
-    of_hist = _histogram_columns(F.col("_hist"))
+    typed = typed.withColumn("_limits", _limits(F.col("_hist")))
+    of_hist = _histogram_columns(F.col("_hist"), F.col("_limits"))
     of_measure = _measure_columns(F.col("part"), is_member, F.col("_number"))
     measure_name = F.concat(
         F.lit(MEASURE_PREFIX), F.upper("part"), F.coalesce(F.concat(F.lit("_"), F.upper("member")), F.lit(""))
@@ -199,9 +203,9 @@ def single_histogram(df: DataFrame, name: str, value: Column, carry: Sequence[st
     hist = F.try_variant_get(value, F.lit("$"), HISTOGRAM_DDL)
     prepared = once(df, *carry, hist.alias("_hist"))
     kept = [c for c in prepared.columns if c != "_hist"]
-    typed = _histogram_columns(F.col("_hist"))
+    typed = _histogram_columns(F.col("_hist"), F.col("_limits"))
     rows = once(
-        prepared, *kept, F.lit(name).alias("hist_name"), *[typed[c].alias(c) for c in NAME_ROW[1:]],
+        prepared.withColumn("_limits", _limits(F.col("_hist"))), *kept, F.lit(name).alias("hist_name"), *[typed[c].alias(c) for c in NAME_ROW[1:]],
         _buckets(F.col("_hist")["values"]).alias("buckets"),
     )
     return by_value(rows.where(COMPLETE)).where(F.col("count") != 0)
