@@ -171,18 +171,18 @@ def warnings(df: DataFrame, carry: Sequence[str | Column]) -> DataFrame:
     Histograms without a required part, measures and buckets that are no numbers, and usable entries
     with a NULL among the kept columns, which the totals cannot match.
     """
-    rows = _all_entries(df, carry)
+    kept = F.struct(*carry)
+    # Told once per document, so that the kept columns themselves need not travel with its entries.
+    any_null = F.exists(F.array(*[kept[c].cast("string") for c in df.select(*carry).columns]), lambda v: v.isNull())
+    rows = _all_entries(df, [any_null.alias("any_null")])
     complete = F.expr(COMPLETE)
-    any_null = F.exists(
-        F.array(*[F.col("_kept")[c].cast("string") for c in df.select(*carry).columns]), lambda v: v.isNull()
-    )
     return rows.agg(
         F.count_if(~F.col("is_measure") & ~complete).alias("bad_histograms"),
         F.count_if(F.col("is_measure") & ~complete).alias("bad_measures"),
         F.coalesce(
             F.sum(F.when(complete & ~F.col("is_measure"), F.col("_n_values") - F.size("buckets"))), F.lit(0)
         ).alias("bad_buckets"),
-        F.count_if(complete & any_null).alias("null_dimensions"),
+        F.count_if(complete & F.col("_kept")["any_null"]).alias("null_dimensions"),
     )
 
 

@@ -42,3 +42,9 @@ def events(spark, path, n=40):
 def test_the_range_is_taken_apart_once(spark):
     rows = docs.parse(odd(spark), "info", "histograms", "simpleMeasurements")
     assert optimized(histograms.entries(rows, ["k"])).count(".range") == 1
+
+
+def test_warnings_do_not_carry_dimensions(spark):
+    rows = docs.parse(odd(spark), "info", "histograms", "simpleMeasurements")
+    text = optimized(histograms.warnings(rows, docs.dimension_columns()))
+    assert not [line for line in text.split("inline(")[0].splitlines() if "plat_build_id" in line]
