@@ -146,14 +146,16 @@ def with_scrubbed(df: DataFrame, compat: bool = False, json: str = "json", out:
     changed = F.coalesce(F.exists("_pairs", lambda p: p["key"] != p["old"]), F.lit(False))
     texts = F.array_distinct(F.transform("_pairs", lambda p: p["key"]))
 
-    def total(group, place):
-        return _added(F.transform(group, lambda p: F.get(_numbers(p["value"]), F.lit(place))))
+    def total(numbers, place):
+        return _added(F.transform(numbers, lambda n: F.get(n, F.lit(place))))
 
     def merged(text):
-        group = F.filter("_pairs", lambda p: p["key"] == text)
-        summed = F.array(total(group, 0), total(group, 1))
-        value = F.when(F.size(group) == 1, F.get(group, F.lit(0))["value"]).otherwise(F.to_variant_object(summed))
-        return F.struct(text.alias("key"), value.alias("value"))
+        def of_group(group):
+            summed = bind(F.transform(group, lambda p: _numbers(p["value"])), lambda found: F.array(total(found, 0), total(found, 1)))
+            value = F.when(F.size(group) == 1, F.get(group, F.lit(0))["value"]).otherwise(F.to_variant_object(summed))
+            return F.struct(text.alias("key"), value.alias("value"))
+
+        return bind(F.filter("_pairs", lambda p: p["key"] == text), of_group)
 
     # Merging looks at the other statements of the document, so it is done only where texts collide.
     plain = F.transform("_pairs", lambda p: F.struct(p["key"].alias("key"), p["value"].alias("value")))

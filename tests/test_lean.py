@@ -48,3 +48,10 @@ def test_warnings_do_not_carry_dimensions(spark):
     rows = docs.parse(odd(spark), "info", "histograms", "simpleMeasurements")
     text = optimized(histograms.warnings(rows, docs.dimension_columns()))
     assert not [line for line in text.split("inline(")[0].splitlines() if "plat_build_id" in line]
+
+
+def test_equal_statements_are_gathered_once(spark):
+    json = """{"slowSQL":{"otherThreads":{"a 'x'":[1,2,"no"],"a 'y'":[4,8],"a ":[1,1],"b 'z'":[3]}}}"""
+    changed = slowsql.scrub(spark.createDataFrame([("k", json)], "k string, json string"))
+    assert changed.first().json == '{"slowSQL":{"otherThreads":{"a ":[1,1],"a :private":[5,10],"b :private":[3]}}}'
+    assert len(re.findall(r"filter\(\S*_pairs", optimized(changed))) == 1
