@@ -45,9 +45,21 @@ def typed(value: Column) -> Column:
     return F.try_variant_get(value, F.lit("$"), HISTOGRAM_DDL)
 
 
+def _edge_text(edge: Column) -> Column:
+    return F.concat(F.lit(","), edge.cast("string"), F.lit(","))
+
+
+def _edges(buckets: Column) -> Column:
+    """Bucket edges as one text, ``,0,1,2,``: it is searched at once, an array number by number.
+
+    NULL, so that no bucket is judged, without buckets or with a NULL among them.
+    """
+    whole = ~F.exists(buckets, lambda b: b.isNull())
+    return F.when(whole, _edge_text(F.array_join(buckets.cast("array<string>"), ",")))
+
+
 def checks(hist: Column, spec: Column) -> Column:
     """Struct of failed checks for one typed histogram against its specification struct."""
-    limits = F.try_variant_get(hist["range"], F.lit("$"), "array<variant>")
 
     def differs(expected, found):
         return ~F.coalesce(expected == found, F.lit(False))
@@ -59,15 +71,15 @@ def checks(hist: Column, spec: Column) -> Column:
         return F.coalesce(number, F.lit(-1))
 
     empty = F.coalesce(F.size(keys), F.lit(0)) == 0
-    stray = F.exists(keys, lambda key: ~F.array_contains(spec["buckets"], edge(key)))
-    return F.struct(
+    stray = F.exists(keys, lambda key: ~spec["edges"].contains(_edge_text(edge(key))))
+    return bind(F.try_variant_get(hist["range"], F.lit("$"), "array<variant>"), lambda limits: F.struct(
         differs(spec["hist_type"], _as_text(hist["histogram_type"])).alias("bad_type"),
         differs(spec["min"], _as_text(F.get(limits, F.lit(0)))).alias("bad_min"),
         differs(spec["max"], _as_text(F.get(limits, F.lit(1)))).alias("bad_max"),
         differs(spec["bucket_count"], _as_text(hist["bucket_count"])).alias("bad_bucket_count"),
         empty.alias("no_buckets"),
         F.coalesce(~empty & stray, F.lit(False)).alias("bad_bucket"),
-    )
+    ))
 
 
 def passed(result: Column) -> Column:
@@ -91,7 +103,7 @@ def folded(spec: DataFrame) -> DataFrame:
 
     It is written, so that its size is known: Spark sends it to all tasks where it is small, else it joins.
     """
-    entry = F.struct("hist_name", "min", "max", "hist_type", "bucket_count", "buckets")
+    entry = F.struct("hist_name", "min", "max", "hist_type", "bucket_count", _edges(F.col("buckets")).alias("edges"))
     slots = spec.groupBy(F.col("version_key").alias("spec_key"), _slot(F.col("hist_name")).alias("slot")).agg(F.collect_list(entry).alias("entries"))
     by_slot = slots.groupBy("spec_key").agg(F.map_from_entries(F.collect_list(F.struct("slot", "entries"))).alias("found"))
     every = F.transform(F.sequence(F.lit(0), F.lit(SLOTS - 1)), lambda i: F.element_at("found", i))

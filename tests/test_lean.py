@@ -55,3 +55,18 @@ def test_equal_statements_are_gathered_once(spark):
     changed = slowsql.scrub(spark.createDataFrame([("k", json)], "k string, json string"))
     assert changed.first().json == '{"slowSQL":{"otherThreads":{"a ":[1,1],"a :private":[5,10],"b :private":[3]}}}'
     assert len(re.findall(r"filter\(\S*_pairs", optimized(changed))) == 1
+
+
+@pytest.mark.parametrize("buckets, keys, bad", [
+    ([0, 1, 2], ["0", "2"], False), ([0, 1, 2], ["12"], True), ([10, 20], ["1"], True), ([10, 20], ["+10", "020"], False), ([0], ["x"], True),
+    ([-1], ["x"], False), ([], ["1"], True), (None, ["1"], False), ([0, None], ["0"], False), ([0, None], ["5"], False), ([0], [], False),
+    ([-10], ["10"], True), ([2147483647], ["2147483648"], True),
+])
+def test_edges(spark, buckets, keys, bad):
+    spec = spark.createDataFrame([("default", "A", "1", "2", "1", "3", buckets)], SPEC_DDL)
+    values = ",".join(f'"{k}":1' for k in keys)
+    json = '{"info":{"appVersion":"1"},"histograms":{"A":{"values":{%s},"range":[1,2],"bucket_count":3,"histogram_type":1,"sum":1}}}' % values
+    checked = validation.check_rows(spark.createDataFrame([("k", json)], "k string, json string"), spec)
+    row = checked.first()
+    assert row.bad_bucket is bad and row.no_buckets is (not keys) and not row.bad_min and not row.bad_max
+    assert "array_contains" not in optimized(checked).lower().replace("arraycontains", "array_contains")
