@@ -18,7 +18,7 @@ from fieldlens.functions.predicates import drop_incomplete, from_products, where
 from fieldlens.operators import hangs, histograms, slowsql, statistics, validation
 from fieldlens.operators.ranking import distribution, group_statistics, row_numbers
 from fieldlens.schema import DEFAULT_REASONS, MISSING
-from fieldlens.session import stage
+from fieldlens.session import splits_of, stage
 from fieldlens.sources.submissions import in_date_range, write_store
 
 MEDIAN = {"median": (1, 2)}
@@ -72,14 +72,18 @@ def validate_submissions(submissions: DataFrame, spec: DataFrame) -> DataFrame:
     return judged.select("k", "d", F.coalesce("new_json", "json").alias("json"))
 
 
+VALIDATION_SPLIT = 16 << 20  # bytes of a compressed store for one task
+
+
 def validate_store(submissions: DataFrame, spec: DataFrame, path: str) -> DataFrame:
     """Write all submissions, validated, into the store at ``path`` and return the counters of the run, one row.
 
     Documents are read once, and every task writes what it read, without a shuffle: submissions that come from a
-    store lie together by day already.
+    store lie together by day already. Documents compress well and take long, so a task reads few bytes of them.
     """
     judged, seen = validation.observed(submissions, spec)
-    write_store(judged.select("k", "d", F.coalesce("new_json", "json").alias("json")), path, rebalance=False)
+    with splits_of(submissions.sparkSession, VALIDATION_SPLIT):
+        write_store(judged.select("k", "d", F.coalesce("new_json", "json").alias("json")), path, rebalance=False)
     found = seen.get
     names = ["documents", *validation.DOCUMENT_COUNTERS, *validation.HISTOGRAM_COUNTERS]
     return submissions.sparkSession.createDataFrame([tuple(found[n] for n in names)], ", ".join(f"{n} bigint" for n in names))

@@ -70,3 +70,14 @@ def test_edges(spark, buckets, keys, bad):
     row = checked.first()
     assert row.bad_bucket is bad and row.no_buckets is (not keys) and not row.bad_min and not row.bad_max
     assert "array_contains" not in optimized(checked).lower().replace("arraycontains", "array_contains")
+
+
+def test_a_store_is_validated_in_small_pieces(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "VALIDATION_SPLIT", 500, raising=False)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    rows = spark.range(400).selectExpr("concat('s20240101', id) as k", "'20240101' as d", """concat('{"info":{"appVersion":"', id, '"}}') as json""")
+    store.write_store(rows.repartition(40), f"{tmp_path}/from", rebalance=False)
+    spec = spark.createDataFrame([("default", "A", "1", "2", "1", "3", [0])], SPEC_DDL)
+    assert jobs.validate_store(store.read_store(spark, f"{tmp_path}/from"), spec, f"{tmp_path}/to").first().documents == 400
+    assert len(glob.glob(f"{tmp_path}/to/d=20240101/*.parquet")) >= 40 and store.read_store(spark, f"{tmp_path}/to").count() == 400
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
