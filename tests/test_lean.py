@@ -81,3 +81,16 @@ def test_a_store_is_validated_in_small_pieces(spark, tmp_path, monkeypatch):
     assert jobs.validate_store(store.read_store(spark, f"{tmp_path}/from"), spec, f"{tmp_path}/to").first().documents == 400
     assert len(glob.glob(f"{tmp_path}/to/d=20240101/*.parquet")) >= 40 and store.read_store(spark, f"{tmp_path}/to").count() == 400
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
+def test_info_fields_are_those_of_info(spark):
+    parsed = docs.parse(odd(spark), "info")
+    fields = docs.once(parsed, "info", docs.info_fields(FINGERPRINT_FIELDS).alias("_info"))
+    alone = fields.select(*[docs.info(n).alias(n) for n in FINGERPRINT_FIELDS]).collect()
+    assert fields.select(*[F.col("_info")[n].alias(n) for n in FINGERPRINT_FIELDS]).collect() == alone
+    assert any(r.version for r in alone) and any(r.hasSSE == "true" for r in alone)
+
+
+def test_fingerprints_pass_the_members_once(spark, tmp_path):
+    text = optimized(queries.REGISTRY["config_fingerprint"](spark, events(spark, tmp_path)))
+    assert 0 < len(re.findall(r"variant_get\(\S*info", text)) <= 2
