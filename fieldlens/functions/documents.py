@@ -40,16 +40,21 @@ def _object_text(json: str) -> Column:
     return F.when(F.ltrim(json).startswith("{"), F.col(json))
 
 
-def parse(df: DataFrame, *parts: str, json: str = "json", keep: Sequence[str] | None = None, **typed: str) -> DataFrame:
+def parse(df: DataFrame, *parts: str, json: str = "json", keep: Sequence[str] | None = None, unread: str | None = None,
+          **typed: str) -> DataFrame:
     """Add the named top-level parts as columns; parts of another type than expected are NULL.
 
     ``keep`` names the columns of ``df`` to carry along, all by default; without the text there it is not
     copied next to its parts. ``typed`` gives a part another type than :data:`PART_TYPES`. Text that is not a JSON object has
-    no parts. Of repeated keys the last counts.
+    no parts. Of repeated keys the last counts. ``unread`` names a column for the text of an object that is broken
+    or has a part of another type than expected, NULL for others.
     """
     types = {part: PART_TYPES[part] for part in parts} | typed
     schema = ", ".join(f"`{part}` {kind}" for part, kind in types.items())
-    parsed = F.from_json(_object_text(json), schema)
+    if unread:
+        parsed = F.from_json(_object_text(json), f"{schema}, `{unread}` string", {"columnNameOfCorruptRecord": unread})
+    else:
+        parsed = F.from_json(_object_text(json), schema)
     kept = df.columns if keep is None else list(keep)
     rows = once(df, *kept, parsed.alias("_parsed"))
     parsed_parts = {part: F.col("_parsed")[part] for part in types}
@@ -57,7 +62,7 @@ def parse(df: DataFrame, *parts: str, json: str = "json", keep: Sequence[str] |
         (_last_of_repeated(value) if types[part] == VARIANT_MAP_DDL else value).alias(part)
         for part, value in parsed_parts.items()
     ]
-    return once(rows, *kept, *columns)
+    return once(rows, *kept, *columns, *([F.col("_parsed")[unread].alias(unread)] if unread else []))
 
 
 def _last_of_repeated(members: Column) -> Column:

@@ -94,6 +94,16 @@ def readable(json: str = "json") -> Column:
     return top_level(json).isNotNull()
 
 
+#: What a document's other members may hold that only reading them as values shows: numbers of a thousand digits, and their size.
+LONG_NUMBER, LARGE_TEXT = "[0-9.eE+-]{1000}", 1 << 24
+
+
+def _readable_after(unread: str, json: str) -> Column:
+    """As :func:`readable`, for a text parsed with ``unread``: the whole document is read again only in doubt."""
+    read = F.col(unread).isNull() & (F.octet_length(json) < LARGE_TEXT) & ~F.col(json).rlike(LONG_NUMBER)
+    return F.when(~F.ltrim(json).startswith("{") | F.col(json).isNull(), False).when(read, True).otherwise(readable(json))
+
+
 def _slot(name: Column) -> Column:
     return F.pmod(F.xxhash64(name), F.lit(SLOTS)).cast("int")
 
@@ -184,14 +194,14 @@ def _document_counts(json: str) -> Column:
 
 
 def report(df: DataFrame, spec: DataFrame, json: str = "json") -> DataFrame:
-    """Counters of a validation run in one row; documents are read once.
+    """Counters of a validation run in one row; documents are read once, damaged ones twice.
 
     Every document gives one row per histogram and at least one row; its first row counts it.
     """
     version = info("appVersion")
-    parsed = _with_spec(parse(df, "info", "histograms", json=json), spec)
+    parsed = _with_spec(parse(df, "info", "histograms", json=json, unread="_unread"), spec)
     judged = once(
-        parsed, F.col(json).isNull().alias("null_json"), readable(json).alias("is_object"),
+        parsed, F.col(json).isNull().alias("null_json"), _readable_after("_unread", json).alias("is_object"),
         version.isNotNull().alias("evaluated"), F.when(version.isNotNull(), _outcomes()).alias("_all"),
     )
     rows = judged.select("null_json", "is_object", "evaluated", F.posexplode_outer("_all").alias("place", "_one"))

@@ -94,3 +94,12 @@ def test_info_fields_are_those_of_info(spark):
 def test_fingerprints_pass_the_members_once(spark, tmp_path):
     text = optimized(queries.REGISTRY["config_fingerprint"](spark, events(spark, tmp_path)))
     assert 0 < len(re.findall(r"variant_get\(\S*info", text)) <= 2
+
+
+def test_report_reads_again_only_in_doubt(spark):
+    parsed = docs.parse(odd(spark), "info", "histograms", unread="_unread")
+    rows = parsed.select("k", validation._readable_after("_unread", "json").alias("new"), validation.readable().alias("old"), "_unread").orderBy("k").collect()
+    assert [r.new for r in rows] == [r.old for r in rows] and {True, False} == {r.old for r in rows}
+    assert rows[0]["_unread"] is None and rows[1]["_unread"] == ODD[1] and rows[1].new
+    with_column = docs.parse(odd(spark), "info", "histograms").select("k", "info", "histograms").orderBy("k")
+    assert with_column.select(F.to_json("info"), F.to_json("histograms")).collect() == parsed.orderBy("k").select(F.to_json("info"), F.to_json("histograms")).collect()
