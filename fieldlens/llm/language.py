@@ -30,7 +30,8 @@ RUN = 32  # the longest piece; longer runs of letters are summed in logarithms
 CELLS = 1 << 21  # numbers of such runs at a time
 START = "▁"  # begins a word, as in the vocabulary
 CACHED = 200_000
-SLICE_BYTES = 4 << 20
+BLOCK = 1 << 14  # new words that are scored together
+SLICE_BYTES = 2 << 20
 FLOOR = 1e-7  # of a character without a piece, and of pieces that a language does not use
 
 
@@ -221,34 +222,50 @@ def fit(docs: DataFrame, vocabulary: str | None = None, sample_docs: int = SAMPL
 
 
 class Scorer:
-    """Predictions for batches of texts; distinct words are scored once and kept, within a bound."""
+    """Predictions for batches of texts; distinct words are scored once and kept, within a bound.
+
+    They are kept as Arrow text: as Python's strings in a dictionary they took more memory than all else of a task.
+    """
 
     def __init__(self, model: Model):
-        self.model, self.place = model, {}
-        self.known = np.zeros((0, len(model.languages) + 1))
+        self.model = model
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words = pa.array([], pa.string())
+        self.known = np.zeros((0, len(self.model.languages) + 1))
 
-    def _look_up(self, words: list[str]) -> np.ndarray:
+    def _score(self, words: list[str]) -> np.ndarray:
         """For each word its log likelihoods and the number of its runs of letters."""
-        if len(self.place) > CACHED:
-            self.place, self.known = {}, self.known[:0]
-        new = [w for w in words if w not in self.place]
-        if new:
-            pieces = [_runs(w) for w in new]
-            owner = np.repeat(np.arange(len(new)), [len(p) for p in pieces])
-            sums = np.zeros((len(new), self.known.shape[1]))
-            if len(owner):
-                number: dict[str, int] = {}
-                which = [number.setdefault(r, len(number)) for p in pieces for r in p]
-                np.add.at(sums[:, :-1], owner, likelihoods(list(number), self.model.prob, self.model.vocabulary)[which])
-                np.add.at(sums[:, -1], owner, 1)
-            self.place.update(zip(new, range(len(self.known), len(self.known) + len(new)), strict=True))
-            self.known = np.concatenate([self.known, sums])
-        return self.known[np.fromiter(map(self.place.__getitem__, words), dtype=np.int64, count=len(words))]
+        pieces = [_runs(w) for w in words]
+        owner = np.repeat(np.arange(len(words)), [len(p) for p in pieces])
+        sums = np.zeros((len(words), self.known.shape[1]))
+        if len(owner):
+            number: dict[str, int] = {}
+            which = [number.setdefault(r, len(number)) for p in pieces for r in p]
+            np.add.at(sums[:, :-1], owner, likelihoods(list(number), self.model.prob, self.model.vocabulary)[which])
+            np.add.at(sums[:, -1], owner, 1)
+        return sums
+
+    def _look_up(self, words: pa.Array) -> np.ndarray:
+        """Where in ``known`` each of the distinct ``words`` stands."""
+        if len(self.words) > CACHED:
+            self._forget()
+        place = pc.index_in(words, value_set=self.words)
+        new = words.filter(pc.is_null(place))
+        place = pc.fill_null(place, -1).to_numpy().astype(np.int64)
+        if len(new):
+            place[place < 0] = len(self.known) + np.arange(len(new))
+            scored = [self._score(new.slice(a, BLOCK).to_pylist()) for a in range(0, len(new), BLOCK)]
+            self.words = pa.concat_arrays([self.words, new])
+            self.known = np.concatenate([self.known, *scored])
+        return place
 
     def _slice(self, texts: pa.Array) -> tuple[list[str], np.ndarray]:
-        words = pc.ascii_split_whitespace(pc.utf8_lower(texts))
+        words = pc.ascii_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
         coded = words.flatten().dictionary_encode()
-        values = self._look_up(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        place = self._look_up(coded.dictionary.cast(pa.string()))
+        values = self.known[place[coded.indices.to_numpy()]]
         at = words.offsets.to_numpy() - words.offsets[0].as_py()
         total = np.zeros((len(texts), values.shape[1]))
         full = np.nonzero(np.diff(at))[0]
@@ -263,8 +280,7 @@ class Scorer:
         return [self.model.languages[b] if ok else UNKNOWN for b, ok in zip(best, letters, strict=True)], score
 
     def predict(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-        texts = pc.fill_null(texts, "")
-        sizes = pc.binary_length(texts).to_numpy().astype(np.int64)
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)
         cuts = [0, *(np.nonzero(np.diff((np.cumsum(sizes) - sizes) // SLICE_BYTES))[0] + 1).tolist(), len(texts)]
         names, scores = [], []
         for a, b in zip(cuts, cuts[1:], strict=False):

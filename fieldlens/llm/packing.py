@@ -29,24 +29,27 @@ LOOSE = 0.95  # sequences filled less than this are packed again with those of o
 
 
 def _cut(batches: Iterator[pa.RecordBatch], path: str, end_id: int, length: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        doc = 0
-        for counts, ids in encoder(path).encode(batch.column(1)):
-            starts, ids = with_end(counts, ids, end_id)
-            sizes = np.diff(starts)
-            pieces = -(-sizes // length)
-            owner = np.repeat(np.arange(len(sizes)), pieces)
-            number = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-            first = number * length
-            size = np.minimum(length, sizes[owner] - first)
-            view, at = memoryview(ids.tobytes()), (starts[owner] + first).tolist()
-            crc = [zlib.crc32(view[4 * a : 4 * (a + n)]) for a, n in zip(at, size.tolist(), strict=True)]
-            names = batch.column(0).slice(doc, len(counts)).take(pa.array(owner))
-            yield pa.RecordBatch.from_arrays(
-                [names, pa.array(number, pa.int32()), pa.array(first), pa.array(size), pa.array(crc, pa.int64())],
-                names=["doc_id", "piece", "start", "length", "ids_crc32"],
-            )
-            doc += len(counts)
+    try:
+        for batch in batches:
+            doc = 0
+            for counts, ids in encoder(path).encode(batch.column(1)):
+                starts, ids = with_end(counts, ids, end_id)
+                sizes = np.diff(starts)
+                pieces = -(-sizes // length)
+                owner = np.repeat(np.arange(len(sizes)), pieces)
+                number = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                first = number * length
+                size = np.minimum(length, sizes[owner] - first)
+                view, at = memoryview(ids.tobytes()), (starts[owner] + first).tolist()
+                crc = [zlib.crc32(view[4 * a : 4 * (a + n)]) for a, n in zip(at, size.tolist(), strict=True)]
+                names = batch.column(0).slice(doc, len(counts)).take(pa.array(owner))
+                yield pa.RecordBatch.from_arrays(
+                    [names, pa.array(number, pa.int32()), pa.array(first), pa.array(size), pa.array(crc, pa.int64())],
+                    names=["doc_id", "piece", "start", "length", "ids_crc32"],
+                )
+                doc += len(counts)
+    finally:  # the worker lives on, and other steps need its memory
+        encoder(path).forget()
 
 
 def best_fit(sizes: list[int], room: int) -> list[list[int]]:

@@ -10,8 +10,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 CACHED_WORDS = 300_000
+CACHED_PIECES = 1 << 15
+BLOCK = 1 << 14  # new words that are encoded together
 #: A word of lower-case letters of the first 256 code points, then marks of ASCII: one piece each for the tokenizer.
 PLAIN = re.compile("([a-zß-öø-ÿ]+)([!-/:-@\\[-`{-~]*)")
 
@@ -27,7 +29,8 @@ class Encoder:
 
     It is meant for the word tokenizer, whose pieces never cross white space and which lower-cases.
     Texts are split at ASCII white space and each distinct word of a slice is looked up or encoded: plain
-    words by the tokenizer's BPE model, all others by the whole tokenizer. The cache is bounded.
+    words by the tokenizer's BPE model, all others by the whole tokenizer. The cache is bounded and holds Arrow text
+    and one array of ids: as Python objects in a dictionary they took several times the memory.
     """
 
     def __init__(self, path: str):
@@ -39,44 +42,61 @@ class Encoder:
         alphabet = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         letters = [chr(c) for c in range(33, 256) if PLAIN.fullmatch("a" + chr(c)) or PLAIN.fullmatch(chr(c))]
         self.bytes_of = str.maketrans({c: alphabet.pre_tokenize_str(c)[0][0] for c in letters})
-        self.known: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Drops the words that are kept, and their ids."""
+        self.pieces.clear()
+        self.words, self.ids, self.starts = pa.array([], pa.string()), np.zeros(0, "<u4"), np.zeros(1, np.int64)
 
     def _piece(self, piece: str) -> bytes:
-        ids = self.known.get(piece)
+        ids = self.pieces.get(piece)
         if ids is None:
             found = self.model.tokenize(piece.translate(self.bytes_of))
-            ids = self.known[piece] = np.array([t.id for t in found], dtype="<u4").tobytes()
+            ids = self.pieces[piece] = np.array([t.id for t in found], dtype="<u4").tobytes()
         return ids
 
     def _word(self, word: str) -> bytes:
         plain = PLAIN.fullmatch(word.lower())
         if plain is None:
-            ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        else:
-            ids = self._piece(plain[1]) + (self._piece(plain[2]) if plain[2] else b"")
-        self.known[word] = ids
-        return ids
+            return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+        return self._piece(plain[1]) + (self._piece(plain[2]) if plain[2] else b"")
+
+    def _look_up(self, words: pa.Array) -> np.ndarray:
+        """Which of the kept words each of the distinct ``words`` is."""
+        if len(self.words) > CACHED_WORDS:
+            self.forget()
+        place = pc.index_in(words, value_set=self.words)
+        new = words.filter(pc.is_null(place))
+        place = pc.fill_null(place, -1).to_numpy().astype(np.int64)
+        if len(new):
+            place[place < 0] = len(self.words) + np.arange(len(new))
+            sizes, flat = [], [self.ids]
+            for a in range(0, len(new), BLOCK):
+                if len(self.pieces) > CACHED_PIECES:
+                    self.pieces.clear()
+                ids = [self._word(w) for w in new.slice(a, BLOCK).to_pylist()]
+                sizes += [len(i) // 4 for i in ids]
+                flat.append(np.frombuffer(b"".join(ids), dtype="<u4"))
+            self.words = pa.concat_arrays([self.words, new])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+            self.ids = np.concatenate(flat)
+        return place
 
     def _slice(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        words = pc.ascii_split_whitespace(texts)
+        words = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
         coded = words.flatten().dictionary_encode()
-        which = coded.indices.to_numpy()
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        known = self.known
-        ids = [known.get(w) or self._word(w) for w in coded.dictionary.to_pylist()]
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
-        flat, starts = np.frombuffer(b"".join(ids), dtype="<u4"), np.cumsum(sizes) - sizes
-        counts = sizes[which]
+        which = self._look_up(coded.dictionary.cast(pa.string()))[coded.indices.to_numpy()]
+        starts, counts = self.starts[which], np.diff(self.starts)[which]
         ends = np.cumsum(counts)
-        out = flat[np.repeat(starts[which] - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)]
+        out = self.ids[np.repeat(starts - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)]
         at = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()]
         return np.diff(at), out
 
     def encode(self, texts: pa.Array):
         """Yields (number of ids of each text, all ids) for consecutive slices of ``texts``; NULL is empty."""
-        texts = pc.fill_null(texts, "")
-        sizes = pc.binary_length(texts).to_numpy().astype(np.int64)
+        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)
         parts = (np.cumsum(sizes) - sizes) // SLICE_BYTES
         cuts = [0, *(np.nonzero(np.diff(parts))[0] + 1).tolist(), len(texts)]
         for a, b in zip(cuts, cuts[1:], strict=False):
