@@ -18,46 +18,52 @@ HEADER = struct.Struct("<4sQQIII")  # magic, values, words, blocks, escapes, val
 MAGIC = b"S8B1"
 _PAYLOAD = np.uint64((1 << 60) - 1)
 _COUNTS = np.array([1, *(n for n, _ in PACKINGS)], dtype=np.int64)
+_STEPS = _COUNTS.astype(np.uint8)
 
 
 def _selectors(values: np.ndarray, block: int) -> np.ndarray:
-    """For each position the first selector whose values all fit and stay inside the block."""
+    """For each position the first selector whose values all fit and stay inside the block.
+
+    A selector that does not fit rules out all before it, which hold more and narrower values; the largest
+    values of their windows come from those of the next shorter windows.
+    """
     n = len(values)
-    at = np.arange(n)
-    room = np.minimum(n, (at // block + 1) * block) - at
-    chosen = np.zeros(n, dtype=np.int8)
-    for selector in range(len(PACKINGS), 0, -1):
-        count, bits = PACKINGS[selector - 1]
-        fits = values < np.uint64(1 << bits)
-        if count > 1:
-            if count > n:
-                continue
-            bad = np.concatenate([[0], np.cumsum(~fits, dtype=np.int32)])
-            run = np.zeros(n, dtype=bool)
-            run[: n - count + 1] = bad[count:] == bad[:-count]
-            fits = run & (room >= count)
+    room = np.minimum(block - np.arange(n) % block, n - np.arange(n))
+    fitting = np.zeros(n, dtype=np.int8)
+    most, largest, size = int(values.max(initial=0)), values, 1
+    if most >> 32 == 0:
+        largest = values.astype(np.uint32)
+    for count, bits in reversed(PACKINGS):
+        if count > n:
+            break
+        largest = np.maximum(largest[: n - count + 1], largest[count - size :])
+        size = count
+        fits = room[: len(largest)] >= count
+        if most >> bits:
+            fits &= largest < largest.dtype.type(1 << bits)
         if not fits.any():
-            if count > 1 and bits < 15:
-                break  # narrower values do not fit either
-            continue
-        chosen[fits] = selector
-    return chosen
+            break
+        fitting[: len(fits)] += fits
+    return np.where(fitting, len(PACKINGS) + 1 - fitting, 0).astype(np.int8)
 
 
 def encode(values: np.ndarray, block: int = BLOCK) -> bytes:
     values = np.ascontiguousarray(values, dtype=np.uint64)
     chosen = _selectors(values, block)
-    steps, starts, i, n = _COUNTS[chosen].tolist(), [], 0, len(values)
+    steps, starts, i, n = _STEPS[chosen].tobytes(), [], 0, len(values)
     while i < n:
         starts.append(i)
         i += steps[i]
     first = np.array(starts, dtype=np.int64)
-    selectors = chosen[first].astype(np.uint64) if n else np.zeros(0, dtype=np.uint64)
-    words = selectors << np.uint64(60)
+    selectors = chosen[first] if n else np.zeros(0, dtype=np.int8)
+    words = selectors.astype(np.uint64) << np.uint64(60)
     for selector, (count, bits) in enumerate(PACKINGS, 1):
         here = np.nonzero(selectors == selector)[0]
-        for k in range(count if len(here) else 0):
-            words[here] |= values[first[here] + k] << np.uint64(k * bits)
+        if len(here):
+            at, word = first[here], words[here]
+            for k in range(count):
+                word |= values[k:][at] << np.uint64(k * bits)
+            words[here] = word
     escaped = np.nonzero(selectors == 0)[0]
     words[escaped] = np.arange(len(escaped), dtype=np.uint64)
     offsets = np.searchsorted(first, np.arange(0, n, block)).astype("<u4")
