@@ -97,3 +97,12 @@ def test_stores_other_than_a_disk(spark, tmp_path):
     store.write_ping_files(numbered(spark, 5), "viewfs://pings/in/pings")
     assert len(glob.glob(f"{tmp_path}/pings/folder=*/part-*")) == 5
     assert payloads(spark, "viewfs://pings/in/pings") == [f"p{i}" for i in range(5)]
+
+
+@pytest.mark.parametrize("n", [0, 3, 700])
+def test_folders_are_read_in_turn(spark, tmp_path, n):
+    store.write_ping_files(numbered(spark, n, 7), f"{tmp_path}/pings")
+    seen = []
+    rows = store.stage_pings(spark, f"{tmp_path}/pings", lambda p: (seen.append(p.count()), p.select("json"))[1])
+    assert sorted(r.json for r in rows.collect()) == sorted(f"p{i}" for i in range(n))
+    assert sum(seen) == n and max(seen) <= 200
